@@ -1,12 +1,12 @@
 """Latest change per key, and applying changes to a current table.
 
-A merge is written as a left join from the current table plus the unmatched changes:
+A merge is written as a left join from the current table plus the unmatched changes, not as a full
+outer join:
 
-* the current table is always the left side, so a small change set is broadcast and the table is
-  not shuffled at all, and with a large one adaptive execution may split a skewed key of the table
-  (it can split neither side of a full outer join);
-* unmatched changes are found against the matching keys only, so the second look at the current
-  table reads just its key columns.
+* with the current table on the left, a small change set is broadcast and the table is not shuffled
+  at all, and with a large one adaptive execution can split a hot key of the table (it can split
+  neither side of a full outer join);
+* the second look at the current table, for unmatched changes, reads its key columns only.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from cdclake.contracts import DELETE, INSERT, OP, SEQUENCE, TIMESTAMP, UPDATE, TableContract
 from cdclake.functions.columns import all_of, any_null, quoted, row_digest
+from cdclake.functions.joins import spread_join
 
 _RANK = "__rank"
 _TIE = "__tie"
@@ -79,16 +80,17 @@ def _merge(current: DataFrame, changes: DataFrame, keys, *, replace: Column, del
     columns a matched change overwrites, ``out`` the columns of the result. ``small`` says that the
     size of ``changes`` has been checked to suit a broadcast.
     """
-    def hinted(df: DataFrame) -> DataFrame:
-        return F.broadcast(df) if small else df
-
     incoming, existing = set(changes.columns), set(current.columns)
     new = changes.select(
         *[quoted(c).alias(f"__n_{c}") for c in changes.columns],
         replace.alias("__replace"),
         (F.lit(False) if delete is None else delete).alias("__delete"),
     )
-    joined = current.join(hinted(new), all_of([quoted(k) == quoted(f"__n_{k}") for k in keys]), "left")
+    pairs = [(k, f"__n_{k}") for k in keys]
+    if small:
+        joined = current.join(F.broadcast(new), all_of([quoted(a) == quoted(b) for a, b in pairs]), "left")
+    else:
+        joined = spread_join(current, new, pairs, "left")
     if delete is not None:
         joined = joined.where(~F.coalesce(quoted("__delete"), F.lit(False)))
     columns = []
@@ -100,9 +102,11 @@ def _merge(current: DataFrame, changes: DataFrame, keys, *, replace: Column, del
     matched = joined.select(*columns)
     if insert is None:
         return Merged(matched, None)
-    key_columns = [quoted(k) for k in keys]
-    hits = current.select(*key_columns).join(hinted(changes.select(*key_columns)), list(keys), "left_semi")
-    added = changes.where(insert).join(hits.distinct(), list(keys), "left_anti")
+    stored = current.select(*[quoted(k) for k in keys])
+    if small:
+        # Keep matching keys only, before anything is shuffled.
+        stored = stored.join(F.broadcast(changes.select(*[quoted(k) for k in keys])), list(keys), "left_semi")
+    added = changes.where(insert).join(stored.distinct(), list(keys), "left_anti")
     return Merged(matched, added.select(*[
         quoted(n) if n in incoming else F.lit(None).cast(current.schema[n].dataType).alias(n) for n in out
     ]))
@@ -168,9 +172,8 @@ def update_existing(current: DataFrame, updates: DataFrame, keys, *, unique: boo
 
 def missing_rows(current: DataFrame, df: DataFrame, keys) -> DataFrame:
     """Rows of ``df`` whose key is not in ``current``, repeated ones included."""
-    stored = current.select(*[quoted(k) for k in keys]).distinct()
-    absent = df.join(stored, list(keys), "left_anti")
-    return absent.select(*[quoted(c) for c in df.columns])
+    stored = current.select(*[quoted(k).alias(f"__s_{k}") for k in keys]).distinct()
+    return spread_join(df, stored, [(k, f"__s_{k}") for k in keys], "left_anti")
 
 
 def append_new(current: DataFrame | None, df: DataFrame, keys) -> DataFrame:

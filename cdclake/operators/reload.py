@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cdclake.contracts import DELETE, INSERT, OP, SEQUENCE, UPDATE, TableContract
-from cdclake.functions.columns import all_of, any_of, quoted
+from cdclake.functions.columns import any_of, quoted
+from cdclake.functions.joins import spread_join
 from cdclake.operators.changes import active_records
 
 
@@ -51,7 +52,7 @@ def reload_diff(raw: DataFrame, archive: DataFrame, contract: TableContract, sta
     op = F.when(quoted("__hit").isNull(), F.lit(INSERT)).when(differs, F.lit(UPDATE))
     stamped = {OP: quoted("__op"), SEQUENCE: F.lit(stamp)}
     upserts = (
-        raw.join(old, all_of([quoted(k) == quoted(f"__a_{k}") for k in keys]), "left")
+        spread_join(raw, old, [(k, f"__a_{k}") for k in keys], "left")
         .withColumn("__op", op)
         .where(quoted("__op").isNotNull())
         .withColumns(stamped)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cdclake.contracts import ERROR
 from cdclake.operators.validate import violation_rows
+from cdclake.sources import paths
 from cdclake.sources.raw import IncompatibleSchemas, read_raw
 
 # Messages of tables, files and writes set aside as a whole.
@@ -25,13 +26,18 @@ def quarantine_path(root: str, zone: str, source: str, table: str) -> str:
 def quarantine(invalid: DataFrame, path: str, run: str | None = None) -> int:
     """Add rows that carry an ``error`` column; returns how many.
 
+    Writing finds the rows and counts them in one pass; without any the folder is removed again.
     Each call writes its own ``run=`` folder. A stream names the run after its batch, so a batch
     that is run again replaces its rows instead of repeating them.
     """
     seen = Observation()
+    folder = f"{path}/run={run or uuid.uuid4().hex}"
     rows = violation_rows(invalid).observe(seen, F.count(F.lit(1)).alias("n"))
-    rows.write.mode("overwrite").parquet(f"{path}/run={run or uuid.uuid4().hex}")
-    return seen.get["n"]
+    rows.write.mode("overwrite").parquet(folder)
+    n = seen.get.get("n", 0)
+    if n == 0:
+        paths.delete(invalid.sparkSession, folder)
+    return n
 
 
 def quarantine_all(df: DataFrame, message: str, path: str, run: str | None = None) -> int:

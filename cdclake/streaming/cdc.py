@@ -148,9 +148,9 @@ def batch_metrics(structured: DataFrame, curated: DataFrame, written: float) ->
 
 
 def _clash_message(error: Exception) -> str:
-    text = str(error)
-    found = re.search(r"column: \[(.*?)\].*?Expected Spark type:? (.+?), actual Parquet type:? ([^.\s]+)", text, re.S)
-    return BAD_TYPES.format(*(found.groups() if found else ("?", "?", "?")))
+    found = re.search(r"column: (\[.*?\]), physicalType: (\S+), logicalType: ([^\s;]+)", str(error))
+    column, physical, logical = found.groups() if found else ("?", "?", "?")
+    return BAD_TYPES.format(column, logical, physical)
 
 
 def with_type_clash_handling(process: Callable[[DataFrame, int], None], source: str, table: str,

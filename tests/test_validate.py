@@ -1,0 +1,98 @@
+import itertools
+
+import pytest
+from helpers import CONTRACT, ROW, STRICT, changes, declared, ts
+from pyspark.sql import types as T
+
+from cdclake.contracts import TableContract
+from cdclake.operators.validate import NO_KEY, NO_OP, NO_VALUE, split_valid, validate, violation_rows
+
+STRICT_CONTRACT = TableContract("src", "items", ("pk",), STRICT, version="v7")
+
+
+def test_null_combinations(spark):
+    """Every combination of missing key, data, operation and time, for each operation."""
+    rows, expected = [], []
+    cases = itertools.product([1, None], ["d", None], ["I", "U", "D", None], [ts(1), None])
+    for n, (pk, data, op, at) in enumerate(cases):
+        rows.append((pk, data, op, at, str(n)))
+        if pk is None:
+            error = NO_KEY
+        elif op is None:
+            error = NO_OP
+        elif op != "D" and (data is None or at is None):
+            error = NO_VALUE
+        else:
+            error = None
+        expected.append((str(n), error))
+    got = validate(spark.createDataFrame(rows, ROW), STRICT_CONTRACT)
+    assert sorted(tuple(r) for r in got.select("checkpoint_col", "error").collect()) == sorted(expected)
+
+
+def test_composite_key(spark):
+    contract = TableContract("s", "t", ("pk", "data"), STRICT)
+    rows = changes(spark, (1, "a", "D", "1"), (None, "a", "D", "2"), (1, None, "D", "3"))
+    errors = {r.checkpoint_col: r.error for r in validate(rows, contract).collect()}
+    assert errors == {"1": None, "2": NO_KEY, "3": NO_KEY}
+
+
+def test_schema_mismatch_marks_all_rows(spark):
+    rows = changes(spark, (1, "a", "I", "1"), (None, "a", "I", "2"))
+    inferred = rows.withColumnRenamed("data", "other").schema
+    got = validate(rows, CONTRACT, inferred)
+    assert {r.error for r in got.collect()} == {"Record does not match schema version v7"}
+
+
+TIMED = T.StructType([
+    T.StructField("pk", T.IntegerType(), False),
+    T.StructField("t1", T.StringType(), True, {"validationType": "time"}),
+    T.StructField("t2", T.StringType(), True, {"validationType": "time"}),
+])
+TIMED_ROW = "pk int, t1 string, t2 string, Op string, _timestamp string, checkpoint_col string"
+TIMED_CONTRACT = TableContract("src", "timed", ("pk",), TIMED, version="v7")
+
+
+@pytest.mark.parametrize("bad", ["1:00:00", "01:0:00", "01:00:0", "24:00:00", "00:60:00", "00:00:60", "01:00:00:00",
+                                 "01:00", "aa:00:00", "", " ", "01-00-00", " 01:00:00"])
+def test_bad_times(spark, bad):
+    rows = spark.createDataFrame([(1, bad, None, "I", ts(1), "1")], TIMED_ROW)
+    assert validate(rows, TIMED_CONTRACT).first().error == "t1 must have format HH:mm:ss"
+
+
+def test_good_times(spark):
+    rows = spark.createDataFrame(
+        [(1, "00:00:00", "23:59:59", "I", ts(1), "1"), (2, None, "19:05:07", "I", ts(1), "2"),
+         (3, "12:00:00\n", None, "I", ts(1), "3")], TIMED_ROW)
+    assert [r.error for r in validate(rows, TIMED_CONTRACT).collect()] == [None, None, None]
+
+
+def test_errors_are_joined_in_contract_order(spark):
+    rows = spark.createDataFrame([(None, "x", "y", "I", ts(1), "1")], TIMED_ROW)
+    formats = "t1 must have format HH:mm:ss; t2 must have format HH:mm:ss"
+    assert validate(rows, TIMED_CONTRACT).first().error == f"{formats}; {NO_KEY}"
+    mismatch = validate(rows, TIMED_CONTRACT, T.StructType()).first().error
+    assert mismatch == f"{formats}; Record does not match schema version v7"
+
+
+def test_absent_nullable_time_column(spark):
+    rows = spark.createDataFrame([(1, "x", "I", ts(1), "1")], TIMED_ROW.replace("t2 string, ", ""))
+    assert validate(rows, TIMED_CONTRACT).first().error == "t1 must have format HH:mm:ss"
+
+
+def test_unknown_validation_type(spark):
+    schema = T.StructType([T.StructField("pk", T.StringType(), False, {"validationType": "phone"})])
+    with pytest.raises(ValueError):
+        validate(changes(spark, (1, "a", "I", "1")), TableContract("s", "t", ("pk",), schema))
+
+
+def test_split_and_payload(spark):
+    rows = changes(spark, (1, "a", "I", "1"), (None, None, "I", "2"))
+    valid, invalid = split_valid(validate(rows, CONTRACT))
+    assert valid.columns == rows.columns and valid.count() == 1
+    kept = violation_rows(invalid).first()
+    assert kept.error == NO_KEY
+    assert kept.raw == '{"Op":"I","_timestamp":"2024-03-01 10:00:02.000000","checkpoint_col":"2"}'
+
+
+def test_declared_schema_matches_strict_batch():
+    assert declared(STRICT).names == ["pk", "data", "Op", "_timestamp", "checkpoint_col"]
