@@ -46,9 +46,10 @@ def no_changes(spark: SparkSession, table: str) -> DataFrame:
     return spark.range(1).select(F.lit(table).alias("table"), *zeros)
 
 
-def combine_counts(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Counts of both stores added up per table, such as raw files and their archive."""
-    return a.unionByName(b).groupBy("table").agg(*[F.sum(n).alias(n) for n in _COUNTS])
+def combine_counts(*counts: DataFrame) -> DataFrame:
+    """Counts of several stores added up per table, such as raw files and their archive."""
+    rows = reduce(DataFrame.unionByName, counts)
+    return rows.groupBy("table").agg(*[F.sum(n).alias(n) for n in _COUNTS])
 
 
 def stats_counts(stats: DataFrame, tables: DataFrame) -> tuple[DataFrame, DataFrame]:

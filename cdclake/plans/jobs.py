@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdclake.contracts import TableContract
+from cdclake.contracts import OP, TableContract
 from cdclake.operators import reconcile as rec
 from cdclake.operators.backfill import BackfillError, backfill
 from cdclake.operators.files import archive_plan, unprocessed_files
@@ -36,10 +38,16 @@ def _glob(root: str, source: str, table: str, glob: str) -> str:
     return f"{root.rstrip('/')}/{source}/{table}/{glob}"
 
 
+def for_each_table(action: Callable[..., object], items, parallel: int) -> list:
+    """Run a job part per table, several at a time, so that small tables do not leave the cluster idle."""
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        return list(pool.map(action, items))
+
+
 # --- full load --------------------------------------------------------------------------------
 
 def full_load(spark: SparkSession, table_names, contracts: Contracts, zones: Zones, *,
-              glob: str = LOAD_GLOB) -> list[tuple[str, str]]:
+              glob: str = LOAD_GLOB, parallel: int = 4) -> list[tuple[str, str]]:
     """Load snapshots into structured and curated tables and the mirror; returns the tables found.
 
     Tables without a contract and tables whose files do not fit together go to quarantine.
@@ -47,19 +55,24 @@ def full_load(spark: SparkSession, table_names, contracts: Contracts, zones: Zon
     found = discover_tables(spark, zones.raw, table_names, glob)
     if not found:
         raise ValueError(f"No tables found under {zones.raw}")
-    for source, table in found:
-        contract = contracts.get((source, table))
+
+    def load(name: tuple[str, str]) -> None:
+        source, table = name
+        contract = contracts.get(name)
         path = quarantine_path(zones.violations, "structured", source, table)
         try:
             raw = read_raw(spark, _glob(zones.raw, source, table, glob))
         except IncompatibleSchemas:
-            listed = discover_files(spark, zones.raw, [(source, table)], glob).select("path").collect()
+            # File names only; rows stay on the executors.
+            listed = discover_files(spark, zones.raw, [name], glob).select("path").collect()
             quarantine_files(spark, [r.path for r in listed], BAD_FILES.format(source, table), path)
-            continue
+            return
         if contract is None:
             quarantine_all(raw, NO_CONTRACT.format(source, table), path)
         else:
             load_table(spark, raw, contract, zones)
+
+    for_each_table(load, found, parallel)
     return found
 
 
@@ -67,17 +80,24 @@ def load_table(spark: SparkSession, raw: DataFrame, contract: TableContract, zon
     """Validate the inserts of a snapshot and append those with new keys to both zones.
 
     Nothing is persisted: filters and validation run inside the scan, and reading a large snapshot
-    again is cheaper than keeping a copy of it on the executors.
+    again is cheaper than keeping a copy of it on the executors. On the first load the curated
+    table takes its rows, already in buckets, from the structured one.
     """
+    structured_path, curated_path = contract.path(zones.structured), contract.path(zones.curated)
+    first = not (tables.table_exists(spark, structured_path) or tables.table_exists(spark, curated_path))
     loaded = only_inserts(raw)
     valid, invalid = split_valid(validate(loaded, contract, raw.schema))
     quarantine(invalid, quarantine_path(zones.violations, "structured", contract.source, contract.table))
 
-    def append_into(root: str) -> Callable[[DataFrame], object]:
-        return lambda rows: tables.append_new(spark, contract.path(root), rows, contract.keys, buckets=zones.buckets)
+    def append_into(path: str) -> Callable[[DataFrame], object]:
+        return lambda rows: tables.append_new(spark, path, rows, contract.keys, buckets=zones.buckets)
+
+    def copy_structured(rows: DataFrame) -> None:
+        tables.copy_table(spark, structured_path, curated_path)
 
-    structured = write_or_quarantine("structured", valid, zones, contract, "load", append_into(zones.structured))
-    curated = write_or_quarantine("curated", structured, zones, contract, "load", append_into(zones.curated))
+    structured = write_or_quarantine("structured", valid, zones, contract, "load", append_into(structured_path))
+    into_curated = copy_structured if first and structured is valid else append_into(curated_path)
+    curated = write_or_quarantine("curated", structured, zones, contract, "load", into_curated)
     if zones.mirror is not None:
         zones.mirror(mirror_shape(curated), contract)
 
@@ -86,41 +106,53 @@ def load_table(spark: SparkSession, raw: DataFrame, contract: TableContract, zon
 
 def reload_diff_job(spark: SparkSession, table_names, contracts: Contracts, raw_root: str, archive_root: str,
                     output: str, moment: datetime, *, glob: str = LOAD_GLOB, gigabytes: float = 1.0,
-                    cores: int = 1) -> None:
+                    cores: int = 1, parallel: int = 4) -> None:
     """Write the differences between new snapshots and the archive, per table and kind."""
     stamp = reload_stamp(moment)
     archived = set(discover_tables(spark, archive_root, table_names, glob))
-    for source, table in discover_tables(spark, raw_root, table_names, glob):
-        contract = contracts.get((source, table))
+
+    def write_diff(name: tuple[str, str]) -> None:
+        source, table = name
+        contract = contracts.get(name)
         if contract is None:
             raise LookupError(f"No contract for {source}.{table}")
         raw = read_raw(spark, _glob(raw_root, source, table, glob))
-        if (source, table) in archived:
+        if name in archived:
             archive = read_raw(spark, _glob(archive_root, source, table, glob))
         else:
             archive = spark.createDataFrame([], raw.schema)
         diff = reload_diff(raw, archive, contract, stamp)
-        # Unchanged rows are gone by now, so what is kept is as large as the changes.
-        upserts = diff.upserts.persist()
+        # Unchanged rows are gone by now, so what is kept is as large as the changes. The joins run
+        # here, in as many tasks as they need; the writes below may use few.
+        kept = [diff.upserts.persist(), diff.deletes.persist()]
         try:
-            tables.overwrite_sized(diff.deletes, _glob(output, "toDelete", source, table), gigabytes, cores)
-            tables.overwrite_sized(diff.inserts, _glob(output, "toInsert", source, table), gigabytes, cores)
-            tables.overwrite_sized(diff.updates, _glob(output, "toUpdate", source, table), gigabytes, cores)
+            sizes = [df.count() for df in kept]
+            log.info("Reload of %s.%s: %d rows to insert or update, %d to delete", source, table, *sizes)
+            for kind, rows in (("toDelete", diff.deletes), ("toInsert", diff.inserts), ("toUpdate", diff.updates)):
+                tables.overwrite_sized(rows, _glob(output, kind, source, table), gigabytes, cores)
         finally:
-            upserts.unpersist()
+            for df in kept:
+                df.unpersist()
+
+    for_each_table(write_diff, discover_tables(spark, raw_root, table_names, glob), parallel)
 
 
 def archive_backfill(spark: SparkSession, contracts: Contracts, archive_root: str, output: str, *,
-                     glob: str = LOAD_GLOB, gigabytes: float = 1.0, cores: int = 1) -> list[tuple[str, str]]:
+                     glob: str = LOAD_GLOB, gigabytes: float = 1.0, cores: int = 1,
+                     parallel: int = 4) -> list[tuple[str, str]]:
     """Rewrite archived tables with the columns their contracts have gained; returns those written."""
     if not contracts:
         raise LookupError("No contracts found")
     found = discover_tables(spark, archive_root, list(contracts), glob)
-    for source, table in found:
-        rows = backfill(read_raw(spark, _glob(archive_root, source, table, glob)), contracts[source, table])
+
+    def write_backfilled(name: tuple[str, str]) -> None:
+        source, table = name
+        rows = backfill(read_raw(spark, _glob(archive_root, source, table, glob)), contracts[name])
         if rows.isEmpty():
             raise BackfillError(f"The archive of {source}.{table} is empty")
         tables.overwrite_sized(rows, f"{output.rstrip('/')}/{source}/{table}", gigabytes, cores)
+
+    for_each_table(write_backfilled, found, parallel)
     return found
 
 
@@ -163,15 +195,14 @@ def raw_change_counts(spark: SparkSession, contracts, *roots: str) -> DataFrame:
         for contract in contracts:
             name = contract.full_name
             try:
-                counts.append(rec.count_by_op(read_raw(spark, contract.path(root)), name))
+                # One column under a given schema: no file is opened to find out its schema.
+                ops = spark.read.schema(f"{OP} string").parquet(contract.path(root))
+                counts.append(rec.count_by_op(ops, name))
             except Exception as error:
                 if not has_condition(error, "PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                     raise
                 counts.append(rec.no_changes(spark, name))
-    combined = counts[0]
-    for other in counts[1:]:
-        combined = combined.unionByName(other)
-    return combined.groupBy("table").agg(*[F.sum(n).alias(n) for n in ("inserts", "updates", "deletes")])
+    return rec.combine_counts(*counts)
 
 
 def key_check(spark: SparkSession, contracts, zones: Zones,
@@ -201,9 +232,7 @@ def reconcile(spark: SparkSession, reports: dict[str, Callable[[], DataFrame]],
         if name not in known:
             raise ValueError(f"Unknown reconciliation check: {name}")
     results = [rec.check_result(reports[n](), n) for n in names]
-    combined = results[0]
-    for other in results[1:]:
-        combined = combined.unionByName(other)
+    combined = reduce(DataFrame.unionByName, results)
     if fail:
         failing = [r.check for r in combined.where(~F.col("ok")).select("check").collect()]
         if failing:
@@ -216,10 +245,7 @@ def reconcile(spark: SparkSession, reports: dict[str, Callable[[], DataFrame]],
 def committed_of(spark: SparkSession, table_names, zones: Zones) -> DataFrame:
     """Files taken in by the streams of all configured tables."""
     logs = [committed_files(spark, zones.stream_checkpoint(s, t)).select("path") for s, t in table_names]
-    combined = logs[0]
-    for other in logs[1:]:
-        combined = combined.unionByName(other)
-    return combined
+    return reduce(DataFrame.unionByName, logs)
 
 
 def plan_archiving(spark: SparkSession, table_names, zones: Zones, ledger: DataFrame, now: datetime,
@@ -235,19 +261,23 @@ def all_processed(spark: SparkSession, table_names, zones: Zones, regex: str = P
     return unprocessed_files(inventory, committed_of(spark, table_names, zones)).isEmpty()
 
 
-def maintain(spark: SparkSession, root: str, action: Callable[[SparkSession, str], object], depth: int = 2) -> int:
+def maintain(spark: SparkSession, root: str, action: Callable[[SparkSession, str], object], depth: int = 2,
+             parallel: int = 4) -> int:
     """Run a maintenance action, such as ``tables.compact``, on all tables below ``root``.
 
     A failure does not stop the others; at the end the number of failures is raised.
     """
     found = tables.list_tables(spark, root, depth)
-    failed = 0
-    for path in found:
+
+    def attempt(path: str) -> bool:
         try:
             action(spark, path)
+            return True
         except Exception:
             log.exception("Maintenance of %s failed", path)
-            failed += 1
+            return False
+
+    failed = for_each_table(attempt, found, parallel).count(False)
     if failed:
         raise RuntimeError(f"Maintenance failed for {failed} of {len(found)} tables")
     return len(found)

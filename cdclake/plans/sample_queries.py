@@ -24,9 +24,9 @@ from cdclake.operators.validate import only_inserts, split_valid, validate, viol
 from cdclake.plans import jobs, views
 from cdclake.plans import sample_inputs as inp
 from cdclake.session import scratch_dir
-from cdclake.sources import catalog, tables
+from cdclake.sources import catalog, paths, tables
 from cdclake.sources.quarantine import quarantine, quarantine_path, read_quarantine
-from cdclake.sources.raw import committed_files, discover_files, file_inventory, read_raw
+from cdclake.sources.raw import committed_files, discover_files, file_inventory, listed_path
 from cdclake.streaming.cdc import Zones, cdc_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -748,12 +748,13 @@ def published_table(spark, sf):
 
 # --- file listings ----------------------------------------------------------------------------
 
-def _rows_of(spark, files: DataFrame) -> DataFrame:
-    """Rows per table in the listed files."""
-    listed = [r.path for r in files.select("path").collect()]
-    rows = read_raw(spark, listed).select(F.col("_metadata.file_path").alias("path"))
-    name = F.regexp_extract("path", "/([^/]+)/([^/]+)/[^/]+$", 2)
-    return rows.groupBy(name.alias("table")).agg(F.count(F.lit(1)).alias("n"))
+def _rows_of(spark, zones: Zones, files: DataFrame) -> DataFrame:
+    """Rows per table in the listed files, of all files in the raw zone."""
+    folders = [f"{zones.raw}/{s}/{t}" for s, t in (_ACTIVITY, _ORDERS) if paths.exists(spark, f"{zones.raw}/{s}/{t}")]
+    rows = spark.read.schema("Op string").parquet(*folders).select(F.col("_metadata.file_path").alias("path"))
+    per_file = rows.groupBy("path").agg(F.count(F.lit(1)).alias("n")).withColumn("path", listed_path("path"))
+    table = F.regexp_extract("path", "/([^/]+)/([^/]+)/[^/]+$", 2)
+    return per_file.join(files.select("path"), "path").groupBy(table.alias("table")).agg(F.sum("n").alias("n"))
 
 
 _FILE_ROWS = "SELECT 'activity' AS \"table\", count(*) AS n FROM events UNION ALL SELECT 'orders', count(*) FROM orders"
@@ -769,20 +770,20 @@ def _raw_zone(spark, sf) -> Zones:
 @query("discovered_files", _FILE_ROWS)
 def discovered_files(spark, sf):
     zones = _raw_zone(spark, sf)
-    return _rows_of(spark, discover_files(spark, zones.raw, [_ACTIVITY, _ORDERS, ("shop", "none")], "*.parquet"))
+    return _rows_of(spark, zones, discover_files(spark, zones.raw, [_ACTIVITY, _ORDERS, ("shop", "none")], "*.parquet"))
 
 
 @query("file_inventory", _FILE_ROWS)
 def inventory(spark, sf):
     zones = _raw_zone(spark, sf)
     later = datetime.now() + timedelta(days=1)
-    return _rows_of(spark, file_inventory(spark, zones.raw, [_ACTIVITY, _ORDERS], older_than=later))
+    return _rows_of(spark, zones, file_inventory(spark, zones.raw, [_ACTIVITY, _ORDERS], older_than=later))
 
 
 @query("committed_files", "SELECT 'activity' AS \"table\", count(*) AS n FROM events")
 def committed(spark, sf):
     zones = _streamed(spark, sf)
-    return _rows_of(spark, committed_files(spark, zones.stream_checkpoint(*_ACTIVITY)))
+    return _rows_of(spark, zones, committed_files(spark, zones.stream_checkpoint(*_ACTIVITY)))
 
 
 @query("archive_plan", """
@@ -797,7 +798,7 @@ def planned(spark, sf):
     parts = []
     for to_delete in (True, False):
         chosen = plan.where(F.col("to_copy") & (F.col("to_delete") == to_delete))
-        parts.append(_rows_of(spark, chosen).select(
+        parts.append(_rows_of(spark, zones, chosen).select(
             "table", F.lit(True).alias("to_copy"), F.lit(to_delete).alias("to_delete"), "n"))
     return parts[0].unionByName(parts[1])
 
@@ -807,7 +808,7 @@ def ledger_after(spark, sf):
     zones = _raw_zone(spark, sf)
     files = file_inventory(spark, zones.raw, [_ACTIVITY, _ORDERS])
     deleted = files.where(F.col("table") == "activity")
-    return _rows_of(spark, next_ledger(files, files, deleted))
+    return _rows_of(spark, zones, next_ledger(files, files, deleted))
 
 
 @query("unprocessed_files", "SELECT 'orders' AS \"table\", count(*) AS n FROM orders")
@@ -815,4 +816,4 @@ def unprocessed(spark, sf):
     zones = _streamed(spark, sf)
     _write_raw(inp.snapshot(spark, sf), zones.raw, _ORDERS)
     listed = file_inventory(spark, zones.raw, [_ACTIVITY, _ORDERS])
-    return _rows_of(spark, unprocessed_files(listed, jobs.committed_of(spark, [_ACTIVITY], zones)))
+    return _rows_of(spark, zones, unprocessed_files(listed, jobs.committed_of(spark, [_ACTIVITY], zones)))

@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession
 # partitions on a cluster (spark.sql.shuffle.partitions) and let it coalesce or split them.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.scheduler.mode": "FAIR",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

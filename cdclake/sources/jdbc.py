@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -93,3 +93,36 @@ def run_statement(spark: SparkSession, db: Database, *statements: str) -> None:
             statement.execute(sql)
     finally:
         connection.close()
+
+
+class MirrorTableMissing(Exception):
+    """Mirror tables are created by their owner, never by a load."""
+
+
+def overwrite_mirror(db: Database, managed: set[str], *, batch_size: int = 1000):
+    """Mirror callback of a full load: replace the rows of managed tables, in the contract's namespace."""
+    def write(df: DataFrame, contract: TableContract) -> None:
+        if contract.full_name not in managed:
+            return
+        target = replace(db, schema=contract.namespace)
+        try:
+            read_jdbc(df.sparkSession, target, contract.flat_name)
+        except Exception as error:
+            raise MirrorTableMissing(f"{target.table_name(contract.flat_name)} does not exist or cannot be read") from error
+        write_jdbc(df, target, contract.flat_name, truncate=True, batch_size=batch_size)
+
+    return write
+
+
+def merge_mirror(db: Database, managed: set[str], *, loading_schema: str = "loading", batch_size: int = 1000):
+    """Mirror callback of a stream: fill a loading table and merge it inside the database."""
+    def merge(df: DataFrame, contract: TableContract) -> None:
+        if contract.full_name not in managed:
+            return
+        loading, target = replace(db, schema=loading_schema), replace(db, schema=contract.namespace)
+        write_jdbc(df, loading, contract.flat_name, truncate=False, batch_size=batch_size)
+        source = loading.table_name(contract.flat_name)
+        statement = merge_statement(contract, source, target.table_name(contract.flat_name))
+        run_statement(df.sparkSession, db, statement, f"TRUNCATE TABLE {source}")
+
+    return merge

@@ -59,6 +59,18 @@ def infer_schema(spark: SparkSession, *roots: str) -> T.StructType:
     return spark.read.parquet(roots[-1]).schema
 
 
+def configured_tables(spark: SparkSession, path: str) -> list[tuple[str, str]]:
+    """(source, table) pairs of a table list file, ``{"tables": ["source/table", ...]}``."""
+    listed = spark.read.text(path, wholetext=True).select(
+        F.explode(F.from_json("value", "tables array<string>")["tables"]).alias("name")
+    )
+    names = [r.name for r in listed.distinct().collect()]
+    for name in names:
+        if len(name.split("/")) != 2:
+            raise ValueError(f"{name} does not have the form source/table")
+    return sorted(tuple(name.split("/")) for name in names)
+
+
 def _listing(spark: SparkSession, root: str, tables, glob: str | None, recursive: bool) -> DataFrame:
     # One listing job for all tables; the content column is never read.
     folders = [f"{root.rstrip('/')}/{s}/{t}" for s, t in tables]
@@ -134,10 +146,10 @@ def committed_files(spark: SparkSession, checkpoint: str) -> DataFrame:
         return spark.createDataFrame([], _SOURCE_LOG)
     lines = spark.read.text(wanted).where(F.col("value").startswith("{"))
     logged = lines.select(F.from_json("value", _SOURCE_LOG).alias("f")).select("f.*").distinct()
-    return logged.withColumn("path", _listed_path("path"))
+    return logged.withColumn("path", listed_path("path"))
 
 
-def _listed_path(column: str) -> Column:
-    """A logged path, which is URL-encoded and may start with ``file:///``, as listings show it."""
+def listed_path(column: str) -> Column:
+    """A path from a stream's log or ``_metadata.file_path``, which are URL-encoded, as listings show it."""
     decoded = F.url_decode(F.replace(F.col(column), F.lit("+"), F.lit("%2B")))
     return F.regexp_replace(decoded, "^file:/+", "file:/")

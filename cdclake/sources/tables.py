@@ -126,15 +126,20 @@ def _bucket_count(size: int) -> int:
     return max(1, min(_MAX_BUCKETS, math.ceil(size / _BUCKET_BYTES)))
 
 
-def _balanced(df: DataFrame) -> DataFrame:
-    # Adaptive execution sizes the output: small buckets share a task, large ones are split.
-    return df.hint("rebalance", F.col(BUCKET))
+def _balanced(df: DataFrame, buckets: int) -> DataFrame:
+    # Adaptive execution sizes the output: small buckets share a task, large ones are split. With
+    # more partitions than buckets few buckets meet in one partition, so splits stay whole files.
+    partitions = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2 * buckets)
+    return df.hint("rebalance", partitions, F.col(BUCKET))
 
 
-def _write(spark: SparkSession, df: DataFrame, path: str, balance: bool = True) -> tuple[str, list[int]]:
-    """Write bucketed rows as a new generation; returns its id and the buckets it holds."""
+def _write(spark: SparkSession, df: DataFrame, path: str, balance: int | None) -> tuple[str, list[int]]:
+    """Write bucketed rows as a new generation; returns its id and the buckets it holds.
+
+    ``balance`` is the table's bucket count if rows are still to be gathered by bucket.
+    """
     gen = uuid.uuid4().hex
-    out = _balanced(df) if balance else df
+    out = _balanced(df, balance) if balance else df
     folder = f"{path}/data/{_GEN}={gen}"
     out.write.partitionBy(BUCKET).parquet(folder)
     prefix = f"{BUCKET}="
@@ -192,7 +197,7 @@ def _batches(state: dict | None, batch: tuple[str, int] | None) -> dict:
 
 def _create(spark: SparkSession, path: str, df: DataFrame, keys, buckets: int | None, batch) -> bool:
     buckets = buckets or _bucket_count(plan_bytes(df))
-    gen, live = _write(spark, df.withColumn(BUCKET, _bucket_of(keys, buckets)), path)
+    gen, live = _write(spark, df.withColumn(BUCKET, _bucket_of(keys, buckets)), path, buckets)
     if not live and batch is None:
         return False
     _commit(spark, path, None, {
@@ -202,6 +207,17 @@ def _create(spark: SparkSession, path: str, df: DataFrame, keys, buckets: int |
     return True
 
 
+def copy_table(spark: SparkSession, source: str, path: str) -> bool:
+    """Create a table with the rows of another one. Rows stay in their buckets, nothing is shuffled."""
+    state = table_state(spark, source)
+    if state is None:
+        return False
+    rows = _read(spark, source, state).withColumn(BUCKET, _bucket_of(state["keys"], state["buckets"]))
+    gen, live = _write(spark, rows, path, None)
+    _commit(spark, path, None, {**state, "live": {gen: live} if live else {}, "batches": {}})
+    return True
+
+
 def append(spark: SparkSession, path: str, df: DataFrame, keys, *, buckets: int | None = None,
            batch: tuple[str, int] | None = None) -> bool:
     """Add rows as they are; columns the table lacks are added to it. No rows: nothing happens."""
@@ -211,7 +227,8 @@ def append(spark: SparkSession, path: str, df: DataFrame, keys, *, buckets: int
     if state is None:
         return _create(spark, path, df, keys, buckets, batch)
     df = _aligned(df, state)
-    gen, live = _write(spark, df.withColumn(BUCKET, _bucket_of(state["keys"], state["buckets"])), path)
+    rows = df.withColumn(BUCKET, _bucket_of(state["keys"], state["buckets"]))
+    gen, live = _write(spark, rows, path, state["buckets"])
     if not live and batch is None:
         return False
     after = {**state, "schema": _merged_schema(state["schema"], df.schema), "batches": _batches(state, batch)}
@@ -278,11 +295,11 @@ def _rewrite(spark: SparkSession, path: str, state: dict, changes: DataFrame, ke
             merged = merge_rows(_read(spark, path, state, touched), aligned, keys, small=small)
             if small and merged.added is not None:
                 rows = merged.remaining.withColumn(BUCKET, bucket).unionByName(
-                    _balanced(merged.added.withColumn(BUCKET, bucket))
+                    _balanced(merged.added.withColumn(BUCKET, bucket), state["buckets"])
                 )
             else:
                 rows = merged.rows.withColumn(BUCKET, bucket)
-            gen, live = _write(spark, rows, path, balance=not small)
+            gen, live = _write(spark, rows, path, None if small else state["buckets"])
         kept = {g: [b for b in bs if b not in touched] for g, bs in state["live"].items()}
         kept = {g: bs for g, bs in kept.items() if bs}
         if live:
@@ -317,7 +334,7 @@ def compact(spark: SparkSession, path: str, *, full: bool = False, target_mb: in
             buckets: int | None = None) -> bool:
     """Rewrite small files into larger ones.
 
-    Without ``full``, only buckets made up of several writes. With it the whole table is laid out
+    Without ``full``, only buckets with more files than their size calls for. With it the whole table is laid out
     anew, sorted by the first four key columns so that files cover narrow key ranges, and the
     bucket count is fitted to the table's size unless given.
     """
@@ -326,16 +343,12 @@ def compact(spark: SparkSession, path: str, *, full: bool = False, target_mb: in
         log.warning("Cannot compact %s: there is no such table", path)
         return False
     if not full and buckets is None:
-        writes: dict[int, int] = {}
-        for live in state["live"].values():
-            for b in live:
-                writes[b] = writes.get(b, 0) + 1
-        chosen = {b for b, n in writes.items() if n > 1}
+        chosen = _fragmented(spark, table_folders(state, path), target_mb << 20)
         if not chosen:
             return False
         count = state["buckets"]
         rows = _read(spark, path, state, chosen).withColumn(BUCKET, _bucket_of(state["keys"], count))
-        gen, live = _write(spark, rows, path)
+        gen, live = _write(spark, rows, path, count)
         kept = {g: [b for b in bs if b not in chosen] for g, bs in state["live"].items()}
         kept = {g: bs for g, bs in kept.items() if bs}
     else:
@@ -348,7 +361,7 @@ def compact(spark: SparkSession, path: str, *, full: bool = False, target_mb: in
             .repartitionByRange(max(1, math.ceil(size / (target_mb << 20))), *order)
             .sortWithinPartitions(*order)
         )
-        gen, live = _write(spark, rows, path, balance=False)
+        gen, live = _write(spark, rows, path, None)
         kept = {}
     if live:
         kept[gen] = live
@@ -356,6 +369,16 @@ def compact(spark: SparkSession, path: str, *, full: bool = False, target_mb: in
     return True
 
 
+def _fragmented(spark: SparkSession, folders: list[str], target: int) -> set[int]:
+    """Buckets whose rows would fit into fewer files of the target size."""
+    if not folders:
+        return set()
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(folders)
+    bucket = F.regexp_extract("path", f"{BUCKET}=(\\d+)/[^/]+$", 1).cast("int")
+    sizes = listed.groupBy(bucket.alias("b")).agg(F.count("path").alias("n"), F.sum("length").alias("size"))
+    return {r.b for r in sizes.where(F.col("n") > F.ceil(F.col("size") / target)).select("b").collect()}
+
+
 def vacuum(spark: SparkSession, path: str, retain_hours: float = 168) -> int:
     """Delete data and version files not needed by any version of the retention period."""
     cutoff = (time.time() - retain_hours * 3600) * 1000

@@ -15,7 +15,7 @@ from cdclake.sources.quarantine import (
     quarantine, quarantine_all, quarantine_files, quarantine_path, read_quarantine, readable_groups,
 )
 from cdclake.sources.raw import (
-    IncompatibleSchemas, NoSchemaNoData, discover_files, discover_tables, file_inventory, read_raw,
+    IncompatibleSchemas, NoSchemaNoData, configured_tables, discover_files, discover_tables, file_inventory, read_raw,
     stream_raw_inferred,
 )
 from cdclake.streaming.cdc import Zones
@@ -71,6 +71,15 @@ def test_discovery(spark, root):
     assert file_inventory(spark, root, names, older_than=datetime.now() - timedelta(hours=1)).count() == 0
 
 
+def test_configured_tables(spark, root):
+    for name, text in (("good", '{"tables": ["b/y",\n "a/x", "b/y"]}'), ("bad", '{"tables": ["a"]}')):
+        with open(f"{root}/{name}.json", "w") as out:
+            out.write(text)
+    assert configured_tables(spark, f"{root}/good.json") == [("a", "x"), ("b", "y")]
+    with pytest.raises(ValueError):
+        configured_tables(spark, f"{root}/bad.json")
+
+
 def test_schemas_are_merged_or_refused(spark, root):
     put(load(spark, (1, "a")), root)
     put(load(spark, (2, "b")).withColumn("extra", F.lit("x")), root, "LOAD0002.parquet")
@@ -318,3 +327,25 @@ def test_person_name_is_null_if_a_part_is(spark):
         "last_name string, birth_date string, sex_code string, race_code string")
     got = views.person(bookings, people)
     assert state(got, "id", "name", "racecode") == [(1, "Lee, A", "W3"), (2, None, "A4")]
+
+
+def test_mirror_callbacks(spark, monkeypatch):
+    calls = []
+    monkeypatch.setattr(jdbc, "write_jdbc", lambda df, db, table, truncate, batch_size: calls.append(
+        (db.table_name(table), truncate, df.columns)))
+    monkeypatch.setattr(jdbc, "run_statement", lambda session, db, *sql: calls.append(sql))
+    contract = TableContract(*NAME, ("pk",), CONTRACT.schema, namespace="lake")
+    db = jdbc.Database("jdbc:none")
+    rows = spark.createDataFrame([(1, "a", "U")], "pk int, data string, op string")
+    jdbc.merge_mirror(db, set())(rows, contract)
+    assert calls == []
+    jdbc.merge_mirror(db, {"src.items"})(rows, contract)
+    assert calls[0] == ("loading.src_items", False, ["pk", "data", "op"])
+    assert calls[1][0].startswith("MERGE INTO lake.src_items destination\nUSING loading.src_items source")
+    assert calls[1][1] == "TRUNCATE TABLE loading.src_items"
+    monkeypatch.setattr(jdbc, "read_jdbc", lambda *a, **k: None)
+    jdbc.overwrite_mirror(db, {"src.items"})(rows.drop("op"), contract)
+    assert calls[2] == ("lake.src_items", True, ["pk", "data"])
+    monkeypatch.setattr(jdbc, "read_jdbc", lambda *a, **k: 1 / 0)
+    with pytest.raises(jdbc.MirrorTableMissing):
+        jdbc.overwrite_mirror(db, {"src.items"})(rows, contract)
