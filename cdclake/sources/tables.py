@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cdclake.contracts import DELETE, OP
-from cdclake.functions.columns import quoted
+from cdclake.functions.columns import quoted, row_digest
 from cdclake.operators import changes as ops
 from cdclake.sources import paths
 
@@ -334,49 +334,51 @@ def compact(spark: SparkSession, path: str, *, full: bool = False, target_mb: in
             buckets: int | None = None) -> bool:
     """Rewrite small files into larger ones.
 
-    Without ``full``, only buckets with more files than their size calls for. With it the whole table is laid out
-    anew, sorted by the first four key columns so that files cover narrow key ranges, and the
-    bucket count is fitted to the table's size unless given.
+    Without ``full``, only buckets with more files than their size calls for. With it the whole
+    table, and the bucket count is fitted to the table's size unless given. Rows are sorted by the
+    first four key columns, so that files cover narrow key ranges. Repeated keys are spread over
+    files by the rest of the row.
     """
     state = table_state(spark, path)
     if state is None:
         log.warning("Cannot compact %s: there is no such table", path)
         return False
-    if not full and buckets is None:
-        chosen = _fragmented(spark, table_folders(state, path), target_mb << 20)
-        if not chosen:
-            return False
-        count = state["buckets"]
-        rows = _read(spark, path, state, chosen).withColumn(BUCKET, _bucket_of(state["keys"], count))
-        gen, live = _write(spark, rows, path, count)
-        kept = {g: [b for b in bs if b not in chosen] for g, bs in state["live"].items()}
-        kept = {g: bs for g, bs in kept.items() if bs}
+    target = target_mb << 20
+    sizes = _bucket_files(spark, table_folders(state, path))
+    if full or buckets is not None:
+        chosen = set(sizes)
+        count = buckets or _bucket_count(sum(size for _, size in sizes.values()))
     else:
-        size = sum(paths.size(spark, f"{path}/data/{_GEN}={g}") for g in state["live"])
-        count = buckets or _bucket_count(size)
-        order = [quoted(BUCKET), *[quoted(k) for k in state["keys"][:4]]]
-        rows = (
-            _read(spark, path, state)
-            .withColumn(BUCKET, _bucket_of(state["keys"], count))
-            .repartitionByRange(max(1, math.ceil(size / (target_mb << 20))), *order)
-            .sortWithinPartitions(*order)
-        )
-        gen, live = _write(spark, rows, path, None)
-        kept = {}
-    if live:
-        kept[gen] = live
+        # One more than needed, because files do not span buckets.
+        chosen = {b for b, (files, size) in sizes.items() if files > math.ceil(size / target) + 1}
+        count = state["buckets"]
+    if not chosen:
+        return False
+    files = math.ceil(sum(sizes[b][1] for b in chosen) / target)
+    rows = _read(spark, path, state, chosen)
+    names = rows.columns
+    order = [quoted(BUCKET), *[quoted(k) for k in state["keys"][:4]], quoted("__rest")]
+    rows = (
+        rows.withColumns({BUCKET: _bucket_of(state["keys"], count), "__rest": row_digest(rows)})
+        .repartitionByRange(max(1, files), *order)
+        .sortWithinPartitions(*order)
+        .select(*[quoted(n) for n in names], BUCKET)
+    )
+    gen, live = _write(spark, rows, path, None)
+    kept = {g: [b for b in bs if b not in chosen] for g, bs in state["live"].items()}
+    kept = {g: bs for g, bs in kept.items() if bs} | ({gen: live} if live else {})
     _commit(spark, path, state, {**state, "live": kept, "buckets": count})
     return True
 
 
-def _fragmented(spark: SparkSession, folders: list[str], target: int) -> set[int]:
-    """Buckets whose rows would fit into fewer files of the target size."""
+def _bucket_files(spark: SparkSession, folders: list[str]) -> dict[int, tuple[int, int]]:
+    """(files, bytes) of each bucket, from one distributed listing."""
     if not folders:
-        return set()
+        return {}
     listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(folders)
     bucket = F.regexp_extract("path", f"{BUCKET}=(\\d+)/[^/]+$", 1).cast("int")
     sizes = listed.groupBy(bucket.alias("b")).agg(F.count("path").alias("n"), F.sum("length").alias("size"))
-    return {r.b for r in sizes.where(F.col("n") > F.ceil(F.col("size") / target)).select("b").collect()}
+    return {r.b: (r.n, r["size"]) for r in sizes.collect()}
 
 
 def vacuum(spark: SparkSession, path: str, retain_hours: float = 168) -> int:
