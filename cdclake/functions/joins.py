@@ -13,8 +13,10 @@ _NULL_PARTS = 1024
 
 
 def _zero(names) -> Column:
-    # 0, but computed from the key: the optimizer would remove a constant from the join keys.
-    return F.pmod(F.xxhash64(*[quoted(n) for n in names]), F.lit(1))
+    # 0, but computed from the key: the optimizer would remove a constant from the join keys. It is
+    # never null, so no filter on it is pushed into one side, which would keep Spark from using a
+    # shuffle of the same rows twice.
+    return F.xxhash64(*[quoted(n) for n in names]).bitwiseAND(F.lit(0))
 
 
 def spread_join(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]], how: str) -> DataFrame:

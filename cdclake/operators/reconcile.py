@@ -16,6 +16,7 @@ _COUNTS = ("inserts", "updates", "deletes")
 MATCH = "MATCH"
 WITHIN = "MATCH (within tolerance)"
 MISMATCH = "MISMATCH"
+NO_MATCH = "DOES NOT MATCH"
 
 STATE_COUNTS = "current_state_counts"
 CHANGE_COUNTS = "change_data_counts"
@@ -104,10 +105,10 @@ def state_counts(counts: list[DataFrame]) -> DataFrame:
 
 # --- reports ----------------------------------------------------------------------------------
 
-def _verdict(exact: Column, close: Column) -> list[Column]:
+def _verdict(exact: Column, close: Column, otherwise: str) -> list[Column]:
     return [
         F.coalesce(close, F.lit(False)).alias("matches"),
-        F.when(exact, F.lit(MATCH)).when(close, F.lit(WITHIN)).otherwise(F.lit(MISMATCH)).alias("verdict"),
+        F.when(exact, F.lit(MATCH)).when(close, F.lit(WITHIN)).otherwise(F.lit(otherwise)).alias("verdict"),
     ]
 
 
@@ -121,7 +122,7 @@ def state_report(counts: DataFrame, absolute: int = 0, relative: float = 0.0) ->
 
     exact = agree(lambda a, b: a == b)
     close = agree(lambda a, b: equal_within(a, b, absolute, relative))
-    return counts.select("table", "source", "structured", "curated", "mirror", *_verdict(exact, close))
+    return counts.select("table", "source", "structured", "curated", "mirror", *_verdict(exact, close, MISMATCH))
 
 
 def change_report(raw: DataFrame, read: DataFrame, applied: DataFrame,
@@ -147,7 +148,7 @@ def change_report(raw: DataFrame, read: DataFrame, applied: DataFrame,
         *[f"{side}_{n}" for side in sides for n in _COUNTS],
         F.col("in_raw").isNull().alias("missing_in_raw"),
         F.col("in_read").isNull().alias("missing_in_read"),
-        *_verdict(exact, close),
+        *_verdict(exact, close, NO_MATCH),
     )
 
 

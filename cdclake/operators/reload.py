@@ -38,14 +38,20 @@ def reload_stamp(moment: datetime) -> str:
 
 
 def reload_diff(raw: DataFrame, archive: DataFrame, contract: TableContract, stamp: str) -> ReloadDiff:
+    """Changes that bring the archive, replayed, to the state of the snapshot ``raw``."""
+    return diff_active(raw, active_records(archive, contract.keys), contract, stamp)
+
+
+def diff_active(raw: DataFrame, active: DataFrame, contract: TableContract, stamp: str) -> ReloadDiff:
     """Changes that bring the active archive to the state of the snapshot ``raw``.
 
+    Both results use ``active``, so a job persists it to replay the archive once.
+
     Inserts are snapshot rows with a key the archive lacks, updates are snapshot rows where any
     contract column differs (null-safely), deletes are archive rows with a key the snapshot lacks.
     One left join from the snapshot finds inserts and updates together.
     """
     keys = list(contract.keys)
-    active = active_records(archive, keys)
     compared = contract.schema.names
     old = active.select(*[quoted(n).alias(f"__a_{n}") for n in compared], F.lit(True).alias("__hit"))
     differs = any_of([~quoted(n).eqNullSafe(quoted(f"__a_{n}")) for n in compared if n not in keys])

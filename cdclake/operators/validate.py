@@ -62,12 +62,17 @@ def validate(df: DataFrame, contract: TableContract, inferred: T.StructType | No
     return df.withColumn(ERROR, F.nullif(F.concat_ws("; ", *errors), F.lit("")))
 
 
-def split_valid(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(valid rows without the error column, invalid rows with it)."""
-    return (
-        validated.where(F.col(ERROR).isNull()).drop(ERROR),
-        validated.where(F.col(ERROR).isNotNull()),
-    )
+def split_valid(validated: DataFrame, contract: TableContract | None = None) -> tuple[DataFrame, DataFrame]:
+    """(valid rows without the error column, invalid rows with it).
+
+    Valid rows have no null keys. Given the contract this is spelled out as a filter as well, which
+    tells Spark so: later joins then add no filter of their own and can share one shuffle.
+    """
+    valid = validated.where(F.col(ERROR).isNull()).drop(ERROR)
+    for key in contract.keys if contract else ():
+        if key in valid.columns:
+            valid = valid.where(quoted(key).isNotNull())
+    return valid, validated.where(F.col(ERROR).isNotNull())
 
 
 def only_inserts(df: DataFrame) -> DataFrame:

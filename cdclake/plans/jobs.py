@@ -14,11 +14,13 @@ from pyspark.sql import functions as F
 from cdclake.contracts import OP, TableContract
 from cdclake.operators import reconcile as rec
 from cdclake.operators.backfill import BackfillError, backfill
+from cdclake.operators.changes import active_records
 from cdclake.operators.files import archive_plan, unprocessed_files
 from cdclake.operators.keys import key_diff, key_projection, key_report
 from cdclake.operators.mirror import mirror_shape
-from cdclake.operators.reload import reload_diff, reload_stamp
+from cdclake.operators.reload import diff_active, reload_stamp
 from cdclake.operators.validate import only_inserts, split_valid, validate
+from cdclake.session import sized_shuffles
 from cdclake.sources import tables
 from cdclake.sources.quarantine import (
     BAD_FILES, NO_CONTRACT, quarantine, quarantine_all, quarantine_files, quarantine_path,
@@ -44,6 +46,12 @@ def for_each_table(action: Callable[..., object], items, parallel: int) -> list:
         return list(pool.map(action, items))
 
 
+def _largest(files: DataFrame) -> int:
+    """Bytes of the largest table of a file listing."""
+    sizes = files.groupBy("source", "table").agg(F.sum("length").alias("size"))
+    return sizes.agg(F.max("size")).first()[0] or 0
+
+
 # --- full load --------------------------------------------------------------------------------
 
 def full_load(spark: SparkSession, table_names, contracts: Contracts, zones: Zones, *,
@@ -72,7 +80,8 @@ def full_load(spark: SparkSession, table_names, contracts: Contracts, zones: Zon
         else:
             load_table(spark, raw, contract, zones)
 
-    for_each_table(load, found, parallel)
+    with sized_shuffles(spark, _largest(discover_files(spark, zones.raw, found, glob))):
+        for_each_table(load, found, parallel)
     return found
 
 
@@ -86,7 +95,7 @@ def load_table(spark: SparkSession, raw: DataFrame, contract: TableContract, zon
     structured_path, curated_path = contract.path(zones.structured), contract.path(zones.curated)
     first = not (tables.table_exists(spark, structured_path) or tables.table_exists(spark, curated_path))
     loaded = only_inserts(raw)
-    valid, invalid = split_valid(validate(loaded, contract, raw.schema))
+    valid, invalid = split_valid(validate(loaded, contract, raw.schema), contract)
     quarantine(invalid, quarantine_path(zones.violations, "structured", contract.source, contract.table))
 
     def append_into(path: str) -> Callable[[DataFrame], object]:
@@ -121,12 +130,14 @@ def reload_diff_job(spark: SparkSession, table_names, contracts: Contracts, raw_
             archive = read_raw(spark, _glob(archive_root, source, table, glob))
         else:
             archive = spark.createDataFrame([], raw.schema)
-        diff = reload_diff(raw, archive, contract, stamp)
-        # Unchanged rows are gone by now, so what is kept is as large as the changes. The joins run
-        # here, in as many tasks as they need; the writes below may use few.
-        kept = [diff.upserts.persist(), diff.deletes.persist()]
+        # The archive is replayed once. Unchanged rows are gone from the differences, which are kept
+        # too: the joins run here, in as many tasks as they need, the writes below may use few.
+        active = active_records(archive, contract.keys).persist()
+        diff = diff_active(raw, active, contract, stamp)
+        kept = [diff.upserts.persist(), diff.deletes.persist(), active]
         try:
-            sizes = [df.count() for df in kept]
+            sizes = [diff.upserts.count(), diff.deletes.count()]
+            active.unpersist()
             log.info("Reload of %s.%s: %d rows to insert or update, %d to delete", source, table, *sizes)
             for kind, rows in (("toDelete", diff.deletes), ("toInsert", diff.inserts), ("toUpdate", diff.updates)):
                 tables.overwrite_sized(rows, _glob(output, kind, source, table), gigabytes, cores)
@@ -134,7 +145,10 @@ def reload_diff_job(spark: SparkSession, table_names, contracts: Contracts, raw_
             for df in kept:
                 df.unpersist()
 
-    for_each_table(write_diff, discover_tables(spark, raw_root, table_names, glob), parallel)
+    found = discover_tables(spark, raw_root, table_names, glob)
+    both = discover_files(spark, raw_root, found, glob).unionByName(discover_files(spark, archive_root, found, glob))
+    with sized_shuffles(spark, _largest(both)):
+        for_each_table(write_diff, found, parallel)
 
 
 def archive_backfill(spark: SparkSession, contracts: Contracts, archive_root: str, output: str, *,

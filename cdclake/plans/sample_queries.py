@@ -50,7 +50,7 @@ def checked(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def latest(spark: SparkSession, sf: str) -> DataFrame:
-    valid, _ = split_valid(checked(spark, sf))
+    valid, _ = split_valid(checked(spark, sf), inp.FEED_CONTRACT)
     return ch.latest_records(valid, inp.FEED_CONTRACT.keys)
 
 
@@ -157,7 +157,7 @@ UNION ALL
 SELECT * EXCLUDE error FROM checked n
 WHERE error IS NULL AND "Op" = 'I' AND NOT EXISTS (SELECT 1 FROM cur c WHERE c.pk = n.pk)""")
 def append_new_rows(spark, sf):
-    loaded = split_valid(validate(only_inserts(inp.feed(spark, sf)), inp.FEED_CONTRACT))[0]
+    loaded = split_valid(validate(only_inserts(inp.feed(spark, sf)), inp.FEED_CONTRACT), inp.FEED_CONTRACT)[0]
     return ch.append_new(inp.current(spark, sf), loaded, ["pk"])
 
 
@@ -369,7 +369,7 @@ SELECT *,
   coalesce(NOT missing_in_read AND {" AND ".join(_near(a, b, 5, 0.02) for a, b in _PAIRS)}, FALSE) AS matches,
   CASE WHEN NOT missing_in_read AND {" AND ".join(f"{a} = {b}" for a, b in _PAIRS)} THEN 'MATCH'
        WHEN NOT missing_in_read AND {" AND ".join(_near(a, b, 5, 0.02) for a, b in _PAIRS)}
-       THEN 'MATCH (within tolerance)' ELSE 'MISMATCH' END AS verdict
+       THEN 'MATCH (within tolerance)' ELSE 'DOES NOT MATCH' END AS verdict
 FROM j""")
 def change_report(spark, sf):
     return _change_report(spark, sf)
@@ -558,7 +558,7 @@ def stored_merge(spark, sf):
 @query("stored_append_new", SQL["append_new_rows"])
 def stored_append_new(spark, sf):
     path = _stored(spark, sf)
-    loaded = split_valid(validate(only_inserts(inp.feed(spark, sf)), inp.FEED_CONTRACT))[0]
+    loaded = split_valid(validate(only_inserts(inp.feed(spark, sf)), inp.FEED_CONTRACT), inp.FEED_CONTRACT)[0]
     tables.append_new(spark, path, loaded, ["pk"])
     return tables.read_table(spark, path)
 

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+_PARTITION_BYTES = 64 << 20
+_MAX_PARTITIONS = 50_000
 
 # Settings the jobs rely on. Shuffle sizing is left to adaptive execution: start with many
 # partitions on a cluster (spark.sql.shuffle.partitions) and let it coalesce or split them.
@@ -32,6 +37,28 @@ def build_session(name: str = "cdclake", master: str | None = None, **settings:
     return builder.getOrCreate()
 
 
+@contextmanager
+def sized_shuffles(spark: SparkSession, size: int):
+    """Run a job with enough shuffle partitions for ``size`` bytes.
+
+    Adaptive execution merges partitions that turn out small but cannot add any, so a large job must
+    start with many. A higher setting of the session stays as it is.
+    """
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    wanted = min(_MAX_PARTITIONS, math.ceil(size / _PARTITION_BYTES))
+    spark.conf.set(setting, str(max(int(before), wanted)))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
+def plan_bytes(df: DataFrame) -> int:
+    """Spark's size estimate of a frame, exact for one that has been persisted and computed."""
+    return int(str(df.select("*")._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach: the one the cluster names, else a local one (tests)."""
     root = spark.conf.get("spark.checkpoint.dir", None)

@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 from cdclake.contracts import DELETE, OP
 from cdclake.functions.columns import quoted, row_digest
 from cdclake.operators import changes as ops
+from cdclake.session import plan_bytes, sized_shuffles
 from cdclake.sources import paths
 
 log = logging.getLogger(__name__)
@@ -108,11 +109,6 @@ def _read(spark: SparkSession, path: str, state: dict, buckets: set[int] | None
 
 # --- writing ----------------------------------------------------------------------------------
 
-def plan_bytes(df: DataFrame) -> int:
-    """Spark's size estimate of a frame, exact for one that has been persisted and computed."""
-    return int(str(df.select("*")._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
 def _broadcast_limit(spark: SparkSession) -> int:
     limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     return -1 if limit.startswith("-") else spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit)
@@ -292,14 +288,16 @@ def _rewrite(spark: SparkSession, path: str, state: dict, changes: DataFrame, ke
             # A small change set is broadcast: rows remaining stay in the tasks that read their
             # bucket files and need no shuffle. Otherwise they are gathered by bucket again.
             small = plan_bytes(changes) <= _broadcast_limit(spark)
-            merged = merge_rows(_read(spark, path, state, touched), aligned, keys, small=small)
+            current = _read(spark, path, state, touched)
+            merged = merge_rows(current, aligned, keys, small=small)
             if small and merged.added is not None:
                 rows = merged.remaining.withColumn(BUCKET, bucket).unionByName(
                     _balanced(merged.added.withColumn(BUCKET, bucket), state["buckets"])
                 )
             else:
                 rows = merged.rows.withColumn(BUCKET, bucket)
-            gen, live = _write(spark, rows, path, None if small else state["buckets"])
+            with sized_shuffles(spark, 0 if small else plan_bytes(current)):
+                gen, live = _write(spark, rows, path, None if small else state["buckets"])
         kept = {g: [b for b in bs if b not in touched] for g, bs in state["live"].items()}
         kept = {g: bs for g, bs in kept.items() if bs}
         if live:

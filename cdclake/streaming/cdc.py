@@ -104,7 +104,7 @@ def process_cdc_batch(df: DataFrame, batch_id: int, contract: TableContract, zon
         ).first()
         if counts.rows == 0:
             return
-        valid, invalid = split_valid(validated)
+        valid, invalid = split_valid(validated, contract)
         if counts.invalid:
             quarantine(invalid, quarantine_path(zones.violations, "structured", source, table), run)
         latest = latest_records(valid, contract.keys).persist()

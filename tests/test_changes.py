@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from cdclake.contracts import TableContract
 from cdclake.operators import changes as ch
 from cdclake.operators.mirror import mirror_shape
+from cdclake.operators.validate import split_valid, validate
 
 
 def current(spark, *rows):
@@ -234,3 +235,17 @@ def test_small_changes_do_not_shuffle_the_table(spark):
     merged = ch.merge_changes(big(spark), changes(spark, (7, "n", "U", "1")), ["pk"], small=True)
     plan = merged.remaining._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_changes_are_shuffled_once(spark):
+    rows = changes(spark, *[(i % 7, f"v{i}", "U", f"{i:03d}") for i in range(30)]).repartition(3)
+    valid, _ = split_valid(validate(rows, CONTRACT), CONTRACT)
+    latest = ch.latest_records(valid, ["pk"])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = ch.apply_changes(big(spark, 300), latest, ["pk"], unique=True)
+        merged.collect()
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "ReusedExchange" in plan[:plan.index("Initial Plan")]

@@ -54,11 +54,11 @@ def test_change_report(spark):
     applied = counts(spark, ("same", 1, 2, 3), ("near", 101, 0, 0), ("far", 100, 0, 0), ("read only", 1, 1, 1))
     report = rec.change_report(raw, read, applied, absolute=2)
     assert state(report, "table", "verdict", "matches", "missing_in_raw", "missing_in_read") == [
-        ("far", "MISMATCH", False, False, False),
+        ("far", "DOES NOT MATCH", False, False, False),
         ("near", "MATCH (within tolerance)", True, False, False),
-        ("no applied", "MISMATCH", False, False, False),
-        ("raw only", "MISMATCH", False, False, True),
-        ("read only", "MISMATCH", False, True, False),
+        ("no applied", "DOES NOT MATCH", False, False, False),
+        ("raw only", "DOES NOT MATCH", False, False, True),
+        ("read only", "DOES NOT MATCH", False, True, False),
         ("same", "MATCH", True, False, False),
     ]
 
