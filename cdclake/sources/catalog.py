@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from cdclake.contracts import OP, SEQUENCE, TIMESTAMP, TableContract, with_metadata
-from cdclake.sources.tables import table_state
+from cdclake.sources.tables import table_glob
 
 # Fixed value: names the catalog accepts.
 TABLE_NAME = r"[a-z_0-9]*"
@@ -40,20 +40,6 @@ def archive_properties(contract: TableContract) -> dict[str, str]:
     }
 
 
-def published_path(spark: SparkSession, path: str) -> str:
-    """Glob of the folders that make up the current version of a stored table.
-
-    A catalog entry shows the version it was published at; publish or switch again after writes,
-    and before old versions are vacuumed.
-    """
-    state = table_state(spark, path)
-    live = state["live"] if state else {}
-    if not live:
-        return f"{path}/data/none"
-    groups = [f"gen={g}/_bucket=" + "{" + ",".join(map(str, bs)) + "}" for g, bs in sorted(live.items())]
-    return f"{path}/data/" + "{" + ",".join(groups) + "}"
-
-
 def _replace(spark: SparkSession, database: str, contract: TableContract, schema: T.StructType,
              location: str, properties: dict[str, str]) -> None:
     name = f"`{database}`.`{contract.flat_name}`"
@@ -83,24 +69,26 @@ def publish_tables(spark: SparkSession, contracts, roots: dict[str, str],
 
     ``roots`` and ``databases`` are keyed by ``archive, structured, curated`` and, for databases,
     ``public``, which shows the curated zone. The archive table has the change columns as well.
-    Returns the tables that failed; the others are published regardless.
+    Returns the tables that failed; the others are published regardless. A table is shown as it is
+    now: jobs given ``Zones.published`` move published tables on after every write.
     """
     def publish(contract: TableContract) -> None:
         _replace(spark, databases["archive"], contract, with_metadata(contract.schema),
                  contract.path(roots["archive"]), archive_properties(contract))
         for zone, database in (("structured", "structured"), ("curated", "curated"), ("curated", "public")):
             _replace(spark, databases[database], contract, contract.schema,
-                     published_path(spark, contract.path(roots[zone])), {"classification": "parquet"})
+                     table_glob(spark, contract.path(roots[zone])), {"classification": "parquet"})
 
     return _attempt_all(spark, contracts, publish)
 
 
+def point_table(spark: SparkSession, database: str, contract: TableContract, path: str) -> None:
+    """Show the current version of the stored table at ``path``."""
+    name = f"`{database}`.`{contract.flat_name}`"
+    spark.sql(f"ALTER TABLE {name} SET LOCATION {_text(table_glob(spark, path))}")
+    spark.catalog.refreshTable(name)
+
+
 def switch_tables(spark: SparkSession, contracts, root: str, database: str) -> DataFrame:
     """Point the public tables of all contracts to the tables below another root."""
-    def switch(contract: TableContract) -> None:
-        location = published_path(spark, contract.path(root))
-        spark.sql(
-            f"ALTER TABLE `{database}`.`{contract.flat_name}` SET LOCATION {_text(location)}"
-        )
-
-    return _attempt_all(spark, contracts, switch)
+    return _attempt_all(spark, contracts, lambda c: point_table(spark, database, c, c.path(root)))

@@ -61,6 +61,8 @@ def table_state(spark: SparkSession, path: str) -> dict | None:
 
 def _commit(spark: SparkSession, path: str, before: dict | None, after: dict) -> None:
     after["version"] = before["version"] + 1 if before else 0
+    known = before["written"] if before else {}
+    after["written"] = {gen: known.get(gen, len(live)) for gen, live in after["live"].items()}
     folder = f"{path}/_versions"
     draft = f"{folder}/.{uuid.uuid4().hex}"
     paths.write_text(spark, draft, json.dumps(after))
@@ -96,6 +98,20 @@ def table_folders(state: dict, path: str, buckets: set[int] | None = None) -> li
     ]
 
 
+def table_glob(spark: SparkSession, path: str) -> str:
+    """One path pattern for exactly the folders of the current version, for readers that take a location."""
+    state = table_state(spark, path)
+    live = state["live"] if state else {}
+    if not live:
+        return f"{path}/data/none"
+    parts = []
+    for gen, buckets in sorted(live.items()):
+        whole = len(buckets) == state["written"][gen]
+        chosen = "*" if whole else str(buckets[0]) if len(buckets) == 1 else "{" + ",".join(map(str, buckets)) + "}"
+        parts.append(f"{_GEN}={gen}/{BUCKET}={chosen}")
+    return f"{path}/data/" + (parts[0] if len(parts) == 1 else "{" + ",".join(parts) + "}")
+
+
 def _read(spark: SparkSession, path: str, state: dict, buckets: set[int] | None = None) -> DataFrame:
     schema = T.StructType.fromJson(state["schema"])
     folders = table_folders(state, path, buckets)
@@ -134,7 +150,7 @@ def _write(spark: SparkSession, df: DataFrame, path: str, balance: int | None) -
 
     ``balance`` is the table's bucket count if rows are still to be gathered by bucket.
     """
-    gen = uuid.uuid4().hex
+    gen = uuid.uuid4().hex[:16]
     out = _balanced(df, balance) if balance else df
     folder = f"{path}/data/{_GEN}={gen}"
     out.write.partitionBy(BUCKET).parquet(folder)

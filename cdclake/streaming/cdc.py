@@ -17,7 +17,7 @@ from cdclake.operators.changes import latest_records
 from cdclake.operators.metrics import latency_stats
 from cdclake.operators.mirror import mirror_shape
 from cdclake.operators.validate import split_valid, validate
-from cdclake.sources import paths, tables
+from cdclake.sources import catalog, paths, tables
 from cdclake.sources.quarantine import (
     BAD_TYPES, FAILED_WRITE, NO_CONTRACT, quarantine, quarantine_all, quarantine_files, quarantine_path,
 )
@@ -46,6 +46,10 @@ class Zones:
     archive_dir: str | None = None
     buckets: int | None = None
     mirror: Mirror | None = None
+    published: dict[str, tuple[str, ...]] | None = None  # databases showing each zone
+
+    def table_path(self, zone: str, contract: TableContract) -> str:
+        return contract.path({"structured": self.structured, "curated": self.curated}[zone])
 
     def raw_glob(self, source: str, table: str) -> str:
         return f"{self.raw.rstrip('/')}/{source}/{table}/{self.glob}"
@@ -68,12 +72,14 @@ def batch_files(spark: SparkSession, checkpoint: str, batch_id: int) -> list[str
 
 def write_or_quarantine(zone: str, df: DataFrame, zones: Zones, contract: TableContract, run: str,
                         write: Callable[[DataFrame], object]) -> DataFrame:
-    """Write to a zone and pass the rows on.
+    """Write to a zone, move its published tables on, and pass the rows on.
 
     If another writer got in the way, the rows go to quarantine and an empty frame is passed on.
     """
     try:
         write(df)
+        for database in (zones.published or {}).get(zone, ()):
+            catalog.point_table(df.sparkSession, database, contract, zones.table_path(zone, contract))
         return df
     except tables.TableConflict:
         log.warning("Write to %s of %s failed", zone, contract.full_name, exc_info=True)

@@ -295,8 +295,34 @@ def test_catalog(spark, zones):
     assert properties["extraction_key"] == "_timestamp,checkpoint_col"
     assert properties["source_primary_key"] == "pk"
     assert catalog.switch_tables(spark, [contract], zones.structured, "cat_public").count() == 0
-    spark.catalog.refreshTable("cat_public.src_items")
     assert state(spark.table("cat_public.src_items")) == [(1, "a")]
+    assert catalog.switch_tables(spark, [contract, bad], zones.curated, "cat_public").count() == 1
+    assert state(spark.table("cat_public.src_items")) == [(1, "c"), (2, "d")]
+
+
+def test_published_tables_follow_a_load(spark, zones):
+    contract = TableContract("src", "followed", ("pk",), CONTRACT.schema)
+    names = {n: f"follow_{n}" for n in ("archive", "structured", "curated", "public")}
+    for name in names.values():
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
+    roots = {"archive": zones.raw, "structured": zones.structured, "curated": zones.curated}
+    assert catalog.publish_tables(spark, [contract], roots, names).count() == 0
+    zones = Zones(**{**zones.__dict__, "published": {"curated": ("follow_curated", "follow_public")}})
+    for i in range(2):
+        put(load(spark, (i, "a")), zones.raw, f"LOAD{i}.parquet", ("src", "followed"))
+        jobs.full_load(spark, [("src", "followed")], {("src", "followed"): contract}, zones)
+    assert state(spark.table("follow_public.src_followed")) == [(0, "a"), (1, "a")]
+    assert spark.table("follow_structured.src_followed").count() == 0
+
+
+def test_table_glob_is_short_for_whole_writes(spark, root):
+    path = f"{root}/t"
+    tables.append(spark, path, load(spark, *[(i, "x") for i in range(40)]), ["pk"], buckets=4)
+    assert tables.table_glob(spark, path).endswith("/_bucket=*")
+    tables.merge(spark, path, changes(spark, (1, "y", "U", "1")), ["pk"])
+    glob = tables.table_glob(spark, path)
+    assert glob.count("gen=") == 2 and "_bucket=*" in glob
+    assert spark.read.parquet(glob).count() == 40
 
 
 def test_database_statements():
