@@ -27,7 +27,7 @@ from cdclake.sources.quarantine import (
 )
 from cdclake.sources.raw import (
     LOAD_GLOB, PARQUET_FILE, IncompatibleSchemas, committed_files, discover_files, discover_tables,
-    file_inventory, has_condition, read_raw,
+    file_inventory, has_condition, read_raw, table_sizes,
 )
 from cdclake.streaming.cdc import Zones, write_or_quarantine
 
@@ -46,12 +46,6 @@ def for_each_table(action: Callable[..., object], items, parallel: int) -> list:
         return list(pool.map(action, items))
 
 
-def _largest(files: DataFrame) -> int:
-    """Bytes of the largest table of a file listing."""
-    sizes = files.groupBy("source", "table").agg(F.sum("length").alias("size"))
-    return sizes.agg(F.max("size")).first()[0] or 0
-
-
 # --- full load --------------------------------------------------------------------------------
 
 def full_load(spark: SparkSession, table_names, contracts: Contracts, zones: Zones, *,
@@ -60,8 +54,8 @@ def full_load(spark: SparkSession, table_names, contracts: Contracts, zones: Zon
 
     Tables without a contract and tables whose files do not fit together go to quarantine.
     """
-    found = discover_tables(spark, zones.raw, table_names, glob)
-    if not found:
+    sizes = table_sizes(spark, zones.raw, table_names, glob)
+    if not sizes:
         raise ValueError(f"No tables found under {zones.raw}")
 
     def load(name: tuple[str, str]) -> None:
@@ -80,9 +74,9 @@ def full_load(spark: SparkSession, table_names, contracts: Contracts, zones: Zon
         else:
             load_table(spark, raw, contract, zones)
 
-    with sized_shuffles(spark, _largest(discover_files(spark, zones.raw, found, glob))):
-        for_each_table(load, found, parallel)
-    return found
+    with sized_shuffles(spark, max(sizes.values())):
+        for_each_table(load, sizes, parallel)
+    return list(sizes)
 
 
 def load_table(spark: SparkSession, raw: DataFrame, contract: TableContract, zones: Zones) -> None:
@@ -118,7 +112,8 @@ def reload_diff_job(spark: SparkSession, table_names, contracts: Contracts, raw_
                     cores: int = 1, parallel: int = 4) -> None:
     """Write the differences between new snapshots and the archive, per table and kind."""
     stamp = reload_stamp(moment)
-    archived = set(discover_tables(spark, archive_root, table_names, glob))
+    new = table_sizes(spark, raw_root, table_names, glob)
+    archived = table_sizes(spark, archive_root, list(new), glob)
 
     def write_diff(name: tuple[str, str]) -> None:
         source, table = name
@@ -145,10 +140,8 @@ def reload_diff_job(spark: SparkSession, table_names, contracts: Contracts, raw_
             for df in kept:
                 df.unpersist()
 
-    found = discover_tables(spark, raw_root, table_names, glob)
-    both = discover_files(spark, raw_root, found, glob).unionByName(discover_files(spark, archive_root, found, glob))
-    with sized_shuffles(spark, _largest(both)):
-        for_each_table(write_diff, found, parallel)
+    with sized_shuffles(spark, max([*new.values(), *archived.values()], default=0)):
+        for_each_table(write_diff, new, parallel)
 
 
 def archive_backfill(spark: SparkSession, contracts: Contracts, archive_root: str, output: str, *,

@@ -23,16 +23,19 @@ def quarantine_path(root: str, zone: str, source: str, table: str) -> str:
     return f"{root.rstrip('/')}/{zone}/{source}/{table}"
 
 
-def quarantine(invalid: DataFrame, path: str, run: str | None = None) -> int:
+def quarantine(invalid: DataFrame, path: str, run: str | None = None, *, few: bool = True) -> int:
     """Add rows that carry an ``error`` column; returns how many.
 
     Writing finds the rows and counts them in one pass; without any the folder is removed again.
+    ``few`` rows out of many are brought together first, else every task would write a tiny file.
     Each call writes its own ``run=`` folder. A stream names the run after its batch, so a batch
     that is run again replaces its rows instead of repeating them.
     """
     seen = Observation()
     folder = f"{path}/run={run or uuid.uuid4().hex}"
     rows = violation_rows(invalid).observe(seen, F.count(F.lit(1)).alias("n"))
+    if few:
+        rows = rows.hint("rebalance")
     rows.write.mode("overwrite").parquet(folder)
     n = seen.get.get("n", 0)
     if n == 0:
@@ -42,7 +45,7 @@ def quarantine(invalid: DataFrame, path: str, run: str | None = None) -> int:
 
 def quarantine_all(df: DataFrame, message: str, path: str, run: str | None = None) -> int:
     """Set a whole batch aside for one reason."""
-    return quarantine(df.withColumn(ERROR, F.lit(message)), path, run)
+    return quarantine(df.withColumn(ERROR, F.lit(message)), path, run, few=False)
 
 
 def read_quarantine(spark: SparkSession, path: str) -> DataFrame:

@@ -93,10 +93,16 @@ def discover_files(spark: SparkSession, root: str, tables, glob: str = LOAD_GLOB
     return _listing(spark, root, tables, glob, recursive=False)
 
 
+def table_sizes(spark: SparkSession, root: str, tables, glob: str = LOAD_GLOB) -> dict[tuple[str, str], int]:
+    """Bytes of load files per configured table that has any."""
+    files = discover_files(spark, root, tables, glob)
+    sizes = files.groupBy("source", "table").agg(F.sum("length").alias("size")).orderBy("source", "table")
+    return {(r.source, r.table): r["size"] for r in sizes.collect()}
+
+
 def discover_tables(spark: SparkSession, root: str, tables, glob: str = LOAD_GLOB) -> list[tuple[str, str]]:
     """Configured tables that have load files."""
-    found = discover_files(spark, root, tables, glob).select("source", "table").distinct()
-    return sorted((r.source, r.table) for r in found.collect())
+    return list(table_sizes(spark, root, tables, glob))
 
 
 def file_inventory(spark: SparkSession, root: str, tables, regex: str = PARQUET_FILE,
