@@ -61,8 +61,11 @@ def table_state(spark: SparkSession, path: str) -> dict | None:
 
 def _commit(spark: SparkSession, path: str, before: dict | None, after: dict) -> None:
     after["version"] = before["version"] + 1 if before else 0
-    known = before["written"] if before else {}
-    after["written"] = {gen: known.get(gen, len(live)) for gen, live in after["live"].items()}
+    written, sizes = (before["written"], before["sizes"]) if before else ({}, {})
+    after["written"] = {gen: written.get(gen, len(live)) for gen, live in after["live"].items()}
+    after["sizes"] = {
+        gen: sizes[gen] if gen in sizes else paths.size(spark, f"{path}/data/{_GEN}={gen}") for gen in after["live"]
+    }
     folder = f"{path}/_versions"
     draft = f"{folder}/.{uuid.uuid4().hex}"
     paths.write_text(spark, draft, json.dumps(after))
@@ -138,6 +141,16 @@ def _bucket_count(size: int) -> int:
     return max(1, min(_MAX_BUCKETS, math.ceil(size / _BUCKET_BYTES)))
 
 
+def _fitting_count(state: dict) -> int:
+    """Bucket count for the next rewrite: the table's own until it has clearly outgrown it.
+
+    A table that a stream began with a small batch would otherwise keep its few buckets for ever.
+    """
+    live = sum(size * len(state["live"][gen]) / state["written"][gen] for gen, size in state["sizes"].items())
+    wanted = _bucket_count(math.ceil(live))
+    return wanted if wanted >= 4 * state["buckets"] else state["buckets"]
+
+
 def _balanced(df: DataFrame, buckets: int) -> DataFrame:
     # Adaptive execution sizes the output: small buckets share a task, large ones are split. With
     # more partitions than buckets few buckets meet in one partition, so splits stay whole files.
@@ -288,7 +301,9 @@ def update(spark: SparkSession, path: str, updates: DataFrame, keys, *, batch: t
 def _rewrite(spark: SparkSession, path: str, state: dict, changes: DataFrame, keys, batch, unique: bool,
              merge_rows) -> bool:
     """Replace the buckets that ``changes`` fall into by the result of ``merge_rows``."""
-    bucket = _bucket_of(state["keys"], state["buckets"])
+    count = _fitting_count(state)
+    grown = count != state["buckets"]
+    bucket, new_bucket = _bucket_of(state["keys"], state["buckets"]), _bucket_of(state["keys"], count)
     cached = changes.is_cached
     changes = changes if cached else changes.persist()
     try:
@@ -299,27 +314,32 @@ def _rewrite(spark: SparkSession, path: str, state: dict, changes: DataFrame, ke
             return False
         gen, live = None, []
         if touched:
+            if grown:
+                touched = {b for live_buckets in state["live"].values() for b in live_buckets}
             if not unique:
                 aligned = ops.require_unique(aligned, keys)
             # A small change set is broadcast: rows remaining stay in the tasks that read their
             # bucket files and need no shuffle. Otherwise they are gathered by bucket again.
             small = plan_bytes(changes) <= _broadcast_limit(spark)
+            in_place = small and not grown
             current = _read(spark, path, state, touched)
             merged = merge_rows(current, aligned, keys, small=small)
-            if small and merged.added is not None:
+            if in_place and merged.added is not None:
                 rows = merged.remaining.withColumn(BUCKET, bucket).unionByName(
-                    _balanced(merged.added.withColumn(BUCKET, bucket), state["buckets"])
+                    _balanced(merged.added.withColumn(BUCKET, bucket), count)
                 )
             else:
-                rows = merged.rows.withColumn(BUCKET, bucket)
-            with sized_shuffles(spark, 0 if small else plan_bytes(current)):
-                gen, live = _write(spark, rows, path, None if small else state["buckets"])
+                rows = merged.rows.withColumn(BUCKET, new_bucket)
+            with sized_shuffles(spark, 0 if in_place else plan_bytes(current)):
+                gen, live = _write(spark, rows, path, None if in_place else count)
+        else:
+            count = state["buckets"]
         kept = {g: [b for b in bs if b not in touched] for g, bs in state["live"].items()}
         kept = {g: bs for g, bs in kept.items() if bs}
         if live:
             kept[gen] = live
         _commit(spark, path, state, {
-            **state, "live": kept, "schema": _merged_schema(state["schema"], changes.schema),
+            **state, "live": kept, "buckets": count, "schema": _merged_schema(state["schema"], changes.schema),
             "batches": _batches(state, batch),
         })
         return True

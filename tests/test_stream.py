@@ -215,22 +215,26 @@ def test_source_archiving_and_fallback(spark, zones, root):
 
 def test_source_log_with_compact_files(spark, zones):
     moving = cdc.Zones(**{**zones.__dict__, "max_files": 1, "metrics": None})
-    for i in range(12):
+    for i in range(5):
         put(changes(spark, (i, "a", "I", f"{i:02d}")), zones, order=i)
-    run(spark, moving)
+    spark.conf.set("spark.sql.streaming.fileSource.log.compactInterval", "3")
+    try:
+        run(spark, moving)
+    finally:
+        spark.conf.unset("spark.sql.streaming.fileSource.log.compactInterval")
     folder = f"{zones.stream_checkpoint(*NAME)}/sources/0"
     assert any(n.endswith(".compact") for n in os.listdir(folder))
     with open(f"{folder}/99.tmp", "w") as out:
         out.write('v1\n{"path":"file:/x.parquet","timestamp":1,"batchId":99}')
     logged = committed_files(spark, zones.stream_checkpoint(*NAME))
-    assert sorted(r.batchId for r in logged.collect()) == list(range(12))
-    assert cdc.batch_files(spark, zones.stream_checkpoint(*NAME), 9) != []
+    assert sorted(r.batchId for r in logged.collect()) == list(range(5))
+    assert cdc.batch_files(spark, zones.stream_checkpoint(*NAME), 2) != []
     assert jobs.all_processed(spark, [NAME], moving)
     inventory = {r.path for r in file_inventory(spark, zones.raw, [NAME]).collect()}
     assert {r.path for r in logged.collect()} == inventory
     put(changes(spark, (99, "a", "I", "99")), zones, order=99)
     assert not jobs.all_processed(spark, [NAME], moving)
-    assert len(curated(spark, zones)) == 12
+    assert len(curated(spark, zones)) == 5
 
 
 def test_stream_schema_is_the_contract(spark, zones):

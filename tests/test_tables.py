@@ -1,9 +1,10 @@
 import os
 
 import pytest
-from helpers import changes, state
+from helpers import CONTRACT, changes, state
 from pyspark.sql import functions as F
 
+from cdclake.operators.validate import only_inserts, validate
 from cdclake.sources import tables
 
 
@@ -78,6 +79,32 @@ def test_only_touched_buckets_are_rewritten(spark, path):
     assert sum(len(b) for b in after["live"].values()) == 8
 
 
+def test_a_grown_table_gets_more_buckets(spark, path, monkeypatch):
+    tables.append(spark, path, changes(spark, *[(i, "a", "I", "") for i in range(30)]), ["pk"], buckets=1)
+    monkeypatch.setattr(tables, "_BUCKET_BYTES", 200)
+    tables.merge(spark, path, changes(spark, (1, "b", "U", "1"), (2, None, "D", "1"), (99, "n", "I", "1")), ["pk"])
+    state_after = tables.table_state(spark, path)
+    assert state_after["buckets"] >= 4
+    assert len(state_after["live"]) == 1
+    expected = {i: "a" for i in range(30)} | {1: "b", 99: "n"}
+    del expected[2]
+    assert read(spark, path) == sorted(expected.items(), key=repr)
+    monkeypatch.undo()
+    tables.merge(spark, path, changes(spark, (99, "m", "U", "2"), (3, None, "D", "2")), ["pk"])
+    del expected[3]
+    assert read(spark, path) == sorted((expected | {99: "m"}).items(), key=repr)
+    assert tables.table_state(spark, path)["buckets"] == state_after["buckets"]
+
+
+def test_scans_read_what_is_needed(spark, path):
+    tables.append(spark, path, changes(spark, (1, "a", "I", "")), ["pk"])
+    plan = tables.read_table(spark, path).select("pk")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<pk:int>" in plan
+    raw = spark.read.parquet(tables.table_folders(tables.table_state(spark, path), path)[0])
+    checked = validate(only_inserts(raw), CONTRACT)
+    assert "EqualTo(Op,I)" in checked._jdf.queryExecution().executedPlan().toString()
+
+
 def test_a_batch_is_applied_once(spark, path):
     for _ in range(2):
         tables.append(spark, path, changes(spark, (1, "a", "I", "")), ["pk"], batch=("q", 3))
