@@ -14,11 +14,11 @@ def event_millis(column: Column) -> Column:
     return F.unix_millis(F.try_to_timestamp(F.concat(column, F.lit("Z")), F.lit(EVENT_TIME + "XXX")))
 
 
-def latency_stats(df: DataFrame, column: str, now_ms: int) -> DataFrame:
+def latency_stats(df: DataFrame, column: str, now_ms: int, *also: Column) -> DataFrame:
     """One row ``minimum, maximum, sum, total_count`` of ``now - event time`` in milliseconds.
 
     ``total_count`` counts non-null event times, readable or not. All four are 0 when no event
-    time can be read.
+    time can be read. ``also`` lists further aggregates of the same pass.
     """
     latency = F.lit(now_ms).cast("long") - event_millis(F.col(column))
     stats = df.agg(
@@ -26,7 +26,9 @@ def latency_stats(df: DataFrame, column: str, now_ms: int) -> DataFrame:
         F.max(latency).alias("maximum"),
         F.sum(latency).alias("sum"),
         F.count(F.col(column)).alias("total_count"),
+        *also,
     )
     zero = F.lit(0).cast("long")
     readable = F.col("minimum").isNotNull()
-    return stats.select(*[F.when(readable, F.col(c)).otherwise(zero).alias(c) for c in stats.columns])
+    names, others = stats.columns[:4], stats.columns[4:]
+    return stats.select(*[F.when(readable, F.col(c)).otherwise(zero).alias(c) for c in names], *others)

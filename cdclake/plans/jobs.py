@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
@@ -98,9 +99,10 @@ def load_table(spark: SparkSession, raw: DataFrame, contract: TableContract, zon
     def copy_structured(rows: DataFrame) -> None:
         tables.copy_table(spark, structured_path, curated_path)
 
-    structured = write_or_quarantine("structured", valid, zones, contract, "load", append_into(structured_path))
+    run = f"load-{uuid.uuid4().hex}"
+    structured = write_or_quarantine("structured", valid, zones, contract, run, append_into(structured_path))
     into_curated = copy_structured if first and structured is valid else append_into(curated_path)
-    curated = write_or_quarantine("curated", structured, zones, contract, "load", into_curated)
+    curated = write_or_quarantine("curated", structured, zones, contract, run, into_curated)
     if zones.mirror is not None:
         zones.mirror(mirror_shape(curated), contract)
 

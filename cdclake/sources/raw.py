@@ -115,8 +115,15 @@ def file_inventory(spark: SparkSession, root: str, tables, regex: str = PARQUET_
 
 def stream_raw(spark: SparkSession, glob: str, schema: T.StructType, *, max_files: int = 1000,
                archive_dir: str | None = None) -> DataFrame:
-    """Stream of change files with a known schema; read files may be moved to ``archive_dir``."""
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
+    """Stream of change files with a known schema; read files may be moved to ``archive_dir``.
+
+    A file that has gone since it was listed is passed over: another job may archive raw files.
+    """
+    reader = (
+        spark.readStream.schema(schema)
+        .option("maxFilesPerTrigger", max_files)
+        .option("ignoreMissingFiles", True)
+    )
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     return reader.parquet(glob)
@@ -151,7 +158,7 @@ def committed_files(spark: SparkSession, checkpoint: str) -> DataFrame:
     if not wanted:
         return spark.createDataFrame([], _SOURCE_LOG)
     lines = spark.read.text(wanted).where(F.col("value").startswith("{"))
-    logged = lines.select(F.from_json("value", _SOURCE_LOG).alias("f")).select("f.*").distinct()
+    logged = lines.select(F.from_json("value", _SOURCE_LOG).alias("f")).select("f.*")
     return logged.withColumn("path", listed_path("path"))
 
 

@@ -147,9 +147,10 @@ METRICS = (
 
 def batch_metrics(structured: DataFrame, curated: DataFrame, written: float) -> dict[str, int]:
     """Rows written per zone and the latency from event to curated zone."""
-    latency = latency_stats(curated, TIMESTAMP, int(written * 1000)).first().asDict()
-    rows = curated.count()
-    return {f"latency_{name}": value for name, value in latency.items()} | {
+    counted = F.count(F.lit(1)).alias("rows_curated")
+    row = latency_stats(curated, TIMESTAMP, int(written * 1000), counted).first().asDict()
+    rows = row.pop("rows_curated")
+    return {f"latency_{name}": value for name, value in row.items()} | {
         "rows_structured": rows if structured is curated else structured.count(), "rows_curated": rows,
     }
 

@@ -338,7 +338,7 @@ def test_database_statements():
     ]
     keys_only = TableContract("src", "items", ("PK",), T.StructType(schema.fields[:1]))
     assert "UPDATE" not in jdbc.merge_statement(keys_only, "a", "b")
-    assert jdbc.Database("jdbc:x", schema="oms", upper_case=True).table_name("items") == "OMS.ITEMS"
+    assert jdbc.Database("jdbc:x", schema="shop", upper_case=True).table_name("items") == "SHOP.ITEMS"
     assert jdbc.partition_options(None, 1, 2, 3) == {}
     assert jdbc.partition_options("id", 1, 9, 4) == {"column": "id", "lowerBound": 1, "upperBound": 9, "numPartitions": 4}
 
