@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdclake.llm import decontaminate
+from cdclake.llm import decontaminate, jaccard
 from cdclake.llm.tables import held_out
 
 
@@ -23,7 +23,12 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.ngram_join(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op10_decontaminate": op10_decontaminate,
 }
 
@@ -31,6 +36,32 @@ _WORDS = """regexp_extract_all(
     translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"""
 
 SQL: dict[str, str] = {
+    "op7_ngram_jaccard_join": f"""
+WITH RECURSIVE words AS (SELECT doc_id, coalesce({_WORDS}, []) AS w FROM documents),
+named AS (SELECT doc_id, w, array_to_string(w, ' ') AS seq FROM words),
+classes AS (SELECT seq, min(doc_id) AS rep, count(*) AS copies FROM named WHERE len(w) > 0 GROUP BY seq),
+texts AS (SELECT DISTINCT c.rep, n.w FROM classes c JOIN named n ON n.doc_id = c.rep),
+shingles AS (
+  SELECT DISTINCT rep, array_to_string(w[i:i + 4], ' ') AS shingle
+  FROM (SELECT rep, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM texts) x),
+sizes AS (SELECT rep, count(*) AS n FROM shingles GROUP BY rep),
+shared AS (
+  SELECT a.rep AS a, b.rep AS b, count(*) AS both
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.rep <> b.rep GROUP BY a.rep, b.rep),
+links AS (
+  SELECT s.a, s.b FROM shared s JOIN sizes x ON x.rep = s.a JOIN sizes y ON y.rep = s.b
+  WHERE CAST(s.both AS DOUBLE) / (x.n + y.n - s.both) >= CAST(0.8 AS DOUBLE)),
+reach AS (
+  SELECT rep AS node, rep AS other FROM classes
+  UNION
+  SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.other),
+groups AS (SELECT node, min(other) AS component FROM reach GROUP BY node),
+counts AS (SELECT l.a AS rep, sum(c.copies) AS n FROM links l JOIN classes c ON c.rep = l.b GROUP BY l.a)
+SELECT d.doc_id, coalesce(c.rep, d.doc_id) AS class_id,
+  CAST(coalesce(c.copies, 1) - 1 + coalesce(k.n, 0) AS BIGINT) AS n_links,
+  coalesce(g.component, d.doc_id) AS component_id, d.doc_id = coalesce(g.component, d.doc_id) AS kept
+FROM named d LEFT JOIN classes c ON c.seq = d.seq AND len(d.w) > 0
+LEFT JOIN counts k ON k.rep = c.rep LEFT JOIN groups g ON g.node = c.rep""",
     "op10_decontaminate": f"""
 WITH d AS (SELECT doc_id, coalesce({_WORDS}, []) AS w FROM documents),
 items AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),
