@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdclake.llm import decontaminate, jaccard
+from cdclake.llm import decontaminate, jaccard, packing
 from cdclake.llm.tables import held_out
 
 
@@ -23,11 +24,16 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.ngram_join(_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op2_best_fit_packing": op2_best_fit_packing,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op10_decontaminate": op10_decontaminate,
 }
