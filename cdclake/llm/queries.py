@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdclake.llm import decontaminate, jaccard, packing
+from cdclake.llm import decontaminate, jaccard, language, packing
 from cdclake.llm.tables import held_out
 
 
@@ -28,12 +28,21 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = language.predict(docs.select("doc_id", "text"), language.learn(docs))
+    return found.select(
+        "doc_id", F.coalesce(held_out("doc_id"), F.lit(True)).alias("held_out"), "language.lang_pred", "language.score"
+    )
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.ngram_join(_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_language_id": op3_language_id,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op10_decontaminate": op10_decontaminate,
 }
