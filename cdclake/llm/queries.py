@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdclake.llm import decontaminate, jaccard, language, packing
+from cdclake.llm import decontaminate, jaccard, language, packing, toxicity
 from cdclake.llm.tables import held_out
 
 
@@ -36,6 +36,14 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = toxicity.score(docs, toxicity.learn(docs, _table(spark, sf_dir, "labels")))
+    return found.select(
+        "doc_id", F.coalesce(held_out("doc_id"), F.lit(True)).alias("held_out"), "toxicity.score", "toxicity.predicted"
+    )
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.ngram_join(_table(spark, sf_dir, "documents"))
 
@@ -43,6 +51,7 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_language_id": op3_language_id,
+    "op5_toxicity": op5_toxicity,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op10_decontaminate": op10_decontaminate,
 }
