@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from cdclake.llm.components import components
 from cdclake.llm.tables import (
-    column, group_pairs, local_roots, numpy_column, runs, shuffle_tasks, whole_groups, with_struct, written,
+    column, group_pairs, id_filter, local_roots, numpy_column, passes, runs, shuffle_tasks, whole_groups, with_struct, written,
 )
-from cdclake.llm.words import Words, band_hashes, choose_bands, min_hashes
+from cdclake.llm.words import Words, band_hashes, choose_bands, min_hashes, slices
 
 NGRAM = 5
 SIMILARITY = 0.8
@@ -21,7 +21,12 @@ MOST_HASHES = 128
 BLOCK = 256
 BLOCK_WORDS = 1 << 20
 _CELLS = 16 << 20
-_GROUP = ["band", "bucket", "block_a", "block_b"]
+_GROUP = ["bucket", "block_a", "block_b"]
+
+
+def _digests(words: Words) -> pa.Array:
+    joined = np.stack(words.digests(), axis=1).tobytes()
+    return pa.array([joined[i : i + 16] for i in range(0, len(joined), 16)], pa.binary())
 
 
 def signatures(
@@ -33,13 +38,13 @@ def signatures(
         def sign(texts: pa.Array, _) -> list[pa.Array]:
             words = Words(texts)
             n = np.diff(words.first)
-            first, second = words.digests()
-            digest = np.stack([first, second], axis=1).tobytes()
             shingles, at = words.shingles(ngram)
-            hashes = band_hashes(min_hashes(shingles, at, bands * rows), bands, rows).view(np.int64)
+            hashes = band_hashes(min_hashes(shingles, at, bands * rows), bands, rows)
+            # A bucket is a hash with its band in the low byte.
+            hashes = (hashes & ~np.uint64(255) | np.arange(bands, dtype=np.uint64)).view(np.int64)
             counts = np.append(0, np.cumsum(np.where(n > 0, bands, 0)))
             return [
-                pa.array([digest[i : i + 16] for i in range(0, len(digest), 16)], pa.binary()), pa.array(n, pa.int64()),
+                _digests(words), pa.array(n, pa.int64()),
                 pa.ListArray.from_arrays(pa.array(counts, pa.int32()), pa.array(hashes[n > 0].ravel())),
             ]
 
@@ -77,7 +82,7 @@ def _bucket_pairs(table: pa.Table, bounds: np.ndarray):
     """Pairs of a table's groups that belong to this bucket: those that collide in no earlier band."""
     bands = table.column("bands").combine_chunks()
     hashes = bands.flatten().to_numpy(zero_copy_only=False).reshape(table.num_rows, -1)
-    band = numpy_column(table, "band")
+    band = numpy_column(table, "bucket") & 255
     rep, own = numpy_column(table, "rep"), numpy_column(table, "own")
     across = numpy_column(table, "block_a") != numpy_column(table, "block_b")
     for _, left, right in group_pairs(bounds):
@@ -157,21 +162,20 @@ def _verify(similarity: float):
     return lambda batches: whole_groups(batches, _GROUP, rows)
 
 
-def full_sets(docs: DataFrame, text: str, ngram: int) -> DataFrame:
-    """Rows (digest, set): the distinct n-gram hashes of each text, sorted, as bytes."""
-
-    def start():
-        def sets(texts: pa.Array, _) -> list[pa.Array]:
-            words = Words(texts)
-            digest = np.stack(words.digests(), axis=1).tobytes()
-            shingles, at = words.shingles(ngram)
-            distinct = [np.unique(shingles[a:b]).tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
-            return [pa.array([digest[i : i + 16] for i in range(0, len(digest), 16)], pa.binary()), pa.array(distinct, pa.binary())]
+def full_sets(docs: DataFrame, bits: np.ndarray, ngram: int) -> DataFrame:
+    """Rows (digest, set) of documents whose id passes a filter: their distinct n-gram hashes, sorted, as bytes."""
 
-        return sets
+    def sets(batches):
+        for batch in batches:
+            batch = batch.filter(pa.array(passes(batch.column(0).to_numpy(zero_copy_only=False), bits)))
+            for first, last in slices(batch.column(1)):
+                words = Words(batch.column(1).slice(first, last - first))
+                shingles, at = words.shingles(ngram)
+                distinct = [np.unique(shingles[a:b]).tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays([_digests(words), pa.array(distinct, pa.binary())], names=["digest", "set"])
 
-    made = with_struct(docs.select(column(text).alias("text")), "s", "digest binary, set binary", start, "text")
-    return made.groupBy("s.digest").agg(F.first("s.set").alias("set"))
+    made = docs.filter("doc_id IS NOT NULL").mapInArrow(sets, "digest binary, set binary")
+    return made.groupBy("digest").agg(F.first("set").alias("set"))
 
 
 def ngram_join(
@@ -207,13 +211,14 @@ def ngram_join(
     )
     classes = written(classes, "classes")
 
-    members = classes.select("rep", "digest", "copies", "n", "bands", F.posexplode("bands").alias("band", "bucket"))
-    grouped = by_group(in_blocks(members, ["band", "bucket"], "digest"))
+    # Buckets are counted and cut with small rows; only members of shared buckets get their bands.
+    members = classes.select("digest", "n", F.explode("bands").alias("bucket"))
+    shared = in_blocks(members, ["bucket"], "digest").drop("n")
+    grouped = by_group(shared.join(classes.select("digest", "rep", "copies", "bands"), "digest"))
     needed = written(grouped.mapInArrow(_needed, grouped.schema), "candidates")
 
-    wanted = needed.select(F.col("rep").alias("doc_id")).distinct()
-    sets = full_sets(ids.join(wanted, "doc_id", "left_semi"), "text", ngram)
-    full = by_group(needed.join(sets, "digest"))
+    bits = id_filter(needed.select("rep").distinct(), "rep")
+    full = by_group(needed.join(full_sets(ids, bits, ngram), "digest"))
     found = written(full.mapInArrow(_verify(similarity), "rep long, links long, root long"), "links")
 
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))

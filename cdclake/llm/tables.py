@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cdclake.llm.words import CHUNK, slices
+from cdclake.llm.words import CHUNK, mixed, slices
 from cdclake.session import scratch_dir
 
 
@@ -158,3 +158,38 @@ def with_struct(
     rows = df.select(F.struct(*[column(c) for c in df.columns]).alias("row"))
     schema = T.StructType([T.StructField("row", df.schema), T.StructField("added", added)])
     return rows.mapInArrow(run, schema).select("row.*", F.col("added").alias(name))
+
+
+def id_filter(ids: DataFrame, name: str, most_bits: int = 1 << 27) -> np.ndarray:
+    """Bits that are set for every id of a column, and for few others while there is room.
+
+    It may be sent to every task: it has at most ``most_bits`` bits. With more ids than these can tell
+    apart it lets more pass, in the end everything, so it only ever spares work.
+    """
+    n = ids.count()
+    words = min(most_bits, 1 << max(16, (16 * n).bit_length())) >> 6
+
+    def bits(batches):
+        own = np.zeros(words, dtype=np.uint64)
+        for batch in batches:
+            for at, bit in filter_bits(batch.column(0).to_numpy(zero_copy_only=False), words):
+                np.bitwise_or.at(own, at, bit)
+        used = np.flatnonzero(own)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(own[used].view(np.int64))], names=["word", "bits"])
+
+    parts = ids.select(column(name).cast("long")).mapInArrow(bits, "word long, bits long")
+    table = parts.groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    out = np.zeros(words, dtype=np.uint64)
+    out[table.column("word").to_numpy()] = table.column("bits").to_numpy().view(np.uint64)
+    return out
+
+
+def filter_bits(ids: np.ndarray, words: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Word and bit of each id for each of two hashes."""
+    hashes = [mixed(ids.astype(np.int64).view(np.uint64), seed) for seed in (1, 2)]
+    return [((h >> np.uint64(6)) % np.uint64(words), np.uint64(1) << (h & np.uint64(63))) for h in hashes]
+
+
+def passes(ids: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    (a, x), (b, y) = filter_bits(ids, len(bits))
+    return ((bits[a] & x) != 0) & ((bits[b] & y) != 0)
