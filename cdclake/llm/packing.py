@@ -24,6 +24,8 @@ def token_pieces(docs: DataFrame, tokenizer: str, doc_id: str, text: str, capaci
     """
 
     def start():
+        # Spark runs a task per core already; the library's own threads would only take memory.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         encoder = WordEncoder(tokenizer)
 
         def pieces(texts: pa.Array, _) -> list[pa.Array]:
@@ -43,7 +45,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, doc_id: str, text: str, capaci
         return pieces
 
     ids = docs.select(column(doc_id).alias("doc_id"), column(text).cast("string").alias("text"))
-    cut = with_struct(ids, "p", "start array<long>, length array<long>, ids_crc32 array<long>", start, "text")
+    cut = with_struct(ids, "p", "start array<long>, length array<long>, ids_crc32 array<long>", start, "text", 1 << 19)
     zipped = F.arrays_zip(F.col("p.start").alias("start"), F.col("p.length").alias("length"), F.col("p.ids_crc32").alias("ids_crc32"))
     return cut.select("doc_id", F.posexplode(zipped).alias("piece", "p")).select("doc_id", "piece", "p.*")
 

@@ -31,7 +31,7 @@ class WordEncoder:
     of them; then all are forgotten.
     """
 
-    def __init__(self, path: str, memory: int = 400_000):
+    def __init__(self, path: str, memory: int = 200_000):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
