@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdclake.llm import decontaminate, jaccard, language, packing, toxicity
+from cdclake.llm import decontaminate, embeddings, jaccard, language, packing, toxicity
 from cdclake.llm.tables import held_out
 
 
@@ -36,6 +36,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = toxicity.score(docs, toxicity.learn(docs, _table(spark, sf_dir, "labels")))
@@ -51,6 +55,7 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_language_id": op3_language_id,
+    "op4_embedding_near_dedup": op4_embedding_near_dedup,
     "op5_toxicity": op5_toxicity,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op10_decontaminate": op10_decontaminate,
@@ -60,6 +65,19 @@ _WORDS = """regexp_extract_all(
     translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"""
 
 SQL: dict[str, str] = {
+    "op4_embedding_near_dedup": """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= CAST(0.93 AS DOUBLE)),
+reach AS (
+  SELECT vec_id AS node, vec_id AS other FROM v
+  UNION
+  SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.other),
+groups AS (SELECT node, min(other) AS component FROM reach GROUP BY node),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT v.vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component AS component_id, component = v.vec_id AS kept
+FROM v JOIN groups ON node = v.vec_id LEFT JOIN counts ON a = v.vec_id""",
     "op7_ngram_jaccard_join": f"""
 WITH RECURSIVE words AS (SELECT doc_id, coalesce({_WORDS}, []) AS w FROM documents),
 named AS (SELECT doc_id, w, array_to_string(w, ' ') AS seq FROM words),
