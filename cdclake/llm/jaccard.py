@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -56,11 +58,12 @@ def signatures(
 def in_blocks(members: DataFrame, keys: list[str], by: str) -> DataFrame:
     """Spread buckets of any size over groups of at most about two blocks, so that all pairs meet once.
 
-    A bucket is cut into blocks of about ``BLOCK`` members and ``BLOCK_WORDS`` words (column ``n``) by a
-    hash of ``by``; each pair of blocks, and each block with itself, is a group
+    A bucket is cut into blocks of about ``BLOCK`` members and ``BLOCK_WORDS`` words (column ``n``, if
+    there is one) by a hash of ``by``; each pair of blocks, and each block with itself, is a group
     (``block_a`` <= ``block_b``). Buckets with one member go. Sizes are counted before any shuffle.
     """
-    sizes = members.groupBy(*keys).agg(F.count("*").alias("members"), F.sum("n").alias("words"))
+    words = F.sum("n") if "n" in members.columns else F.lit(0)
+    sizes = members.groupBy(*keys).agg(F.count("*").alias("members"), words.alias("words"))
     parts = F.greatest(F.ceil(F.col("members") / BLOCK), F.ceil(F.col("words") / BLOCK_WORDS)).cast("int")
     parts = F.least(parts, F.col("members").cast("int"))
     own = F.pmod(F.xxhash64(by, F.lit(11)), F.col("parts")).cast("int")
@@ -178,6 +181,24 @@ def full_sets(docs: DataFrame, bits: np.ndarray, ngram: int) -> DataFrame:
     return made.groupBy("digest").agg(F.first("set").alias("set"))
 
 
+def linked_classes(
+    classes: DataFrame, members: DataFrame, sets: Callable[[np.ndarray], DataFrame], similarity: float,
+) -> DataFrame:
+    """Rows (rep, links, root) of classes with similar ones: sums of links and a spanning forest, in parts.
+
+    ``classes`` has (digest, rep, copies, bands), ``members`` a row (digest, bucket) per band, and ``sets``
+    gives the full sets (digest, set) of classes whose ``rep`` passes a filter. Buckets are counted and
+    cut with small rows; only members of shared buckets get their bands, and of these only those with
+    pairs to verify their sets.
+    """
+    shared = in_blocks(members, ["bucket"], "digest").drop("n")
+    grouped = by_group(shared.join(classes.select("digest", "rep", "copies", "bands"), "digest"))
+    needed = written(grouped.mapInArrow(_needed, grouped.schema), "candidates")
+    bits = id_filter(needed.select("rep").distinct(), "rep")
+    full = by_group(needed.join(sets(bits), "digest"))
+    return written(full.mapInArrow(_verify(similarity), "rep long, links long, root long"), "links")
+
+
 def ngram_join(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, ngram: int = NGRAM,
     recall: float = RECALL, most_hashes: int = MOST_HASHES,
@@ -211,15 +232,8 @@ def ngram_join(
     )
     classes = written(classes, "classes")
 
-    # Buckets are counted and cut with small rows; only members of shared buckets get their bands.
     members = classes.select("digest", "n", F.explode("bands").alias("bucket"))
-    shared = in_blocks(members, ["bucket"], "digest").drop("n")
-    grouped = by_group(shared.join(classes.select("digest", "rep", "copies", "bands"), "digest"))
-    needed = written(grouped.mapInArrow(_needed, grouped.schema), "candidates")
-
-    bits = id_filter(needed.select("rep").distinct(), "rep")
-    full = by_group(needed.join(full_sets(ids, bits, ngram), "digest"))
-    found = written(full.mapInArrow(_verify(similarity), "rep long, links long, root long"), "links")
+    found = linked_classes(classes, members, lambda bits: full_sets(ids, bits, ngram), similarity)
 
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     groups = components(found, "rep", "root").withColumnRenamed("node", "rep")

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdclake.llm import decontaminate, embeddings, jaccard, language, packing, substrings, toxicity, warc
+from cdclake.llm import decontaminate, embeddings, jaccard, language, packing, paragraphs, substrings, toxicity, warc
 from cdclake.llm.tables import held_out
 
 
@@ -14,6 +14,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraphs.repeated_paragraphs(_table(spark, sf_dir, "documents"))
+
+
 def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(_table(spark, sf_dir, "documents"))
 
@@ -67,6 +71,7 @@ QUERIES = {
     "op4_embedding_near_dedup": op4_embedding_near_dedup,
     "op5_toxicity": op5_toxicity,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_decontaminate": op10_decontaminate,
 }
