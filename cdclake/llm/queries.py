@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdclake.llm import decontaminate, embeddings, jaccard, language, packing, paragraphs, substrings, toxicity, warc
+from cdclake.llm import decontaminate, embeddings, jaccard, language, packing, paragraphs, secrets, substrings, toxicity, warc
 from cdclake.llm.tables import held_out
 
 
@@ -60,6 +60,11 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "start", "length", "fingerprint", "score", "secret")
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.ngram_join(_table(spark, sf_dir, "documents"))
 
@@ -70,6 +75,7 @@ QUERIES = {
     "op3_language_id": op3_language_id,
     "op4_embedding_near_dedup": op4_embedding_near_dedup,
     "op5_toxicity": op5_toxicity,
+    "op6_secret_scan": op6_secret_scan,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
