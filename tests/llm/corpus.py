@@ -1,0 +1,57 @@
+"""Small made texts for tests, and slow plain versions to compare with."""
+
+import random
+import re
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+_SYLLABLES = {"aa": "ka lo mi ta re su no".split(), "bb": "stra gru pfo zen ich wul".split(), "cc": "qui eau ment tion oux lle".split()}
+
+
+def prose(rng, lang="aa", words=60):
+    out = []
+    for k in range(words):
+        word = "".join(rng.choice(_SYLLABLES[lang]) for _ in range(rng.randint(1, 4)))
+        out.append(word.capitalize() if k % 9 == 0 else word)
+        if k % 9 == 8:
+            out[-1] += "." if rng.random() < 0.7 else ".\n"
+    return " ".join(out)
+
+
+def documents(seed=1, n=60):
+    """Prose with copies, near copies, a shared passage, empty, null, short and long texts, and repeated rows."""
+    rng = random.Random(seed)
+    texts = [prose(rng, rng.choice(list(_SYLLABLES)), rng.randint(20, 200)) for _ in range(n)]
+    rows = [(k, t) for k, t in enumerate(texts)]
+    for k in range(10):
+        near = texts[k].split(" ")
+        near[len(near) // 2] = "changed"
+        rows += [(100 + k, texts[k]), (200 + k, " ".join(near))]
+    passage = prose(rng, "bb", 90)
+    rows += [(300 + k, f"{prose(rng, 'aa', 25)} {passage} {prose(rng, 'cc', 30)}") for k in range(4)]
+    rows += [(400, None), (401, ""), (402, "one"), (403, "one"), (404, "... !!"), (None, "no id here at all"), (None, None)]
+    rows += [(405, "two words"), (405, "two words"), (406, " ".join(["again"] * 3000))]
+    return [(i, t, None if i is None or i % 7 == 0 else "aa", f"src{(i or 0) % 3}", None) for i, t in rows]
+
+
+def words(text):
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
+
+
+def shingles(text, n=5):
+    w = words(text)
+    return {tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))} if w else set()
+
+
+def reachable(nodes, links):
+    """The smallest node each one reaches."""
+    least = {v: v for v in nodes}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in links:
+            low = min(least[a], least[b])
+            if least[a] != low or least[b] != low:
+                least[a] = least[b] = low
+                changed = True
+    return least
