@@ -122,7 +122,8 @@ def repeated_paragraphs(
     ids = docs.select(column(doc_id).alias("doc_id"), column(text).cast("string").alias("text"))
     fields = ", ".join(f"{c}: bigint" for c in ["number", "digest", "start", "end", "n", *[f"b{k}" for k in range(bands)]])
     signed = with_struct(ids, "s", f"found array<struct<{fields}>>", _sign(bands, rows, ngram, least_words), "text")
-    found = signed.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.explode("s.found").alias("p"))
+    numbered = signed.withColumn("row", F.monotonically_increasing_id())
+    found = numbered.select("row", "doc_id", F.explode("s.found").alias("p"))
     names = [F.col(f"p.b{k}") for k in range(bands)]
     # The numbers of rows are written with them, so they stay as they are if a task is run again later.
     units = written(found.select("row", "doc_id", "p.number", "p.digest", "p.start", "p.end", "p.n", F.array(*names).alias("bands")), "paragraphs")

@@ -24,7 +24,7 @@ SPLIT_BYTES = 32 << 20
 _MAGIC = b"\x1f\x8b\x08"
 _VERSION = b"WARC/"
 _REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-#: A scan trusts a chain of this many members, or one that reaches the end of its range.
+#: A scan trusts a chain of this many members.
 _CHAIN = 64
 _BLOCK = 1 << 18
 
@@ -182,14 +182,20 @@ def _member(data: _Bytes, position: int) -> tuple[bytes, int] | None:
     return (record, position) if record.startswith(_VERSION) else None
 
 
-def _trusted(data: _Bytes, position: int, end: int) -> bool:
-    """Whether members follow each other from here on. A record may hold an archive itself; its chain ends with it."""
-    for _ in range(_CHAIN):
-        if position >= end or position >= data.size:
+def _trusted(data: _Bytes, position: int) -> bool:
+    """Whether the member here belongs to the file itself.
+
+    A record may hold an archive; the chain of its members ends where other bytes follow. A chain that
+    goes on for long, to the end of the file, or to a broken member, is the file's own.
+    """
+    for k in range(_CHAIN):
+        if position >= data.size:
             return True
+        if data.at(position, 3) != _MAGIC:
+            return False
         member = _member(data, position)
         if member is None:
-            return False
+            return k > 0
         position = member[1]
     return True
 
@@ -205,7 +211,7 @@ def members(data: _Bytes, start: int, end: int) -> Iterator[tuple[int, bytes]]:
         found = position if linked and data.at(position, 3) == _MAGIC else _find(data, position, end)
         if found is None:
             return
-        member = _member(data, found) if linked or _trusted(data, found, end) else None
+        member = _member(data, found) if linked or _trusted(data, found) else None
         if member is None:
             position, linked = found + 1, False
             continue
