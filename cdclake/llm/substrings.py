@@ -6,6 +6,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +17,7 @@ LENGTH = 400
 #: Suffixes are sampled by the hashes of this many bytes at their start.
 GRAM = 64
 #: Sampled suffixes with the same first bytes that one task sorts; more are compared window by window.
-MOST_SUFFIXES = 4096
+MOST_SUFFIXES = 1 << 16
 _SEGMENT = 4 << 20
 _PLACE = (1 << 24) - 1
 
@@ -257,24 +258,26 @@ def repeated_spans(prepared: DataFrame, suffixes: DataFrame, length: int, gram:
 def _cut(batches):
     """Remove the spans of each text; texts that have none are as their digest says."""
     for batch in batches:
-        columns = {n: batch.column(k).to_pylist() for k, n in enumerate(batch.schema.names)}
-        removed, spans, kept = [], [], []
-        for n, digest, text, found in zip(columns["n_bytes"], columns["digest"], columns["text"], columns["spans"], strict=True):
-            if not found:
-                removed.append(0)
-                spans.append(0)
-                kept.append(digest.hex())
-                continue
-            change = np.zeros(n + 1, dtype=np.int32)
-            np.add.at(change, [s["start"] for s in found], 1)
-            np.add.at(change, [s["end"] for s in found], -1)
-            gone = np.cumsum(change[:n]) > 0
-            removed.append(int(gone.sum()))
-            spans.append(int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()))
-            kept.append(hashlib.sha256(np.frombuffer(text.encode(), dtype=np.uint8)[~gone].tobytes()).hexdigest())
+        column_of = {name: batch.column(k) for k, name in enumerate(batch.schema.names)}
+        data, at = text_buffer(column_of["text"])
+        spans = column_of["spans"]
+        counts = np.nan_to_num(pa.compute.list_value_length(spans).to_numpy(zero_copy_only=False)).astype(np.int64)
+        edges = np.append(0, np.cumsum(counts))
+        flat = spans.flatten()
+        start, end = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("start", "end"))
+        removed, runs = np.zeros(batch.num_rows, dtype=np.int64), np.zeros(batch.num_rows, dtype=np.int64)
+        kept = [d.hex() for d in column_of["digest"].to_pylist()]
+        for row in np.flatnonzero(counts).tolist():
+            text = data[at[row] : at[row + 1]]
+            change = np.zeros(len(text) + 1, dtype=np.int32)
+            np.add.at(change, start[edges[row] : edges[row + 1]], 1)
+            np.add.at(change, end[edges[row] : edges[row + 1]], -1)
+            gone = np.cumsum(change[:-1]) > 0
+            removed[row] = gone.sum()
+            runs[row] = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
+            kept[row] = hashlib.sha256(text[~gone].tobytes()).hexdigest()
         yield pa.RecordBatch.from_arrays(
-            [batch.column(batch.schema.get_field_index("doc_id")), pa.array(columns["n_bytes"], pa.int64()), pa.array(removed, pa.int64()),
-             pa.array(spans, pa.int64()), pa.array(kept, pa.string())],
+            [column_of["doc_id"], column_of["n_bytes"], pa.array(removed), pa.array(runs), pa.array(kept, pa.string())],
             names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
         )
 
