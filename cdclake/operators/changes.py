@@ -59,26 +59,30 @@ def active_records(archive: DataFrame, keys) -> DataFrame:
 
 
 def require_unique(changes: DataFrame, keys) -> DataFrame:
-    """Fail when two changes carry the same key. Null keys match nothing and may repeat."""
-    window = Window.partitionBy(*[quoted(k) for k in keys]).orderBy(F.lit(1))
-    repeated = (F.row_number().over(window) > 1) & ~any_null(keys)
-    message = F.concat(
-        F.lit("Several changes for one key: "), F.to_json(F.struct(*[quoted(k) for k in keys]))
-    )
-    return (
-        changes.withColumn(_RANK, F.when(repeated, F.raise_error(message).cast("boolean")).otherwise(True))
-        .where(quoted(_RANK))
-        .drop(_RANK)
-    )
+    """Fail when two changes carry the same key. Null keys match nothing and may repeat.
+
+    Rows stay where they are: keys are counted beside them, before the shuffle, without the null ones.
+    """
+    names = [quoted(k) for k in keys]
+    counted = changes.where(~any_null(keys)).groupBy(*names).agg(F.count(F.lit(1)).alias(_RANK))
+    message = F.concat(F.lit("Several changes for one key: "), F.to_json(F.struct(*names)))
+    # Without a repeated key this part has no rows and nothing is raised. The error hangs on the count,
+    # so it cannot be moved below it; and all columns do, or the optimizer would drop a part that a
+    # later filter on known values empties.
+    failure = F.when(quoted(_RANK) > 1, F.raise_error(message))
+    failing = counted.where(F.coalesce(failure.cast("boolean"), F.lit(False)))
+    values = [quoted(f.name) if f.name in keys else failure.cast(f.dataType).alias(f.name) for f in changes.schema.fields]
+    return changes.unionByName(failing.select(*values))
 
 
 def _merge(current: DataFrame, changes: DataFrame, keys, *, replace: Column, delete: Column | None,
-           insert: Column | None, assign, out, small: bool = False) -> Merged:
+           insert: Column | None, assign, out, small: bool = False, newer: str | None = None) -> Merged:
     """``current`` with ``changes`` applied.
 
     ``replace``, ``delete`` and ``insert`` are conditions over the change row. ``assign`` lists the
     columns a matched change overwrites, ``out`` the columns of the result. ``small`` says that the
-    size of ``changes`` has been checked to suit a broadcast.
+    size of ``changes`` has been checked to suit a broadcast. ``newer`` names a column by which a
+    matched change must not be older than the row it meets.
     """
     incoming, existing = set(changes.columns), set(current.columns)
     new = changes.select(
@@ -91,13 +95,16 @@ def _merge(current: DataFrame, changes: DataFrame, keys, *, replace: Column, del
         joined = current.join(F.broadcast(new), all_of([quoted(a) == quoted(b) for a, b in pairs]), "left")
     else:
         joined = spread_join(current, new, pairs, "left")
+    applies = F.lit(True)
+    if newer in existing and newer in incoming:
+        applies = F.coalesce(quoted(f"__n_{newer}"), F.lit("")) >= F.coalesce(quoted(newer), F.lit(""))
     if delete is not None:
-        joined = joined.where(~F.coalesce(quoted("__delete"), F.lit(False)))
+        joined = joined.where(~F.coalesce(quoted("__delete") & applies, F.lit(False)))
     columns = []
     for name in out:
         value = quoted(name) if name in existing else F.lit(None).cast(changes.schema[name].dataType)
         if name in incoming and name in assign:
-            value = F.when(quoted("__replace"), quoted(f"__n_{name}")).otherwise(value)
+            value = F.when(quoted("__replace") & applies, quoted(f"__n_{name}")).otherwise(value)
         columns.append(value.alias(name))
     matched = joined.select(*columns)
     if insert is None:
@@ -106,7 +113,7 @@ def _merge(current: DataFrame, changes: DataFrame, keys, *, replace: Column, del
     if small:
         # Keep matching keys only, before anything is shuffled.
         stored = stored.join(F.broadcast(changes.select(*[quoted(k) for k in keys])), list(keys), "left_semi")
-    added = changes.where(insert).join(stored.distinct(), list(keys), "left_anti")
+    added = changes.where(insert).join(stored, list(keys), "left_anti")
     return Merged(matched, added.select(*[
         quoted(n) if n in incoming else F.lit(None).cast(current.schema[n].dataType).alias(n) for n in out
     ]))
@@ -116,26 +123,29 @@ def _union_columns(current: DataFrame, changes: DataFrame) -> list[str]:
     return [*current.columns, *[c for c in changes.columns if c not in current.columns]]
 
 
-def merge_changes(current: DataFrame, changes: DataFrame, keys, *, small: bool = False) -> Merged:
+def merge_changes(current: DataFrame, changes: DataFrame, keys, *, small: bool = False,
+                  newer: str | None = None) -> Merged:
     """:func:`apply_changes` in two parts, for changes known to be unique."""
     op = F.col(OP)
     return _merge(
-        current, changes, keys, small=small,
+        current, changes, keys, small=small, newer=newer,
         replace=op.isin(INSERT, UPDATE), delete=op == DELETE, insert=op != DELETE,
         assign=set(changes.columns), out=_union_columns(current, changes),
     )
 
 
-def apply_changes(current: DataFrame, changes: DataFrame, keys, *, unique: bool = False) -> DataFrame:
+def apply_changes(current: DataFrame, changes: DataFrame, keys, *, unique: bool = False,
+                  sequence_by: str | None = None) -> DataFrame:
     """Merge changes into a lake table.
 
     A matched insert or update overwrites all columns the change carries, a matched delete drops
     the row, an unmatched change is added unless it is a delete, anything else changes nothing.
     Columns the change lacks keep their value, columns new with the change are null in old rows.
     Fails on several changes for one key; pass ``unique=True`` after :func:`latest_records`.
+    With ``sequence_by``, a matched change with a lower value there than the row's changes nothing.
     """
     changes = changes if unique else require_unique(changes, keys)
-    return merge_changes(current, changes, keys).rows
+    return merge_changes(current, changes, keys, newer=sequence_by).rows
 
 
 def mirror_changes(current: DataFrame, changes: DataFrame, contract: TableContract, *,

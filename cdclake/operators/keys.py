@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cdclake.contracts import TableContract
@@ -56,10 +56,11 @@ def key_sample(a: DataFrame, b: DataFrame, keys, n: int = 20) -> DataFrame:
 
 
 def key_report(diffs: list[DataFrame]) -> DataFrame:
-    """All tables' key differences with a verdict per table and overall.
+    """All tables' key differences with a verdict per table.
 
-    The check passes when at least one table was compared and none has a difference; a comparison
-    of no tables at all is reported as failed by :func:`cdclake.operators.reconcile.check_result`.
+    Without any table the report has no rows, which :func:`cdclake.operators.reconcile.check_result`
+    reports as a failed check; otherwise the check passes if no table has a difference.
     """
-    rows = reduce(DataFrame.unionByName, diffs)
+    spark = SparkSession.active()
+    rows = reduce(DataFrame.unionByName, diffs, spark.createDataFrame([], "table string, only_a long, only_b long"))
     return rows.withColumn("matches", (F.col("only_a") == 0) & (F.col("only_b") == 0))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cdclake.contracts import DELETE, INSERT, OP, UPDATE
@@ -41,6 +41,13 @@ def count_by_op(changes: DataFrame, table: str | Column) -> DataFrame:
     return changes.agg(*counts).select(F.lit(table).alias("table"), *_COUNTS)
 
 
+def unknown_ops(changes: DataFrame, most: int = 20) -> DataFrame:
+    """Operations that no count includes, the most frequent ones, for a report."""
+    op = F.col(OP)
+    other = changes.where(op.isNull() | ~op.isin(INSERT, UPDATE, DELETE))
+    return other.groupBy(OP).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), OP).limit(most)
+
+
 def no_changes(spark: SparkSession, table: str) -> DataFrame:
     """Counts of a table without any change files."""
     zeros = [F.lit(0).cast("long").alias(n) for n in _COUNTS]
@@ -49,6 +56,8 @@ def no_changes(spark: SparkSession, table: str) -> DataFrame:
 
 def combine_counts(*counts: DataFrame) -> DataFrame:
     """Counts of several stores added up per table, such as raw files and their archive."""
+    if not counts:
+        raise ValueError("There are no counts to combine")
     rows = reduce(DataFrame.unionByName, counts)
     return rows.groupBy("table").agg(*[F.sum(n).alias(n) for n in _COUNTS])
 
@@ -169,3 +178,10 @@ def overall_result(results: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, results).agg(
         F.bool_and("ok").alias("ok"), F.count_if(~F.col("ok")).alias("failing_checks")
     )
+
+
+def with_overall(spark: SparkSession, results: list[DataFrame]) -> DataFrame:
+    """All check results, each with the verdict over all of them; checks are few, rows as many."""
+    empty = spark.createDataFrame([], "check string, ok boolean, tables long, failing long")
+    rows = reduce(lambda a, b: a.unionByName(b.select(*empty.columns)), results, empty)
+    return rows.withColumn("overall", F.bool_and("ok").over(Window.partitionBy(F.lit(1))))

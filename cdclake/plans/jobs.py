@@ -17,7 +17,7 @@ from cdclake.operators import reconcile as rec
 from cdclake.operators.backfill import BackfillError, backfill
 from cdclake.operators.changes import active_records
 from cdclake.operators.files import archive_plan, unprocessed_files
-from cdclake.operators.keys import key_diff, key_projection, key_report
+from cdclake.operators.keys import key_diff, key_projection, key_report, key_sample
 from cdclake.operators.mirror import mirror_shape
 from cdclake.operators.reload import diff_active, reload_stamp
 from cdclake.operators.validate import only_inserts, split_valid, validate
@@ -110,7 +110,7 @@ def load_table(spark: SparkSession, raw: DataFrame, contract: TableContract, zon
 # --- reload and backfill ----------------------------------------------------------------------
 
 def reload_diff_job(spark: SparkSession, table_names, contracts: Contracts, raw_root: str, archive_root: str,
-                    output: str, moment: datetime, *, glob: str = LOAD_GLOB, gigabytes: float = 1.0,
+                    output: str, moment: datetime, *, glob: str = LOAD_GLOB, gigabytes: float | None = None,
                     cores: int = 1, parallel: int = 4) -> None:
     """Write the differences between new snapshots and the archive, per table and kind."""
     stamp = reload_stamp(moment)
@@ -147,7 +147,7 @@ def reload_diff_job(spark: SparkSession, table_names, contracts: Contracts, raw_
 
 
 def archive_backfill(spark: SparkSession, contracts: Contracts, archive_root: str, output: str, *,
-                     glob: str = LOAD_GLOB, gigabytes: float = 1.0, cores: int = 1,
+                     glob: str = LOAD_GLOB, gigabytes: float | None = None, cores: int = 1,
                      parallel: int = 4) -> list[tuple[str, str]]:
     """Rewrite archived tables with the columns their contracts have gained; returns those written."""
     if not contracts:
@@ -206,6 +206,8 @@ def raw_change_counts(spark: SparkSession, contracts, *roots: str) -> DataFrame:
             try:
                 # One column under a given schema: no file is opened to find out its schema.
                 ops = spark.read.schema(f"{OP} string").parquet(contract.path(root))
+                for row in rec.unknown_ops(ops).collect():
+                    log.warning("%d changes of %s in %s have the unknown operation %s", row["n"], name, root, row[OP])
                 counts.append(rec.count_by_op(ops, name))
             except Exception as error:
                 if not has_condition(error, "PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
@@ -217,12 +219,18 @@ def raw_change_counts(spark: SparkSession, contracts, *roots: str) -> DataFrame:
 def key_check(spark: SparkSession, contracts, zones: Zones,
               source_keys: Callable[[TableContract], DataFrame]) -> DataFrame:
     """Keys of curated tables against keys of the source database."""
-    return key_report([
-        key_diff(
-            key_projection(tables.read_table(spark, c.path(zones.curated)), c), source_keys(c), c.keys, c.full_name
-        )
-        for c in contracts
-    ])
+    def both(contract: TableContract) -> tuple[DataFrame, DataFrame]:
+        stored = tables.read_table(spark, contract.path(zones.curated))
+        return key_projection(stored, contract), source_keys(contract)
+
+    report = key_report([key_diff(*both(c), c.keys, c.full_name) for c in contracts]).persist()
+    # The report is a row per table; the keys themselves are looked up for tables that differ.
+    wrong = {r["table"] for r in report.where(~F.col("matches")).select("table").collect()}
+    for contract in contracts:
+        if contract.full_name in wrong:
+            sample = key_sample(*both(contract), contract.keys).collect()
+            log.warning("Keys without a partner in %s, for example: %s", contract.full_name, [r.asDict() for r in sample])
+    return report
 
 
 class ReconciliationFailed(Exception):
@@ -231,17 +239,16 @@ class ReconciliationFailed(Exception):
 
 def reconcile(spark: SparkSession, reports: dict[str, Callable[[], DataFrame]],
               checks=rec.DEFAULT_CHECKS, *, fail: bool = False) -> DataFrame:
-    """Run the selected checks: one row each, with ``ok`` and the number of failing tables.
+    """Run the selected checks: one row each, with ``ok``, the number of failing tables and the ``overall`` verdict.
 
-    ``reports`` gives a report per check name, see :mod:`cdclake.operators.reconcile`.
+    Without any check the overall verdict is good. ``reports`` gives a report per check name, see :mod:`cdclake.operators.reconcile`.
     """
     known = {rec.STATE_COUNTS, rec.CHANGE_COUNTS, rec.KEY_CHECK}
     names = [c.strip().lower() for c in checks]
     for name in names:
         if name not in known:
             raise ValueError(f"Unknown reconciliation check: {name}")
-    results = [rec.check_result(reports[n](), n) for n in names]
-    combined = reduce(DataFrame.unionByName, results)
+    combined = rec.with_overall(spark, [rec.check_result(reports[n](), n) for n in names])
     if fail:
         failing = [r.check for r in combined.where(~F.col("ok")).select("check").collect()]
         if failing:
@@ -254,7 +261,7 @@ def reconcile(spark: SparkSession, reports: dict[str, Callable[[], DataFrame]],
 def committed_of(spark: SparkSession, table_names, zones: Zones) -> DataFrame:
     """Files taken in by the streams of all configured tables."""
     logs = [committed_files(spark, zones.stream_checkpoint(s, t)).select("path") for s, t in table_names]
-    return reduce(DataFrame.unionByName, logs)
+    return reduce(DataFrame.unionByName, logs, spark.createDataFrame([], "path string"))
 
 
 def plan_archiving(spark: SparkSession, table_names, zones: Zones, ledger: DataFrame, now: datetime,
@@ -280,7 +287,8 @@ def maintain(spark: SparkSession, root: str, action: Callable[[SparkSession, str
 
     def attempt(path: str) -> bool:
         try:
-            action(spark, path)
+            # Maintenance gives way to writers: it tries again on what they have left.
+            tables.with_retries(lambda: action(spark, path))
             return True
         except Exception:
             log.exception("Maintenance of %s failed", path)

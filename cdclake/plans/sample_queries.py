@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import dataclasses
+import threading
 from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
 
@@ -431,7 +433,23 @@ def reconcile_checks(spark, sf):
     return jobs.reconcile(spark, {
         rec.STATE_COUNTS: lambda: rec.state_report(_state_counts(spark, sf), relative=0.25),
         rec.KEY_CHECK: lambda: key_report([key_diff(lines, orders, ["k"], "shop.lines")]),
-    }, (rec.STATE_COUNTS, rec.KEY_CHECK))
+    }, (rec.STATE_COUNTS, rec.KEY_CHECK)).drop("overall")
+
+
+@query("reconcile_overall", f"""
+WITH checks AS ({SQL["reconcile_checks"]}), changes AS ({SQL["change_report"]}),
+every AS (
+  SELECT * FROM checks
+  UNION ALL
+  SELECT 'change_data_counts', coalesce(bool_and(matches), true), count(*), count(*) FILTER (WHERE NOT matches) FROM changes)
+SELECT *, (SELECT bool_and(ok) FROM every) AS overall FROM every""")
+def reconcile_overall(spark, sf):
+    lines, orders = _key_sides(spark, sf)
+    return jobs.reconcile(spark, {
+        rec.STATE_COUNTS: lambda: rec.state_report(_state_counts(spark, sf), relative=0.25),
+        rec.CHANGE_COUNTS: lambda: _change_report(spark, sf),
+        rec.KEY_CHECK: lambda: key_report([key_diff(lines, orders, ["k"], "shop.lines")]),
+    }, (*rec.DEFAULT_CHECKS, rec.KEY_CHECK))
 
 
 @query("tolerance", f"""
@@ -585,7 +603,7 @@ def stored_compact(spark, sf):
     tables.merge(spark, path, latest(spark, sf), ["pk"], unique=True)
     tables.compact(spark, path)
     tables.compact(spark, path, full=True, buckets=2)
-    tables.vacuum(spark, path, retain_hours=0)
+    tables.vacuum(spark, path, retain_hours=0, force=True)
     return tables.read_table(spark, path)
 
 
@@ -596,6 +614,46 @@ def overwrite_sized(spark, sf):
     return spark.read.parquet(path)
 
 
+@query("sized_by_data", f"WITH {inp.ARCHIVE_SQL} SELECT * FROM archive")
+def sized_by_data(spark, sf):
+    path = scratch_dir(spark, "by_data")
+    tables.overwrite_sized(inp.archive(spark, sf), path)
+    return spark.read.parquet(path)
+
+
+@query("stored_append_decimal", """
+SELECT o_orderkey AS pk, CAST(CAST(o_totalprice AS DECIMAL(14, 4)) AS VARCHAR) AS price FROM orders
+UNION ALL
+SELECT -o_orderkey, CAST(CAST(CAST(o_totalprice AS DECIMAL(11, 2)) AS DECIMAL(14, 4)) AS VARCHAR) FROM orders""")
+def stored_append_decimal(spark, sf):
+    path = scratch_dir(spark, "decimal")
+    orders = inp.table(spark, sf, "orders").select(F.col("o_orderkey").alias("pk"), "o_totalprice")
+    price = lambda kind: F.col("o_totalprice").cast(kind).alias("price")
+    tables.append(spark, path, orders.select("pk", price("decimal(14,4)")), ["pk"], buckets=4)
+    tables.append(spark, path, orders.select((-F.col("pk")).alias("pk"), price("decimal(11,2)")), ["pk"])
+    try:
+        # Values that the column cannot hold are refused before anything is written.
+        tables.append(spark, path, orders.select("pk", price("decimal(14,6)")), ["pk"])
+    except tables.SchemaConflict:
+        return tables.read_table(spark, path).withColumn("price", F.col("price").cast("string"))
+    raise AssertionError("a decimal that does not fit was written")
+
+
+@query("stored_append_struct", """
+SELECT o_orderkey AS pk, o_orderstatus AS status, NULL AS priority FROM orders
+UNION ALL
+SELECT -o_orderkey, o_orderstatus, o_orderpriority FROM orders""")
+def stored_append_struct(spark, sf):
+    path = scratch_dir(spark, "struct")
+    orders = inp.table(spark, sf, "orders")
+    status = F.col("o_orderstatus").alias("status")
+    old = orders.select(F.col("o_orderkey").alias("pk"), F.struct(status).alias("state"))
+    new = orders.select((-F.col("o_orderkey")).alias("pk"), F.struct(F.col("o_orderpriority").alias("priority"), status).alias("state"))
+    tables.append(spark, path, old, ["pk"], buckets=4)
+    tables.append(spark, path, new, ["pk"])
+    return tables.read_table(spark, path).select("pk", "state.status", "state.priority")
+
+
 @query("stored_keys", f"WITH {inp.CURRENT_SQL} SELECT pk FROM cur")
 def stored_keys(spark, sf):
     return key_projection(tables.read_table(spark, _stored(spark, sf)), inp.FEED_CONTRACT)
@@ -668,10 +726,7 @@ def _streamed(spark, sf) -> Zones:
     for root in (zones.structured, zones.curated):
         tables.append_new(spark, inp.FEED_CONTRACT.path(root), inp.current(spark, sf), ["pk"], buckets=4)
     _write_raw(inp.feed(spark, sf), zones.raw, _ACTIVITY)
-    for stream in cdc_stream(spark, [_ACTIVITY], _CONTRACTS, zones, seconds=None):
-        stream.awaitTermination()
-        if stream.exception():
-            raise stream.exception()
+    _run_streams(spark, zones)
     return zones
 
 
@@ -680,6 +735,85 @@ def cdc_stream_curated(spark, sf):
     return tables.read_table(spark, inp.FEED_CONTRACT.path(_streamed(spark, sf).curated))
 
 
+def _in_parts(spark, sf, label: str, between) -> Zones:
+    """The feed in parts by event, the latest part first, one file per micro-batch."""
+    zones = dataclasses.replace(_zones(spark, label), max_files=1)
+    for root in (zones.structured, zones.curated):
+        tables.append_new(spark, inp.FEED_CONTRACT.path(root), inp.current(spark, sf), ["pk"], buckets=4)
+    feed = inp.feed(spark, sf)
+    parts = 3
+    part = F.pmod(F.xxhash64(*feed.columns), F.lit(parts))
+    for k in reversed(range(parts)):
+        _write_raw(feed.where(part == k).coalesce(1), zones.raw, _ACTIVITY)
+        between(zones, k)
+    _run_streams(spark, zones)
+    return zones
+
+
+def _run_streams(spark, zones: Zones, **options) -> None:
+    for stream in cdc_stream(spark, [_ACTIVITY], _CONTRACTS, zones, seconds=None, **options):
+        stream.awaitTermination()
+        if stream.exception():
+            raise stream.exception()
+
+
+@query("cdc_stream_parts", _MERGED_SQL)
+def cdc_stream_parts(spark, sf):
+    zones = _in_parts(spark, sf, "parts", lambda *_: None)
+    return tables.read_table(spark, inp.FEED_CONTRACT.path(zones.curated))
+
+
+def _reset(spark, sf) -> Zones:
+    """A stream takes a part in, loses its checkpoint, and goes on."""
+    def once(zones: Zones, k: int) -> None:
+        if k == 2:
+            _run_streams(spark, zones)
+        elif k == 1:
+            _run_streams(spark, zones, reset_checkpoint=True)
+
+    return _in_parts(spark, sf, "reset", once)
+
+
+@query("cdc_stream_reset", _MERGED_SQL)
+def cdc_stream_reset(spark, sf):
+    return tables.read_table(spark, inp.FEED_CONTRACT.path(_reset(spark, sf).curated))
+
+
+@query("cdc_stream_reset_violations", f"SELECT DISTINCT * FROM ({SQL['quarantine_rows']}) q")
+def cdc_stream_reset_violations(spark, sf):
+    # What was read before and after the reset is set aside by both streams.
+    path = quarantine_path(_reset(spark, sf).violations, "structured", *_ACTIVITY)
+    return _unpacked(read_quarantine(spark, path)).distinct()
+
+
+@query("cdc_stream_write_conflict", _MERGED_SQL)
+def cdc_stream_write_conflict(spark, sf):
+    """The table is compacted over and over while the stream writes to it."""
+    done = threading.Event()
+
+    def compact(zones: Zones) -> None:
+        path = inp.FEED_CONTRACT.path(zones.curated)
+        while not done.is_set():
+            try:
+                tables.compact(spark, path, full=True, buckets=4)
+            except tables.TableConflict:
+                continue
+
+    def begin(zones: Zones, k: int) -> None:
+        if k == 0:
+            workers.append(threading.Thread(target=compact, args=(zones,)))
+            workers[0].start()
+
+    workers: list[threading.Thread] = []
+    try:
+        zones = _in_parts(spark, sf, "conflict", begin)
+    finally:
+        done.set()
+        for worker in workers:
+            worker.join()
+    return tables.read_table(spark, inp.FEED_CONTRACT.path(zones.curated))
+
+
 @query("cdc_stream_violations", SQL["quarantine_rows"])
 def cdc_stream_violations(spark, sf):
     return _unpacked(read_quarantine(spark, quarantine_path(_streamed(spark, sf).violations, "structured", *_ACTIVITY)))

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import math
+import re
 import tempfile
+import threading
 import uuid
 from contextlib import contextmanager
 
@@ -36,21 +38,35 @@ def build_session(name: str = "cdclake", master: str | None = None, **settings:
     return builder.getOrCreate()
 
 
+_sizing = threading.Lock()
+_sized: dict[str, list] = {}
+
+
 @contextmanager
 def sized_shuffles(spark: SparkSession, size: int):
     """Run a job with enough shuffle partitions for ``size`` bytes.
 
     Adaptive execution merges partitions that turn out small but cannot add any, so a large job must
-    start with many. A higher setting of the session stays as it is.
+    start with many. Jobs of one session that overlap, in any threads, get the most that one of them
+    asks for; the session's own setting comes back with the end of the last one. A higher setting of
+    the session stays as it is.
     """
     setting = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(setting)
     wanted = min(_MAX_PARTITIONS, math.ceil(size / _PARTITION_BYTES))
-    spark.conf.set(setting, str(max(int(before), wanted)))
+    session = str(spark._jsparkSession.hashCode())
+    with _sizing:
+        # [the session's own setting, what each running job asks for]
+        own, asked = _sized.setdefault(session, [spark.conf.get(setting), []])
+        asked.append(wanted)
+        spark.conf.set(setting, str(max(int(own), *asked)))
     try:
         yield
     finally:
-        spark.conf.set(setting, before)
+        with _sizing:
+            asked.remove(wanted)
+            spark.conf.set(setting, str(max([int(own), *asked])))
+            if not asked:
+                del _sized[session]
 
 
 def plan_bytes(df: DataFrame) -> int:
@@ -59,9 +75,12 @@ def plan_bytes(df: DataFrame) -> int:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """Folder every executor can reach: the one the cluster names, else a local one (tests)."""
+    """Folder every executor can reach: the one the cluster names, else, in local mode only, a local one."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.conf.get("spark.master", "local")
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError("Set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="cdclake-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -47,10 +48,29 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
 
 
 def rename(spark: SparkSession, old: str, new: str) -> bool:
-    """Move a file to a name not in use; False if the name is taken."""
+    """Move a file to a name not in use; False if the name is taken.
+
+    The file system itself refuses a taken name, so of two writers one succeeds. Stores without such a
+    rename are asked first.
+    """
+    jvm = spark._jvm
     fs, source = _open(spark, old)
     _, target = _open(spark, new)
-    return not fs.exists(target) and fs.rename(source, target)
+    source, target = fs.makeQualified(source), fs.makeQualified(target)
+    if fs.exists(target):
+        return False
+    try:
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+        options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+        context.rename(source, target, options)
+        return True
+    except Py4JJavaError as error:
+        kind = error.java_exception.getClass().getSimpleName()
+        if kind == "FileAlreadyExistsException":
+            return False
+        if kind != "UnsupportedFileSystemException":
+            raise
+        return fs.rename(source, target)
 
 
 def delete(spark: SparkSession, path: str) -> bool:

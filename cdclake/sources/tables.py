@@ -6,7 +6,8 @@ table, so readers never see half a write and a failed job leaves the old version
 reads and rewrites only the buckets its changes fall into, an append rewrites nothing.
 
 The schema is kept in the version file: reading needs no look into parquet footers, and columns
-may be added over time. One writer per table is assumed; a second one is refused at commit.
+may be added over time. Of two writers at once one is refused at commit and may try again
+(:func:`with_retries`).
 """
 
 from __future__ import annotations
@@ -14,15 +15,20 @@ from __future__ import annotations
 import json
 import logging
 import math
+import random
 import time
 import uuid
+from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cdclake.contracts import DELETE, OP
+from cdclake.contracts import DELETE, OP, SEQUENCE, UPDATE
 from cdclake.functions.columns import quoted, row_digest
+from cdclake.functions.joins import spread_join
+from cdclake.functions.types import SchemaConflict, conform, merged_type, nullable
 from cdclake.operators import changes as ops
 from cdclake.session import plan_bytes, sized_shuffles
 from cdclake.sources import paths
@@ -32,13 +38,29 @@ log = logging.getLogger(__name__)
 BUCKET = "_bucket"
 _GEN = "gen"
 _BUCKET_BYTES = 512 << 20
-_MAX_BUCKETS = 4096
+_NO_STATISTICS = 1 << 60
+_DELETED = "_deleted"
 
 
 class TableConflict(Exception):
     """Another writer has changed the table since this write began."""
 
 
+def with_retries(write: Callable[[], object], attempts: int = 5, seconds: float = 0.1) -> object:
+    """Repeat a write that loads the newest version first, as long as other writers get in its way.
+
+    Waits grow up to about half a minute; after ``attempts`` the conflict is passed on.
+    """
+    for attempt in range(attempts):
+        try:
+            return write()
+        except TableConflict:
+            if attempt + 1 == attempts:
+                raise
+            time.sleep(min(30.0, seconds * 2**attempt) * random.uniform(0.5, 1.5))
+    raise ValueError("attempts must be at least 1")
+
+
 # --- version files ----------------------------------------------------------------------------
 
 def _versions(spark: SparkSession, path: str) -> list[tuple[int, int]]:
@@ -61,6 +83,7 @@ def table_state(spark: SparkSession, path: str) -> dict | None:
 
 def _commit(spark: SparkSession, path: str, before: dict | None, after: dict) -> None:
     after["version"] = before["version"] + 1 if before else 0
+    after["committed"] = int(time.time() * 1000)
     written, sizes = (before["written"], before["sizes"]) if before else ({}, {})
     after["written"] = {gen: written.get(gen, len(live)) for gen, live in after["live"].items()}
     after["sizes"] = {
@@ -138,7 +161,15 @@ def _bucket_of(keys, buckets: int) -> Column:
 
 
 def _bucket_count(size: int) -> int:
-    return max(1, min(_MAX_BUCKETS, math.ceil(size / _BUCKET_BYTES)))
+    return max(1, math.ceil(size / _BUCKET_BYTES))
+
+
+def _size(df: DataFrame) -> int:
+    """Spark's estimate of a frame's bytes; one that it knows nothing about is measured."""
+    size = plan_bytes(df)
+    if size < _NO_STATISTICS:
+        return size
+    return df.agg(F.sum(F.octet_length(F.to_json(F.struct(*[quoted(c) for c in df.columns]))))).first()[0] or 0
 
 
 def _fitting_count(state: dict) -> int:
@@ -163,7 +194,8 @@ def _write(spark: SparkSession, df: DataFrame, path: str, balance: int | None) -
 
     ``balance`` is the table's bucket count if rows are still to be gathered by bucket.
     """
-    gen = uuid.uuid4().hex[:16]
+    # A generation is named after the time its writing began.
+    gen = f"t{int(time.time() * 1000):012x}{uuid.uuid4().hex[:10]}"
     out = _balanced(df, balance) if balance else df
     folder = f"{path}/data/{_GEN}={gen}"
     out.write.partitionBy(BUCKET).parquet(folder)
@@ -172,41 +204,23 @@ def _write(spark: SparkSession, df: DataFrame, path: str, balance: int | None) -
     return gen, sorted(live)
 
 
-def _nullable(schema: T.StructType) -> T.StructType:
-    return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
-
-
 def _merged_schema(stored: dict, added: T.StructType) -> dict:
     schema = T.StructType.fromJson(stored)
-    known = set(schema.names)
-    for field in _nullable(added).fields:
-        if field.name not in known:
-            schema = schema.add(field)
-    return schema.jsonValue()
-
-
-_WIDER = [
-    {T.ByteType: 0, T.ShortType: 1, T.IntegerType: 2, T.LongType: 3},
-    {T.FloatType: 0, T.DoubleType: 1},
-]
+    new = {f.name: f.dataType for f in added.fields}
+    fields = [
+        T.StructField(f.name, merged_type(f.dataType, new[f.name], f.name) if f.name in new else f.dataType, True)
+        for f in schema.fields
+    ]
+    return T.StructType([*fields, *[f for f in nullable(added).fields if f.name not in schema.names]]).jsonValue()
 
 
 def _aligned(df: DataFrame, state: dict) -> DataFrame:
-    """Rows with the table's types: narrower numbers are widened, other differences are errors."""
-    stored = {f.name: f.dataType for f in T.StructType.fromJson(state["schema"]).fields}
-    columns = []
-    for field in df.schema.fields:
-        want = stored.get(field.name)
-        value = quoted(field.name)
-        if want is not None and type(want) is not type(field.dataType):
-            widens = any(
-                rank.get(type(field.dataType), 9) < rank.get(type(want), -1) for rank in _WIDER
-            )
-            if not widens:
-                raise TypeError(f"Column {field.name} is {field.dataType.simpleString()}, stored as {want.simpleString()}")
-            value = value.cast(want).alias(field.name)
-        columns.append(value)
-    return df.select(*columns)
+    """Rows with the table's types: narrower numbers are widened, structs get each other's fields.
+
+    Anything else is refused here, before a file is written: a table stays readable.
+    """
+    want = {f.name: f.dataType for f in T.StructType.fromJson(_merged_schema(state["schema"], df.schema)).fields}
+    return df.select(*[conform(quoted(f.name), f.dataType, want[f.name]).alias(f.name) for f in df.schema.fields])
 
 
 def _seen(state: dict | None, batch: tuple[str, int] | None) -> bool:
@@ -214,19 +228,22 @@ def _seen(state: dict | None, batch: tuple[str, int] | None) -> bool:
 
 
 def _batches(state: dict | None, batch: tuple[str, int] | None) -> dict:
+    """The last batch of each stream; a stream begun anew (``name/id``) takes the place of its forerunner."""
     known = dict(state["batches"]) if state else {}
     if batch:
+        name = batch[0].partition("/")[0]
+        known = {k: v for k, v in known.items() if k.partition("/")[0] != name}
         known[batch[0]] = batch[1]
     return known
 
 
 def _create(spark: SparkSession, path: str, df: DataFrame, keys, buckets: int | None, batch) -> bool:
-    buckets = buckets or _bucket_count(plan_bytes(df))
+    buckets = buckets or _bucket_count(_size(df))
     gen, live = _write(spark, df.withColumn(BUCKET, _bucket_of(keys, buckets)), path, buckets)
     if not live and batch is None:
         return False
     _commit(spark, path, None, {
-        "keys": list(keys), "buckets": buckets, "schema": _nullable(df.schema).jsonValue(),
+        "keys": list(keys), "buckets": buckets, "schema": nullable(df.schema).jsonValue(),
         "live": {gen: live} if live else {}, "batches": _batches(None, batch),
     })
     return True
@@ -275,15 +292,47 @@ def append_new(spark: SparkSession, path: str, df: DataFrame, keys, *, buckets:
 
 
 def merge(spark: SparkSession, path: str, changes: DataFrame, keys, *, buckets: int | None = None,
-          batch: tuple[str, int] | None = None, unique: bool = False) -> bool:
-    """Apply changes (:func:`cdclake.operators.changes.apply_changes`); creates a missing table."""
+          batch: tuple[str, int] | None = None, unique: bool = False, in_sequence: bool = False) -> bool:
+    """Apply changes (:func:`cdclake.operators.changes.apply_changes`); creates a missing table.
+
+    With ``in_sequence`` a change that is older than what the table has of its key changes nothing, so
+    the result does not depend on how a feed is cut into batches. Sequences of deleted keys are kept
+    for that, in a table below this one.
+    """
     state = table_state(spark, path)
     if _seen(state, batch):
         return False
+    if in_sequence:
+        if not unique:
+            changes, unique = ops.require_unique(changes, keys), True
+        changes = _after_deletes(spark, f"{path}/{_DELETED}", changes, keys, batch)
     if state is None:
         first = changes if unique else ops.require_unique(changes, keys)
         return _create(spark, path, first.where(F.col(OP) != DELETE), keys, buckets, batch)
-    return _rewrite(spark, path, state, changes, keys, batch, unique, ops.merge_changes)
+    newer = SEQUENCE if in_sequence else None
+    return _rewrite(spark, path, state, changes, keys, batch, unique, partial(ops.merge_changes, newer=newer))
+
+
+def _after_deletes(spark: SparkSession, path: str, changes: DataFrame, keys, batch) -> DataFrame:
+    """Changes that are not older than a delete of their key; deletes among them are remembered first.
+
+    If the job dies before the table itself is written, the same changes pass again.
+    """
+    deletes = changes.where(F.col(OP) == DELETE).select(*[quoted(k) for k in keys], SEQUENCE, F.lit(UPDATE).alias(OP))
+    state = table_state(spark, path)
+    if state is not None:
+        known = _read(spark, path, state).select(*[quoted(k).alias(f"__d_{k}") for k in keys], F.col(SEQUENCE).alias("__deleted"))
+        joined = spread_join(changes, known, [(k, f"__d_{k}") for k in keys], "left")
+        late = F.coalesce(F.col("__deleted"), F.lit("")) > F.coalesce(F.col(SEQUENCE), F.lit(""))
+        changes = joined.where(~late).select(*[quoted(c) for c in changes.columns])
+    if _seen(state, batch) or deletes.isEmpty():
+        return changes
+    if state is None:
+        _create(spark, path, deletes, keys, None, batch)
+    else:
+        merged = partial(ops.merge_changes, newer=SEQUENCE)
+        _rewrite(spark, path, state, deletes, keys, batch, True, merged)
+    return changes
 
 
 def update(spark: SparkSession, path: str, updates: DataFrame, keys, *, batch: tuple[str, int] | None = None,
@@ -322,7 +371,8 @@ def _rewrite(spark: SparkSession, path: str, state: dict, changes: DataFrame, ke
             # bucket files and need no shuffle. Otherwise they are gathered by bucket again.
             small = plan_bytes(changes) <= _broadcast_limit(spark)
             in_place = small and not grown
-            current = _read(spark, path, state, touched)
+            schema = _merged_schema(state["schema"], aligned.schema)
+            current = _read(spark, path, {**state, "schema": schema}, touched)
             merged = merge_rows(current, aligned, keys, small=small)
             if in_place and merged.added is not None:
                 rows = merged.remaining.withColumn(BUCKET, bucket).unionByName(
@@ -339,7 +389,7 @@ def _rewrite(spark: SparkSession, path: str, state: dict, changes: DataFrame, ke
         if live:
             kept[gen] = live
         _commit(spark, path, state, {
-            **state, "live": kept, "buckets": count, "schema": _merged_schema(state["schema"], changes.schema),
+            **state, "live": kept, "buckets": count, "schema": _merged_schema(state["schema"], aligned.schema),
             "batches": _batches(state, batch),
         })
         return True
@@ -348,14 +398,16 @@ def _rewrite(spark: SparkSession, path: str, state: dict, changes: DataFrame, ke
             changes.unpersist()
 
 
-def overwrite_sized(df: DataFrame, path: str, gigabytes: float = 1.0, cores: int = 1) -> int:
-    """Overwrite plain parquet with a file count from the data size; returns the count.
+def overwrite_sized(df: DataFrame, path: str, gigabytes: float | None = None, cores: int = 1) -> int:
+    """Overwrite plain parquet with files sized by the data; returns their number.
 
-    Twice the size in 128 MB files, rounded up to a multiple of the cores of an executor.
+    Adaptive execution measures the rows and spreads them evenly over as many tasks as they fill. With
+    a size given in ``gigabytes`` the number is fixed instead: twice the size in 128 MB files, rounded
+    up to a multiple of the cores of an executor.
     """
-    files = sized_files(gigabytes, cores)
-    df.coalesce(files).write.mode("overwrite").parquet(path)
-    return files
+    rows = df.hint("rebalance") if gigabytes is None else df.repartition(sized_files(gigabytes, cores))
+    rows.write.mode("overwrite").parquet(path)
+    return sum(name.endswith(".parquet") for name, _, _ in paths.entries(df.sparkSession, path))
 
 
 def sized_files(gigabytes: float, cores: int) -> int:
@@ -415,23 +467,31 @@ def _bucket_files(spark: SparkSession, folders: list[str]) -> dict[int, tuple[in
     return {r.b: (r.n, r["size"]) for r in sizes.collect()}
 
 
-def vacuum(spark: SparkSession, path: str, retain_hours: float = 168) -> int:
-    """Delete data and version files not needed by any version of the retention period."""
+def vacuum(spark: SparkSession, path: str, retain_hours: float = 168, *, force: bool = False) -> int:
+    """Delete data and version files not needed by any version of the retention period.
+
+    Ages are those written into version files and generation names, not those of the file system. No
+    retention at all would also delete what a running job writes, so it has to be forced.
+    """
+    if retain_hours <= 0 and not force:
+        raise ValueError("Without a retention period a vacuum deletes data being written; pass force=True")
     cutoff = (time.time() - retain_hours * 3600) * 1000
-    versions = _versions(spark, path)
-    if not versions:
+    listed = _versions(spark, path)
+    if not listed:
         log.warning("Cannot vacuum %s: there is no such table", path)
         return 0
-    kept = [v for v, modified in versions if modified >= cutoff]
+    versions = [(v, _load(spark, path, v).get("committed", modified)) for v, modified in listed]
+    kept = [v for v, committed in versions if committed >= cutoff]
     newest = versions[-1][0]
     # The version current when the period began is still needed by readers that started then.
-    older = [v for v, modified in versions if modified < cutoff]
+    older = [v for v, committed in versions if committed < cutoff]
     kept = sorted({*kept, newest, *older[-1:]}) if retain_hours > 0 else [newest]
     needed = {g for v in kept for g in _load(spark, path, v)["live"]}
     removed = 0
     for name, is_folder, modified in paths.entries(spark, f"{path}/data"):
         gen = name.partition("=")[2]
-        if is_folder and gen not in needed and modified < cutoff:
+        began = int(gen[1:13], 16) if gen.startswith("t") else modified
+        if is_folder and gen not in needed and began < cutoff:
             removed += paths.delete(spark, f"{path}/data/{name}")
     for version, _ in versions:
         if version not in kept:

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import json
 import logging
 import re
 import time
 from collections.abc import Callable
 from dataclasses import dataclass
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from cdclake.contracts import ERROR, TIMESTAMP, TableContract, with_metadata
@@ -46,6 +49,8 @@ class Zones:
     archive_dir: str | None = None
     buckets: int | None = None
     mirror: Mirror | None = None
+    in_sequence: bool = True  # a late change never undoes a newer one, however the feed is cut
+    attempts: int = 5  # of a write that another writer got in the way of
     published: dict[str, tuple[str, ...]] | None = None  # databases showing each zone
 
     def table_path(self, zone: str, contract: TableContract) -> str:
@@ -68,22 +73,50 @@ def batch_files(spark: SparkSession, checkpoint: str, batch_id: int) -> list[str
     return sorted(r.path for r in log_rows.select("path").collect())
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """What tells the batches of a stream from those of an earlier one: batch numbers begin anew with a checkpoint."""
+    path = f"{checkpoint}/metadata"
+    return json.loads(paths.read_text(spark, path))["id"][:8] if paths.exists(spark, path) else "none"
+
+
+def batch_schema(spark: SparkSession, files: list[str], archive_dir: str | None, default: T.StructType) -> T.StructType:
+    """Schema of a batch's files: where they were found, else where they have been archived, else the stream's.
+
+    Another job, or the stream's own clean-up, may move a file between its listing and this look at it.
+    """
+    there = [f for f in files if paths.exists(spark, f)]
+    if archive_dir:
+        moved = [f"{archive_dir.rstrip('/')}{urlparse(f).path}" for f in files if f not in there]
+        there += [f for f in moved if paths.exists(spark, f)]
+    try:
+        return read_raw(spark, there).schema if there else default
+    except Exception as error:
+        if not has_condition(error, "PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "FILE_NOT_EXIST", "FileNotFoundException"):
+            raise
+        log.warning("Files of a batch have gone meanwhile, its schema is not checked", exc_info=True)
+        return default
+
+
 # --- one micro-batch --------------------------------------------------------------------------
 
 def write_or_quarantine(zone: str, df: DataFrame, zones: Zones, contract: TableContract, run: str,
                         write: Callable[[DataFrame], object]) -> DataFrame:
     """Write to a zone, move its published tables on, and pass the rows on.
 
-    If another writer got in the way, the rows go to quarantine and an empty frame is passed on.
+    If another writer got in the way, the newest version is loaded and the write repeated, a bounded
+    number of times. After that, or if a column cannot hold the new values, the rows go to quarantine
+    and an empty frame is passed on.
     """
     try:
-        write(df)
+        tables.with_retries(lambda: write(df), zones.attempts)
         for database in (zones.published or {}).get(zone, ()):
             catalog.point_table(df.sparkSession, database, contract, zones.table_path(zone, contract))
         return df
-    except tables.TableConflict:
+    except (tables.TableConflict, tables.SchemaConflict) as error:
         log.warning("Write to %s of %s failed", zone, contract.full_name, exc_info=True)
         message = FAILED_WRITE.format(contract.source, contract.table, zone)
+        if isinstance(error, tables.SchemaConflict):
+            message = str(error)
         path = quarantine_path(zones.violations, zone, contract.source, contract.table)
         quarantine_all(df, message, path, f"{run}-failed")
         return df.limit(0)
@@ -99,9 +132,11 @@ def process_cdc_batch(df: DataFrame, batch_id: int, contract: TableContract, zon
     spark = df.sparkSession
     started = time.time()
     source, table = contract.source, contract.table
-    run = f"cdc-{batch_id}"
-    files = batch_files(spark, zones.stream_checkpoint(source, table), batch_id)
-    inferred = read_raw(spark, files).schema if files else df.schema
+    checkpoint = zones.stream_checkpoint(source, table)
+    stream = stream_id(spark, checkpoint)
+    run = f"cdc-{stream}-{batch_id}"
+    files = batch_files(spark, checkpoint, batch_id)
+    inferred = batch_schema(spark, files, zones.archive_dir, df.schema)
     validated = validate(df, contract, inferred).persist()
     latest = None
     try:
@@ -114,11 +149,12 @@ def process_cdc_batch(df: DataFrame, batch_id: int, contract: TableContract, zon
         if counts.invalid:
             quarantine(invalid, quarantine_path(zones.violations, "structured", source, table), run)
         latest = latest_records(valid, contract.keys).persist()
-        mark = (query_name(source, table), batch_id)
+        mark = (f"{query_name(source, table)}/{stream}", batch_id)
 
         def merge_into(root: str) -> Callable[[DataFrame], object]:
             return lambda rows: tables.merge(spark, contract.path(root), rows, contract.keys,
-                                             batch=mark, buckets=zones.buckets, unique=True)
+                                             batch=mark, buckets=zones.buckets, unique=True,
+                                             in_sequence=zones.in_sequence)
 
         structured = write_or_quarantine("structured", latest, zones, contract, run, merge_into(zones.structured))
         curated = write_or_quarantine("curated", structured, zones, contract, run, merge_into(zones.curated))
@@ -131,7 +167,7 @@ def process_cdc_batch(df: DataFrame, batch_id: int, contract: TableContract, zon
                 "rows_invalid": counts.invalid, "took_ms": int((time.time() - started) * 1000),
             }
             metrics = spark.createDataFrame([row], METRICS)
-            metrics.write.mode("overwrite").parquet(f"{contract.path(zones.metrics)}/batch={batch_id}")
+            metrics.write.mode("overwrite").parquet(f"{contract.path(zones.metrics)}/batch={stream}-{batch_id}")
     finally:
         if latest is not None:
             latest.unpersist()
@@ -178,9 +214,10 @@ def with_type_clash_handling(process: Callable[[DataFrame, int], None], source:
             spark = df.sparkSession
             message = _clash_message(error)
             log.warning("%s", message)
-            files = batch_files(spark, zones.stream_checkpoint(source, table), batch_id)
+            checkpoint = zones.stream_checkpoint(source, table)
+            files = batch_files(spark, checkpoint, batch_id)
             path = quarantine_path(zones.violations, "structured", source, table)
-            quarantine_files(spark, files, message, path, f"cdc-{batch_id}")
+            quarantine_files(spark, files, message, path, f"cdc-{stream_id(spark, checkpoint)}-{batch_id}")
 
     return guarded
 
@@ -216,7 +253,9 @@ def plan_stream(spark: SparkSession, source: str, table: str, contract: TableCon
     stream = stream_raw_inferred(spark, glob, **options)
     path = quarantine_path(zones.violations, "structured", source, table)
     message = NO_CONTRACT.format(source, table)
-    return stream, lambda df, batch_id: quarantine_all(df, message, path, f"cdc-{batch_id}")
+    checkpoint = zones.stream_checkpoint(source, table)
+    return stream, lambda df, batch_id: quarantine_all(
+        df, message, path, f"cdc-{stream_id(spark, checkpoint)}-{batch_id}")
 
 
 def cdc_stream(spark: SparkSession, table_names, contracts: dict[tuple[str, str], TableContract], zones: Zones,

@@ -249,3 +249,11 @@ def test_changes_are_shuffled_once(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "ReusedExchange" in plan[:plan.index("Initial Plan")]
+
+
+def test_null_keys_are_checked_where_they_are(spark):
+    rows = changes(spark, *[(None, "a", "U", str(k)) for k in range(200)], (1, "a", "U", "1")).repartition(4)
+    plan = ch.require_unique(rows, ["pk"])
+    assert plan.where("pk IS NULL").groupBy(F.spark_partition_id()).count().count() >= 4
+    with pytest.raises(Exception, match="Several changes"):
+        ch.require_unique(rows.unionByName(changes(spark, (1, "b", "U", "2"))), ["pk"]).count()

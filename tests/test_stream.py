@@ -73,7 +73,8 @@ def test_stream_equals_fold(spark, zones):
         put(changes(spark, *rows), zones, order=i)
         latest = ch.latest_records(changes(spark, *rows), ["pk"])
         expected = spark.createDataFrame(ch.apply_changes(expected, latest, ["pk"]).collect(), ROW)
-    one_at_a_time = cdc.Zones(**{**zones.__dict__, "max_files": 1})
+    # In the order of arrival; by sequence the last, late change would change nothing.
+    one_at_a_time = cdc.Zones(**{**zones.__dict__, "max_files": 1, "in_sequence": False})
     run(spark, one_at_a_time)
     assert curated(spark, zones) == state(expected)
     assert spark.read.parquet(CONTRACT.path(zones.metrics)).count() == 4
@@ -176,7 +177,7 @@ def test_failed_write_goes_to_quarantine(spark, zones, monkeypatch):
         return merge(spark, path, *args, **kwargs)
 
     monkeypatch.setattr(tables, "merge", conflicting)
-    run(spark, zones)
+    run(spark, cdc.Zones(**{**zones.__dict__, "attempts": 2}))
     assert state(tables.read_table(spark, CONTRACT.path(zones.structured))) == [(1, "a")]
     kept = read_quarantine(spark, quarantine_path(zones.violations, "curated", *NAME)).collect()
     assert [r.error for r in kept] == ["Violation - Data storage service retries exceeded for src/items for curated"]
@@ -242,3 +243,46 @@ def test_stream_schema_is_the_contract(spark, zones):
     stream, _ = cdc.plan_stream(spark, *NAME, CONTRACT, zones)
     assert stream.isStreaming and stream.columns == with_metadata(CONTRACT.schema).names
     assert ts(1) == "2024-03-01 10:00:01.000000"
+
+
+def test_result_does_not_depend_on_the_cut_of_the_feed(spark, zones):
+    rows = [(1, "b", "U", "09"), (1, "a", "U", "01"), (2, None, "D", "08"), (2, "x", "I", "02"), (3, "y", "I", "03")]
+    for i, row in enumerate(rows):
+        put(changes(spark, row), zones, order=i)
+    run(spark, cdc.Zones(**{**zones.__dict__, "max_files": 1}))
+    assert curated(spark, zones) == [(1, "b"), (3, "y")]
+
+
+def test_checkpoint_reset_loses_nothing(spark, zones):
+    for i in range(3):
+        put(changes(spark, (i, "a", "I", f"0{i}"), (None, "bad", "I", f"0{i}")), zones, order=i)
+    one = cdc.Zones(**{**zones.__dict__, "max_files": 1})
+    run(spark, one)
+    for name in os.listdir(f"{zones.raw}/{NAME[0]}/{NAME[1]}"):
+        paths.delete(spark, f"{zones.raw}/{NAME[0]}/{NAME[1]}/{name}")
+    put(changes(spark, (9, "new", "I", "09"), (None, "worse", "I", "09")), zones, order=9)
+    run(spark, one, reset_checkpoint=True)
+    assert curated(spark, zones) == [(0, "a"), (1, "a"), (2, "a"), (9, "new")]
+    assert len(violations(spark, zones)) == 4
+    assert spark.read.parquet(CONTRACT.path(zones.metrics)).count() == 4
+
+
+def test_a_vanished_file_does_not_stop_the_stream(spark, zones, root):
+    put(changes(spark, (1, "a", "I", "01")), zones)
+    (file,) = [f for f in os.listdir(f"{zones.raw}/src/items") if f.startswith("part")]
+    path = f"{zones.raw}/src/items/{file}"
+    schema = spark.read.parquet(path).schema
+    assert cdc.batch_schema(spark, [path, f"{path}x"], None, T.StructType()) == schema
+    paths.write_text(spark, f"{root}/moved{path}", "")
+    paths.delete(spark, f"{root}/moved{path}")
+    assert paths.rename(spark, path, f"{root}/moved{path}")
+    assert cdc.batch_schema(spark, [path], f"{root}/moved", T.StructType()) == schema
+    assert cdc.batch_schema(spark, [path], None, schema) == schema
+
+
+def test_values_that_do_not_fit_are_set_aside(spark, zones):
+    tables.append(spark, CONTRACT.path(zones.structured), changes(spark, (1, "a", "I", "")).withColumn("data", F.lit(1)), ["pk"])
+    put(changes(spark, (2, "b", "I", "01")), zones)
+    run(spark, zones)
+    path = quarantine_path(zones.violations, "structured", *NAME)
+    assert [r.error for r in read_quarantine(spark, path).collect()] == ["Column data is string, stored as int"]

@@ -164,7 +164,9 @@ def test_compact_and_vacuum(spark, path):
     assert tables.table_state(spark, path)["buckets"] == 3
     tables.merge(spark, path, changes(spark, (0, "z", "U", "1")), ["pk"])
     assert tables.vacuum(spark, path) == 0
-    assert tables.vacuum(spark, path, retain_hours=0) >= 5
+    with pytest.raises(ValueError, match="force"):
+        tables.vacuum(spark, path, retain_hours=0)
+    assert tables.vacuum(spark, path, retain_hours=0, force=True) >= 5
     assert len(os.listdir(f"{path}/data")) == len(tables.table_state(spark, path)["live"])
     assert read(spark, path) == sorted([(0, "z")] + [r for r in rows if r[0] != 0], key=repr)
 
@@ -195,6 +197,69 @@ def test_file_counts(gigabytes, cores, files):
 
 
 def test_overwrite_sized(spark, root):
-    assert tables.overwrite_sized(changes(spark, (1, "a", "I", "")), f"{root}/o") == 16
+    # One row makes one file, however large a table may be.
+    assert tables.overwrite_sized(changes(spark, (1, "a", "I", "")), f"{root}/o") == 1
+    assert tables.overwrite_sized(changes(spark, *[(k, "a", "I", "") for k in range(50)]), f"{root}/n", 0.2, 4) == 4
     tables.overwrite_sized(changes(spark, (2, "b", "I", "")), f"{root}/o")
     assert state(spark.read.parquet(f"{root}/o")) == [(2, "b")]
+
+
+def test_frames_without_statistics_are_measured(spark, path):
+    rows = spark.createDataFrame(changes(spark, (1, "a", "I", "")).rdd, changes(spark, (1, "a", "I", "")).schema)
+    tables.append(spark, path, rows, ["pk"])
+    assert tables.table_state(spark, path)["buckets"] == 1
+
+
+def test_types_below_the_top_level(spark, path):
+    tables.append(spark, path, spark.sql("SELECT 1 AS pk, named_struct('a', 1) AS s, array(1) AS l, CAST(1 AS DECIMAL(8,2)) AS d"), ["pk"])
+    tables.append(spark, path, spark.sql("SELECT 2 AS pk, named_struct('b', 'x', 'a', 2) AS s, array(2) AS l, CAST(2 AS DECIMAL(6,1)) AS d"), ["pk"])
+    for bad in ("CAST(3 AS DECIMAL(12,2)) AS d", "CAST(3 AS DECIMAL(8,3)) AS d", "array('x') AS l", "named_struct('a', 'x') AS s"):
+        with pytest.raises(tables.SchemaConflict):
+            tables.append(spark, path, spark.sql(f"SELECT 3 AS pk, {bad}"), ["pk"])
+    got = tables.read_table(spark, path).orderBy("pk").selectExpr("pk", "s.a", "s.b", "l[0]", "CAST(d AS STRING)").collect()
+    assert [tuple(r) for r in got] == [(1, 1, None, 1, "1.00"), (2, 2, "x", 2, "2.00")]
+    later = spark.sql("SELECT 1 AS pk, named_struct('a', 9, 'c', 1.5D) AS s, 'U' AS Op")
+    tables.merge(spark, path, later, ["pk"], unique=True)
+    got = tables.read_table(spark, path).orderBy("pk").selectExpr("pk", "s.a", "s.b", "s.c").collect()
+    assert [tuple(r) for r in got] == [(1, 9, None, 1.5), (2, 2, "x", None)]
+
+
+def test_late_changes_and_deletes_change_nothing(spark, path):
+    feed = [(1, "new", "U", "05"), (1, "old", "U", "03"), (2, None, "D", "04"), (2, "old", "I", "02"), (2, "again", "I", "06"),
+            (3, "x", "I", "01"), (3, None, "D", "02"), (3, "late", "U", "01")]
+    for k, row in enumerate(feed):
+        tables.merge(spark, path, changes(spark, row), ["pk"], batch=("s/1", k), in_sequence=True)
+    assert read(spark, path) == [(1, "new"), (2, "again")]
+    assert tables.list_tables(spark, path) == [path]
+
+
+def test_a_conflict_is_tried_again(spark, path):
+    tables.append(spark, path, changes(spark, (1, "a", "I", "")), ["pk"], buckets=2)
+    commit, seen = tables._commit, []
+
+    def busy(spark, target, before, after):
+        if len(seen) < 2:
+            seen.append(1)
+            raise tables.TableConflict(target)
+        return commit(spark, target, before, after)
+
+    tables._commit = busy
+    try:
+        tables.with_retries(lambda: tables.merge(spark, path, changes(spark, (2, "b", "I", "1")), ["pk"]), seconds=0.001)
+        assert read(spark, path) == [(1, "a"), (2, "b")]
+        seen.clear()
+        with pytest.raises(tables.TableConflict):
+            tables.with_retries(lambda: tables.append(spark, path, changes(spark, (3, "c", "I", "1")), ["pk"]), 2, 0.001)
+    finally:
+        tables._commit = commit
+    with pytest.raises(ValueError):
+        tables.with_retries(lambda: None, 0)
+
+
+def test_a_taken_version_is_refused(spark, root):
+    from cdclake.sources import paths
+
+    paths.write_text(spark, f"{root}/a", "1")
+    paths.write_text(spark, f"{root}/b", "2")
+    assert not paths.rename(spark, f"{root}/a", f"{root}/b")
+    assert paths.rename(spark, f"{root}/a", f"{root}/c") and paths.read_text(spark, f"{root}/c") == "1"
