@@ -49,7 +49,7 @@ class TableConflict(Exception):
 def with_retries(write: Callable[[], object], attempts: int = 5, seconds: float = 0.1) -> object:
     """Repeat a write that loads the newest version first, as long as other writers get in its way.
 
-    Waits grow up to about half a minute; after ``attempts`` the conflict is passed on.
+    Waits grow up to some seconds; after ``attempts`` the conflict is passed on.
     """
     for attempt in range(attempts):
         try:
@@ -57,7 +57,7 @@ def with_retries(write: Callable[[], object], attempts: int = 5, seconds: float
         except TableConflict:
             if attempt + 1 == attempts:
                 raise
-            time.sleep(min(30.0, seconds * 2**attempt) * random.uniform(0.5, 1.5))
+            time.sleep(min(5.0, seconds * 2**attempt) * random.uniform(0.5, 1.5))
     raise ValueError("attempts must be at least 1")
 
 
