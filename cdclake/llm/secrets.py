@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from cdclake.llm.tables import column, fresh, held_out, written
 
 _EDGE = r"[\p{L}\p{N}+/_-]"
-#: Strings of at least 12 such characters with a digit, or of at least 24 without.
+#: Strings of at least 12 such characters with a digit, of 16 capitals, or of 24 without a digit.
 CANDIDATE = (
-    rf"(?<!{_EDGE})(?:(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{{12,}}|[A-Za-z+/_-]{{24,}})(?!{_EDGE})"
+    rf"(?<!{_EDGE})(?:(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{{12,}}|[A-Z]{{16,}}|[A-Za-z+/_-]{{24,}})(?!{_EDGE})"
 )
 #: At most about this many findings of each label are learned from.
 SAMPLE = 4000
@@ -124,14 +124,13 @@ def features(found: DataFrame, words: DataFrame) -> DataFrame:
 def labelled_by_form(found: DataFrame) -> DataFrame:
     """Label findings whose form settles the matter, as no table has labels; all others get none.
 
-    1: an access key id with its provider's prefix, or a random string assigned to a name like
-    "password". 0: digits only (numbers of cards, accounts, phones), letters only, or ordinary prose
-    on both sides without a name before it.
+    1: an access key id with its provider's prefix, or a mixed string assigned to a name like
+    "password". 0: digits only (numbers of cards, accounts, phones) or letters only.
     """
     key = F.col("candidate").rlike("^(?:AKIA|ASIA)[0-9A-Z]{16}$")
     assigned = F.col("before").rlike(r"(?i)(password|passwd|pwd|secret|token|api_?key)\"?\s*[=:]\s*[\"']?$")
     plain = F.col("candidate").rlike("^(?:[0-9+/_-]+|[A-Za-z+/_-]+)$")
-    return found.withColumn("label", F.when(plain, 0).when(key | assigned, 1).cast("double")).filter("label IS NOT NULL")
+    return found.withColumn("label", F.when(key, 1).when(plain, 0).when(assigned, 1).cast("double")).filter("label IS NOT NULL")
 
 
 @dataclass

@@ -14,16 +14,16 @@ from pyspark.sql import functions as F
 from cdclake.llm import decontaminate, jaccard, language, packing, secrets
 from cdclake.llm.tables import column, fresh, id_filter, passes, with_struct, written
 
-#: Documents less like any language learned are rejected, as are those without letters.
-LEAST_LIKE = 0.05
+#: Documents less like any language learned are rejected if they are long enough to tell.
+LEAST_LIKE, LONG_ENOUGH = 0.05, 200
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents that are like one of the languages; the others have no letters or are no text."""
+    """Keep documents in some language: those that have letters, and are like one that was learned if they are long."""
     told = fresh(docs, "language")
     found = language.predict(docs, language.learn(docs), told)
-    kept = (F.col(f"{told}.lang_pred") != language.UNKNOWN) & (F.col(f"{told}.score") >= LEAST_LIKE)
-    return found.filter(kept).select(*[column(c) for c in docs.columns])
+    like = (F.col(f"{told}.score") >= LEAST_LIKE) | (F.length("text") < LONG_ENOUGH)
+    return found.filter((F.col(f"{told}.lang_pred") != language.UNKNOWN) & like).select(*[column(c) for c in docs.columns])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
