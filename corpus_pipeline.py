@@ -39,8 +39,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     marked = fresh(docs, "decided")
 
     def look(texts: pa.Array, rows: pa.StructArray) -> list[pa.Array]:
-        ids = rows.field("doc_id")
-        return [pa.array(passes(ids.cast(pa.int64()).fill_null(0).to_numpy(zero_copy_only=False), bits) & ids.is_valid().to_numpy(zero_copy_only=False))]
+        ids = rows.field("doc_id").cast(pa.int64())
+        there = ids.is_valid().to_numpy(zero_copy_only=False)
+        return [pa.array(passes(ids.fill_null(0).to_numpy(zero_copy_only=False), bits) & there)]
 
     split = with_struct(docs, marked, "maybe boolean", lambda: look, "text")
     columns = [column(c) for c in docs.columns]
