@@ -89,32 +89,41 @@ def _candidates(batches, bits: np.ndarray):
             yield pa.RecordBatch.from_arrays([*columns, text.slice(low, high - low).take(kept)], names=["doc_id", "digest", "n_bytes", "text"])
 
 
+def _located(batch: pa.RecordBatch):
+    """Each text of a batch with its digest and the grams and places of its suffixes, some texts at a time."""
+    text, digest, found = (batch.column(batch.schema.get_field_index(c)) for c in ("text", "digest", "found"))
+    for low, high in slices(text, 1 << 19):
+        data, at = text_buffer(text.slice(low, high - low))
+        lists = found.slice(low, high - low)
+        edges = np.append(0, np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False)))
+        flat = lists.flatten()
+        grams, places = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("gram", "place"))
+        names = digest.slice(low, high - low).to_pylist()
+        for k in range(high - low):
+            own = slice(edges[k], edges[k + 1])
+            yield data[at[k] : at[k + 1]], names[k], grams[own], places[own]
+
+
 def _contexts(length: int, gram: int):
     """For each candidate suffix its first ``length`` bytes, and the bytes before it, backwards."""
+    names = ["gram", "digest", "place", "right", "left"]
+    kinds = [pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.binary()]
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
     def rows(batches):
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
-            digests = batch.column(batch.schema.get_field_index("digest")).to_pylist()
-            grams, owners, places, rights, lefts = [], [], [], [], []
-            for text, digest, found in zip(
-                texts, digests, batch.column(batch.schema.get_field_index("found")).to_pylist(), strict=True
-            ):
-                data = text.encode()
-                for x in found:
-                    p = x["place"]
-                    grams.append(x["gram"])
-                    owners.append(digest)
-                    places.append(p)
-                    rights.append(data[p : p + length])
-                    lefts.append(data[max(0, p - length + gram) : p][::-1])
-            for k in range(0, len(grams), 8192):
-                cut = slice(k, k + 8192)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(grams[cut], pa.int64()), pa.array(owners[cut], pa.binary()), pa.array(places[cut], pa.int64()),
-                     pa.array(rights[cut], pa.binary()), pa.array(lefts[cut], pa.binary())],
-                    names=["gram", "digest", "place", "right", "left"],
-                )
+            out = []
+            for data, digest, grams, places in _located(batch):
+                data = data.tobytes()
+                for g, p in zip(grams.tolist(), places.tolist(), strict=True):
+                    out.append((g, digest, p, data[p : p + length], data[max(0, p - length + gram) : p][::-1]))
+                    if len(out) == 4096:
+                        yield batch_of(out)
+                        out = []
+            if out:
+                yield batch_of(out)
 
     return rows
 
@@ -200,7 +209,7 @@ def _repeats(length: int, gram: int):
             names=["digest", "start", "end", "group_digest", "group_place"],
         )
 
-    return lambda batches: whole_groups(batches, ["gram"], rows)
+    return lambda batches: whole_groups(batches, ["gram"], rows, 8 << 20)
 
 
 _SPAN = "digest binary, start long, end long, group_digest binary, group_place long"
@@ -211,12 +220,7 @@ def _windows(length: int, gram: int):
 
     def rows(batches):
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
-            digests = batch.column(batch.schema.get_field_index("digest")).to_pylist()
-            founds = batch.column(batch.schema.get_field_index("found")).to_pylist()
-            for text, digest, found in zip(texts, digests, founds, strict=True):
-                data = np.frombuffer(text.encode(), dtype=np.uint8)
-                places = np.array([x["place"] for x in found])
+            for data, digest, _, places in _located(batch):
                 start = np.unique((places[:, None] - np.arange(length - gram + 1)).ravel())
                 start = start[(start >= 0) & (start + length <= len(data))]
                 hashes = SpanHash(data).of(start, start + length, 3), SpanHash(data, 0xC2B2AE3D27D4EB4F).of(start, start + length, 4)
