@@ -21,14 +21,16 @@ LEAST_WORDS = 8
 LEAST_RUN = 16
 #: Of so many sentence ends in a row at least one ends a paragraph.
 ENDS = 3
+LONG_SENTENCE = 24
 
 
 class Paragraphs:
     """The paragraphs of a batch: word bounds, the text each is in, its number there, and its key.
 
     A paragraph ends at a line break, and at some ends of sentences within a line: of every ``ENDS``
-    sentence ends in a row at that whose last words have the least hash. So a passage is cut alike
-    wherever it stands, also in the middle of a line, but for its first and last sentences.
+    sentence ends in a row at that whose last words have the least hash. Long sentences have ends after
+    one word in eight, chosen by hash. So a passage is cut alike wherever it stands, also in the middle
+    of a line, but for its first and last sentences.
     """
 
     def __init__(self, texts: pa.Array):
@@ -43,6 +45,12 @@ class Paragraphs:
         for table, found in ((stops, ends), (breaks, hard)):
             count = np.append(0, np.cumsum(table[words.data]))
             found[:-1] |= count[words.start[1:]] != count[words.end[:-1]]
+        # Of ends right behind each other, as after words of a shouted text, only the first counts.
+        ends[1:] &= ~ends[:-1] | hard[1:]
+        # A long sentence has further ends, after words that any text with it would choose.
+        sentence = np.append(0, np.cumsum(ends)[:-1]) if n else np.zeros(0, dtype=np.int64)
+        long = np.bincount(sentence)[sentence] > LONG_SENTENCE if n else ends
+        ends |= long & (mixed(words.hash, 9) % np.uint64(8) == 0)
         at = np.flatnonzero(ends)
         before = np.maximum(at - 1, 0)
         key = mixed(words.hash[at] * np.uint64(3) + words.hash[before], 5)

@@ -32,6 +32,7 @@ def test_passages_are_found_wherever_they_stand(spark):
 
 def test_pairs_of_lines_are_those_of_a_plain_search(spark, monkeypatch):
     monkeypatch.setattr(paragraphs, "ENDS", 10**6)
+    monkeypatch.setattr(paragraphs, "LONG_SENTENCE", 10**6)
     rng = random.Random(4)
     lines = [corpus.prose(rng, "aa", 40).replace("\n", " ") for _ in range(15)]
     for k in range(15):
