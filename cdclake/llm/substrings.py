@@ -166,21 +166,32 @@ def lcp_intervals(lcp: np.ndarray, least: int):
 
 
 def _repeats(length: int, gram: int):
-    """Repeat groups of at least ``length`` bytes among suffixes that arrive sorted: a row per occurrence."""
+    """Repeated strings of at least ``length`` bytes around suffixes that arrive sorted: a row per occurrence."""
 
     def rows(table: pa.Table, bounds: np.ndarray) -> pa.RecordBatch | None:
         right, left = (_Strings(table.column(c).combine_chunks()) for c in ("right", "left"))
         n = table.num_rows
         lcp = right.common(np.arange(n - 1), np.arange(1, n))
         sizes = np.diff(bounds)
-        ends: list[tuple[np.ndarray, ...]] = []
+        # How far the repeated strings around each suffix reach; all of them hold its beginning, so they
+        # are one span. And the group of the longest.
+        before, after = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
+        longest, group_of = np.zeros(n, dtype=np.int64), np.arange(n)
+
+        def reach(row: np.ndarray, left_size: np.ndarray, right_size: np.ndarray, group: np.ndarray) -> None:
+            before[row] = np.maximum(before[row], left_size)
+            after[row] = np.maximum(after[row], right_size)
+            better = left_size + right_size > longest[row]
+            longest[row[better]] = (left_size + right_size)[better]
+            group_of[row[better]] = group[better]
+
         # Pairs are most of all groups; their only interval is the pair itself.
         a = bounds[:-1][sizes == 2]
-        before = left.common(a, a + 1)
-        found = (lcp[a] >= gram) & (before + lcp[a] >= length)
-        a, before = a[found], before[found]
-        for row in (a, a + 1):
-            ends.append((row, before, lcp[a], a))
+        shared = left.common(a, a + 1)
+        found = (lcp[a] >= gram) & (shared + lcp[a] >= length)
+        a, shared = a[found], shared[found]
+        reach(a, shared, lcp[a], a)
+        reach(a + 1, shared, lcp[a], a)
         for low, high in zip(bounds[:-1][sizes > 2].tolist(), bounds[1:][sizes > 2].tolist(), strict=True):
             order = np.array(sorted(range(low, high), key=lambda r: left.cells[r].tobytes()))
             rank = np.empty(high - low, dtype=np.int64)
@@ -195,16 +206,16 @@ def _repeats(length: int, gram: int):
                 number = np.append(0, np.cumsum(shared + common < length))
                 group = members[np.searchsorted(number, number)]
                 hit = far + common >= length
-                ends.append((members[hit], far[hit], np.full(hit.sum(), common), group[hit]))
-        row, before, after, group = (np.concatenate([e[k] for e in ends]) for k in range(4))
+                reach(members[hit], far[hit], np.full(hit.sum(), common), group[hit])
+        row = np.flatnonzero(longest)
         if not len(row):
             return None
         place = numpy_column(table, "place")
         digests = table.column("digest").combine_chunks()
         return pa.RecordBatch.from_arrays(
             [
-                digests.take(pa.array(row)), pa.array(place[row] - before), pa.array(place[row] + after),
-                digests.take(pa.array(group)), pa.array(place[group]),
+                digests.take(pa.array(row)), pa.array(place[row] - before[row]), pa.array(place[row] + after[row]),
+                digests.take(pa.array(group_of[row])), pa.array(place[group_of[row]]),
             ],
             names=["digest", "start", "end", "group_digest", "group_place"],
         )
