@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from cdclake.llm.components import components
 from cdclake.llm.tables import column, local_roots, numpy_column, shuffle_tasks, whole_groups, written
@@ -18,10 +19,10 @@ SIMILARITY = 0.93
 SAMPLE = 16_000
 MOST_LISTS = 1024
 SUBSPACES, CODES = 8, 64
-#: Lists are probed whose border is this many spreads (of a pair at the threshold) away.
-SPREADS = 2.0
 #: Vectors of a list, and of the queries to it, that make up a block.
 BLOCK = 1024
+#: Vectors that look for lists at once, and bytes of vectors that leave a task at once.
+_ROWS, _BYTES = 2048, 16 << 20
 _GROUP = ["label", "dim", "list", "entry_block", "query_block"]
 
 
@@ -60,15 +61,15 @@ class Index:
     def probes(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The nearest list of each vector, and which lists to probe.
 
-        A neighbour within the radius is in another list only if it is beyond the plane between both
-        centres. Along a given direction it is away by radius / sqrt(dimensions) on average; lists are
-        probed whose plane is within ``SPREADS`` times that.
+        Two vectors of different lists are on either side of the plane between both centres, so their
+        distances from it add up to at most their own. Within the radius one of them is at most half of
+        it away: lists are probed whose plane is that near, and every pair is met from one side at least.
         """
         squares = _squares(x, self.centres)
         own = squares.argmin(1)
         apart = np.sqrt(_squares(self.centres, self.centres))[own]
-        border = (squares - squares[np.arange(len(x)), own][:, None]) / (2 * np.maximum(apart, 1e-12))
-        near = border <= SPREADS * self.radius / np.sqrt(x.shape[1])
+        # The distance from a plane is this difference divided by twice that of the centres.
+        near = squares - squares[np.arange(len(x)), own][:, None] <= self.radius * apart + 1e-7
         near[np.arange(len(x)), own] = True
         return own, near
 
@@ -92,51 +93,64 @@ class Index:
         return np.nonzero(np.sqrt(total) <= self.radius + lost + 1e-9)
 
 
-def _vectors(values: pa.Array) -> np.ndarray:
-    flat = values.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    x = flat.reshape(len(values), -1)
+def _units(x: np.ndarray) -> np.ndarray:
+    x = x.astype(np.float64)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _postings(indexes: dict[int, Index]):
-    """For each vector one row as an entry of its list and one row per list it probes."""
+def _vectors(values: pa.Array) -> np.ndarray:
+    return _units(values.flatten().to_numpy(zero_copy_only=False).reshape(len(values), -1))
+
+
+def _postings(indexes: dict[int, Index], kind: type):
+    """For each vector one row as an entry of its list and one row per list it probes.
+
+    Components are sent as they are, as numbers of ``kind``. Only entries say what they are in the index.
+    """
 
     def rows(batches):
         for batch in batches:
             dims = numpy_column(batch, "dim")
             for dim in np.unique(dims):
                 part = batch.filter(pa.array(dims == dim))
-                index = indexes[int(dim)]
-                x = _vectors(part.column(part.schema.get_field_index("embedding")))
-                own, near = index.probes(x)
-                codes, lost = index.encode(x, own)
-                who, probed = np.nonzero(near)
-                edges = np.append(0, np.cumsum(near.sum(1)))
-                everyone = np.arange(len(x))
-                at = np.concatenate([everyone, who])
-                entry = np.arange(len(at)) < len(x)
-                taken = part.take(pa.array(at))
-                probes = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(probed.astype(np.int32)))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *[taken.column(taken.schema.get_field_index(c)) for c in ("label", "dim", "rep", "copies")],
-                        pa.array(np.concatenate([own, probed]).astype(np.int32)),
-                        pa.array(own[at].astype(np.int32)), pa.array(entry),
-                        pa.array([c.tobytes() for c in codes], pa.binary()).take(pa.array(at)),
-                        pa.array(lost[at]), probes.take(pa.array(at)),
-                        pa.array([v.tobytes() for v in x], pa.binary()).take(pa.array(at)),
-                    ],
-                    names=["label", "dim", "rep", "copies", "list", "own", "entry", "codes", "lost", "probes", "unit"],
-                )
+                for low in range(0, part.num_rows, _ROWS):
+                    yield from postings(part.slice(low, _ROWS), indexes[int(dim)], int(dim))
+
+    def postings(part: pa.RecordBatch, index: Index, dim: int):
+        values = part.column(part.schema.get_field_index("embedding"))
+        raw = values.flatten().to_numpy(zero_copy_only=False).reshape(len(values), -1)
+        x = _units(raw)
+        own, near = index.probes(x)
+        codes, lost = index.encode(x, own)
+        who, probed = np.nonzero(near)
+        at = np.concatenate([np.arange(len(x)), who])
+        where = np.concatenate([own, probed]).astype(np.int32)
+        entry = np.arange(len(at)) < len(x)
+        told = [pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(lost),
+                pa.array([n.tobytes() for n in np.packbits(near, axis=1)], pa.binary())]
+        sent = pa.array([v.tobytes() for v in raw.astype(kind)], pa.binary())
+        step = max(1, _BYTES // (dim * np.dtype(kind).itemsize))
+        for low in range(0, len(at), step):
+            cut = slice(low, low + step)
+            taken = part.take(pa.array(at[cut]))
+            entries = pa.array(at[cut], mask=~entry[cut])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *[taken.column(taken.schema.get_field_index(c)) for c in ("label", "dim", "rep", "copies")],
+                    pa.array(where[cut]), pa.array(own[at[cut]].astype(np.int32)), pa.array(entry[cut]),
+                    *[t.take(entries) for t in told], sent.take(pa.array(at[cut])),
+                ],
+                names=["label", "dim", "rep", "copies", "list", "own", "entry", "codes", "lost", "probes", "vector"],
+            )
 
     return rows
 
 
 _POSTING = """label long, dim int, rep long, copies long, list int, own int, entry boolean, codes binary, lost double,
-    probes array<int>, unit binary"""
+    probes binary, vector binary"""
 
 
-def _links(indexes: dict[int, Index], similarity: float):
+def _links(indexes: dict[int, Index], similarity: float, kind: type):
     def group(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         entry = numpy_column(table, "entry").astype(bool)
         rep, copies = numpy_column(table, "rep"), numpy_column(table, "copies")
@@ -145,16 +159,17 @@ def _links(indexes: dict[int, Index], similarity: float):
         e, q = np.flatnonzero(entry), np.flatnonzero(~entry)
         if not len(e) or not len(q):
             return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-        unit = np.frombuffer(b"".join(table.column("unit").to_pylist()), dtype=np.float64).reshape(len(entry), -1)
-        codes = table.column("codes").to_pylist()
-        codes = np.frombuffer(b"".join(codes[i] for i in e), dtype=np.uint8).reshape(len(e), -1)
+        unit = _units(np.frombuffer(b"".join(table.column("vector").to_pylist()), dtype=kind).reshape(len(entry), -1))
+        codes, probes = (
+            np.frombuffer(b"".join(table.column(c).take(pa.array(e)).to_pylist()), dtype=np.uint8).reshape(len(e), -1)
+            for c in ("codes", "probes")
+        )
         a, b = index.near(unit[q], here, codes, numpy_column(table, "lost")[e])
         a, b = q[a], e[b]
         # A pair that is met from both sides counts where the smaller id asks.
         own = numpy_column(table, "own")
         back = np.zeros((len(entry), len(index.centres)), dtype=bool)
-        for i, lists in zip(e, table.column("probes").take(pa.array(e)).to_pylist(), strict=True):
-            back[i, lists] = True
+        back[e] = np.unpackbits(probes, axis=1, count=len(index.centres))
         keep = (rep[a] < rep[b]) | ((rep[a] > rep[b]) & ~back[b, own[a]])
         a, b = a[keep], b[keep]
         exact = np.concatenate(
@@ -208,7 +223,8 @@ def near_duplicates(
     and holds every class: each is an entry of its nearest list and asks the lists that may hold its
     neighbours. Candidates pass a table-lookup distance, then the exact cosine. Lists, and the queries to
     them, are cut into blocks, so no list is ever in one task as a whole; only sums of links and a
-    spanning forest leave a task. No candidates are cut off.
+    spanning forest leave a task. Lists are probed by a bound that holds for any vectors, so all links are
+    found, however many lists that takes.
 
     Vectors that are null, empty, zero or hold null or non-finite components, and vectors of different
     dimensions, link with nothing. Rows without an id are not compared (null component, kept); rows that
@@ -229,9 +245,10 @@ def near_duplicates(
     )
     classes = written(classes.withColumn("dim", F.size("embedding")), "vectors")
     indexes = _fit(classes, similarity)
+    kind = np.float32 if isinstance(classes.schema["embedding"].dataType.elementType, FloatType) else np.float64
 
     postings = written(
-        classes.select("label", "dim", "rep", "copies", "embedding").mapInArrow(_postings(indexes), _POSTING), "postings"
+        classes.select("label", "dim", "rep", "copies", "embedding").mapInArrow(_postings(indexes, kind), _POSTING), "postings"
     )
     lists = ["label", "dim", "list"]
     sizes = postings.groupBy(*lists).agg(
@@ -249,7 +266,7 @@ def near_duplicates(
         .drop("entries", "queries")
         .repartition(shuffle_tasks(rows.sparkSession), *_GROUP).sortWithinPartitions(*_GROUP)
     )
-    found = written(spread.mapInArrow(_links(indexes, similarity), "rep long, links long, root long"), "vector_links")
+    found = written(spread.mapInArrow(_links(indexes, similarity, kind), "rep long, links long, root long"), "vector_links")
 
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     groups = components(found, "rep", "root").withColumnRenamed("node", "rep")

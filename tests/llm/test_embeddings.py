@@ -74,5 +74,35 @@ def test_table_distances_let_every_close_pair_pass():
     assert len(passed) < 300 * 300 / 2
 
 
+def uneven(n, dims, spread, seed):
+    """Vectors in pairs near the threshold, whose components differ as ``spread`` says, in a random frame."""
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, len(spread))) * spread
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[1::2] = x[::2] + 0.3 * rng.uniform(0, 1.2, size=(n // 2, 1)) * x[rng.permutation(n)[: n // 2]]
+    x = x @ np.linalg.qr(rng.normal(size=(dims, len(spread))))[0].T
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize(
+    "dims, spread", [(256, np.ones(3)), (256, np.ones(8)), (768, np.ones(8)), (384, 1 / np.arange(1, 385) ** 2.0)]
+)
+def test_every_close_pair_is_met_from_one_side(dims, spread):
+    x = uneven(3000, dims, spread, 6)
+    index = embeddings.Index.fit(x, 109, 0.93)
+    own, near = index.probes(x)
+    a, b = np.nonzero(np.triu(x @ x.T >= 0.93, 1))
+    assert (own[a] != own[b]).sum() > 200
+    assert (near[a, own[b]] | near[b, own[a]]).all()
+    assert near.mean() < 0.9
+
+
+def test_links_of_uneven_vectors_are_all_found(spark):
+    x = uneven(600, 256, np.ones(8), 7).astype(np.float32)
+    rows = [(k, [float(v) for v in x[k]], k // 2 % 3, 1, 1) for k in range(len(x))]
+    got = {r.vec_id: r.n_links for r in embeddings.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == brute(rows)[0]
+
+
 def test_no_vectors(spark):
     assert embeddings.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
