@@ -22,6 +22,8 @@ LEAST_RUN = 16
 #: Of so many sentence ends in a row at least one ends a paragraph.
 ENDS = 3
 LONG_SENTENCE = 24
+#: Of so many words in a row at least one ends a paragraph where lines are short.
+SHORT_LINES = 16
 
 
 class Paragraphs:
@@ -31,9 +33,13 @@ class Paragraphs:
     sentence ends in a row at that whose last words have the least hash. Long sentences have ends after
     one word in eight, chosen by hash. So a passage is cut alike wherever it stands, also in the middle
     of a line, but for its first and last sentences.
+
+    Breaks between lines of fewer than ``least`` words do not count. Such lines, as of verse, menus or
+    code, are one stretch, and of every ``SHORT_LINES`` words in a row there that with the least hash ends
+    a paragraph.
     """
 
-    def __init__(self, texts: pa.Array):
+    def __init__(self, texts: pa.Array, least: int = LEAST_WORDS):
         self.words = words = Words(texts)
         n = len(words)
         stops, breaks = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
@@ -59,7 +65,22 @@ class Paragraphs:
             window = np.lib.stride_tricks.sliding_window_view(key, ENDS)
             together = words.text[at[ENDS - 1 :]] == words.text[at[: len(at) - ENDS + 1]]
             chosen[(np.arange(len(window)) + window.argmin(axis=1))[together]] = True
-        self.bounds = np.append(0, at[chosen] + 1) if n else np.zeros(1, dtype=np.int64)
+        cut = np.zeros(n, dtype=bool)
+        cut[at[chosen]] = True
+        if n:
+            line = np.append(0, np.cumsum(hard)[:-1])
+            short = np.bincount(line)[line] < least
+            between = np.append(short[:-1] & short[1:], False) & ~last
+            cut[short] = (hard & ~between)[short]
+            stretch = np.append(0, np.cumsum(hard & ~between)[:-1])
+            window = np.arange(SHORT_LINES)
+            first = np.flatnonzero(short[: max(0, n - SHORT_LINES + 1)])
+            first = first[stretch[first] == stretch[first + SHORT_LINES - 1]]
+            for low in range(0, len(first), 65536):
+                words_at = first[low : low + 65536, None] + window
+                key = mixed(words.hash[words_at] * np.uint64(3) + words.hash[np.maximum(words_at - 1, 0)], 5)
+                cut[words_at[:, 0] + key.argmin(axis=1)] = True
+        self.bounds = np.append(0, np.flatnonzero(cut) + 1)
         self.text = words.text[self.bounds[:-1]]
         self.count = np.diff(self.bounds)
         edges = np.searchsorted(self.text, np.arange(len(texts) + 1))
@@ -73,7 +94,7 @@ class Paragraphs:
 def _sign(bands: int, rows: int, ngram: int, least: int):
     def start():
         def sign(texts: pa.Array, _) -> list[pa.Array]:
-            found = Paragraphs(texts)
+            found = Paragraphs(texts, least)
             kept = np.flatnonzero(found.count >= least)
             edges = found.edges(kept, len(texts))
             shingles, at = found.words.shingles(ngram, found.bounds)
@@ -82,8 +103,9 @@ def _sign(bands: int, rows: int, ngram: int, least: int):
             base = found.words.at[found.text[kept]]
             begin = found.words.start[found.bounds[kept]] - base
             end = found.words.end[found.bounds[kept + 1] - 1] - base
-            values = [found.number[kept], found.key[kept], begin, end, found.count[kept], *hashes.T]
-            names = ["number", "digest", "start", "end", "n", *[f"b{k}" for k in range(bands)]]
+            place = np.arange(len(kept)) - np.searchsorted(found.text[kept], found.text[kept])
+            values = [found.number[kept], place, found.key[kept], begin, end, found.count[kept], *hashes.T]
+            names = ["number", "place", "digest", "start", "end", "n", *[f"b{k}" for k in range(bands)]]
             items = pa.StructArray.from_arrays([pa.array(v.astype(np.int64)) for v in values], names=names)
             return [pa.ListArray.from_arrays(edges, items)]
 
@@ -98,7 +120,7 @@ def _sets(docs: DataFrame, bits: np.ndarray, ngram: int, least: int) -> DataFram
     def sets(batches):
         for batch in batches:
             for first, last in slices(batch.column(0)):
-                found = Paragraphs(batch.column(0).slice(first, last - first))
+                found = Paragraphs(batch.column(0).slice(first, last - first), least)
                 kept = np.flatnonzero((found.count >= least) & passes(found.key, bits))
                 kept = kept[np.unique(found.key[kept], return_index=True)[1]]
                 shingles, at = found.words.shingles(ngram, found.bounds)
@@ -119,7 +141,9 @@ def repeated_paragraphs(
     first occurrence (smallest id, then place) is kept, the others are to be removed. Columns:
     ``doc_id``, ``paragraph`` (its number in the text), ``start`` and ``end`` (byte offsets in UTF-8),
     ``n_words``, ``cluster_id``, ``occurrences`` of the cluster, ``kept``. Clustered paragraphs that
-    stand together have at least ``least_run`` words, else they are left alone, as are short formulas.
+    stand together have at least ``least_run`` words, else they are left alone, as are short formulas;
+    paragraphs too short to be compared do not part them. Lines too short to be compared are compared
+    together with their short neighbours (see ``Paragraphs``).
 
     Equal paragraphs are one class, named by a 63-bit hash of its words, and compared once. Bands and rows
     are chosen for ``recall`` at the threshold; buckets are cut into blocks, and only sums and spanning
@@ -128,13 +152,13 @@ def repeated_paragraphs(
     """
     bands, rows = choose_bands(similarity, recall, most_hashes)
     ids = docs.select(column(doc_id).alias("doc_id"), column(text).cast("string").alias("text"))
-    fields = ", ".join(f"{c}: bigint" for c in ["number", "digest", "start", "end", "n", *[f"b{k}" for k in range(bands)]])
+    fields = ", ".join(f"{c}: bigint" for c in ["number", "place", "digest", "start", "end", "n", *[f"b{k}" for k in range(bands)]])
     signed = with_struct(ids, "s", f"found array<struct<{fields}>>", _sign(bands, rows, ngram, least_words), "text")
     numbered = signed.withColumn("row", F.monotonically_increasing_id())
     found = numbered.select("row", "doc_id", F.explode("s.found").alias("p"))
     names = [F.col(f"p.b{k}") for k in range(bands)]
     # The numbers of rows are written with them, so they stay as they are if a task is run again later.
-    units = written(found.select("row", "doc_id", "p.number", "p.digest", "p.start", "p.end", "p.n", F.array(*names).alias("bands")), "paragraphs")
+    units = written(found.select("row", "doc_id", "p.number", "p.place", "p.digest", "p.start", "p.end", "p.n", F.array(*names).alias("bands")), "paragraphs")
     classes = units.groupBy("digest").agg(F.count("*").alias("copies"), F.first("bands").alias("bands"))
     classes = classes.withColumn("rep", F.col("digest"))
     members = classes.select("digest", F.explode("bands").alias("bucket"))
@@ -149,7 +173,7 @@ def repeated_paragraphs(
     )
     hits = units.drop("bands").join(clusters, "digest")
     in_text = Window.partitionBy("row").orderBy("number")
-    hits = hits.withColumn("run", F.col("number") - F.row_number().over(in_text))
+    hits = hits.withColumn("run", F.col("place") - F.row_number().over(in_text))
     hits = hits.withColumn("run_words", F.sum("n").over(Window.partitionBy("row", "run"))).filter(F.col("run_words") >= least_run)
     hits = written(hits, "repeats")
     first = hits.groupBy("cluster_id").agg(

@@ -55,6 +55,31 @@ def test_pairs_of_lines_are_those_of_a_plain_search(spark, monkeypatch):
     assert sorted(map(sorted, clusters.values())) == sorted(sorted(v) for v in expected.values() if len(v) > 1)
 
 
+def lines(rng, lang, sizes):
+    words = corpus.words(corpus.prose(rng, lang, sum(sizes) + 20))
+    return "\n".join(" ".join(words.pop() for _ in range(n)) for n in sizes)
+
+
+def test_passages_of_short_lines_are_found(spark):
+    rng = random.Random(21)
+    shapes = [[5] * 12, [2] * 30, [1, 7, 3, 4] * 4, [10, 3, 10, 2, 10]]
+    passages = [lines(rng, "bb", shapes[p % 4]) for p in range(24)]
+    rows, holders = [], set()
+    for p, passage in enumerate(passages):
+        for k in range(3):
+            sizes = [[], [4] * 9, [40]][k]
+            rows.append((100 * (p + 1) + k, "\n".join([lines(rng, "aa", sizes), passage, lines(rng, "cc", sizes)])))
+            holders.add(rows[-1][0])
+    clean = [(k, lines(rng, "aa", [5] * 12)) for k in range(40)]
+    got = paragraphs.repeated_paragraphs(spark.createDataFrame(rows + clean, "doc_id long, text string")).collect()
+    found = {r.doc_id for r in got}
+    assert found <= holders
+    assert len(found) >= 0.97 * len(holders)
+    texts = dict(rows)
+    for r in got:
+        assert len(corpus.words(texts[r.doc_id].encode()[r.start : r.end].decode())) == r.n_words
+
+
 def test_odd_rows(spark, docs, no_docs):
     got = paragraphs.repeated_paragraphs(docs.withColumnRenamed("lang", "digest")).collect()
     assert {100, 200, 300, 301, 302, 303} <= {r.doc_id for r in got}
