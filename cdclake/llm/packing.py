@@ -26,7 +26,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, doc_id: str, text: str, capaci
     def start():
         # Spark runs a task per core already; the library's own threads would only take memory.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = WordEncoder(tokenizer)
+        encoder = WordEncoder(tokenizer, added=True)
 
         def pieces(texts: pa.Array, _) -> list[pa.Array]:
             ids, at = encoder.encode(texts)
@@ -160,7 +160,7 @@ def pack_documents(
 
     Documents longer than ``capacity`` are cut into pieces of that length and a rest, others are not cut.
     A null or empty text is one separator. Rows with a null or a repeated id are packed like all others.
-    No documents: no rows. Columns: ``doc_id``, ``piece``, ``start``, ``length``, ``ids_crc32`` (checksum
+    Added tokens of the file that a text spells are one id each. No documents: no rows. Columns: ``doc_id``, ``piece``, ``start``, ``length``, ``ids_crc32`` (checksum
     of the piece's ids as unsigned 32-bit little-endian numbers), ``sequence_id``, ``offset``.
     """
     if not os.path.isfile(tokenizer):

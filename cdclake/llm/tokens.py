@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import sys
 import unicodedata
 
@@ -26,16 +27,23 @@ def _classes() -> np.ndarray:
 class WordEncoder:
     """Ids of texts under a tokenizer file whose words never span the runs that it splits texts into.
 
-    The same ids as the tokenizers library gives without special tokens. Words are found for a whole
+    The same ids as the tokenizers library gives if it adds no special tokens. Words are found for a whole
     batch in numpy, the library encodes the distinct ones. Words seen are remembered, up to ``memory``
-    of them; then all are forgotten.
+    of them; then all are forgotten. With ``added``, the file's added tokens are known where texts spell
+    them, as the library does; without it such a string is text like any other.
     """
 
-    def __init__(self, path: str, memory: int = 200_000):
+    def __init__(self, path: str, memory: int = 200_000, added: bool = False):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
+        tokens = self._tokenizer.get_added_tokens_decoder() if added else {}
+        if any(t.normalized or t.lstrip or t.rstrip or t.single_word for t in tokens.values()):
+            raise ValueError("added tokens that are not looked up as they stand")
+        self._added = {t.content: k for k, t in tokens.items()}
+        # The longest of those that begin at one place, as in the library.
+        literals = sorted(self._added, key=len, reverse=True)
+        self._literal = re.compile(f"({'|'.join(map(re.escape, literals))})") if literals else None
         self._memory = memory
         self._kind = _classes()
         self._forget()
@@ -90,7 +98,21 @@ class WordEncoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and where each text's begin; null counts as empty."""
-        joined, points, begin, end, first = self._words([t or "" for t in texts.to_pylist()])
+        plain = [t or "" for t in texts.to_pylist()]
+        if self._literal is None:
+            return self._encode(plain)
+        # Text, token, text, token, text: the texts between tokens are encoded each apart.
+        parts = [self._literal.split(t) for t in plain]
+        ids, at = self._encode([p for x in parts for p in x[::2]])
+        tokens = np.array([self._added[p] for x in parts for p in x[1::2]], dtype=ids.dtype)
+        pieces = np.array([len(x) // 2 + 1 for x in parts], dtype=np.int64)
+        first = np.append(0, np.cumsum(pieces))
+        inner = np.ones(len(at) - 1, dtype=bool)
+        inner[first[1:] - 1] = False
+        return np.insert(ids, at[1:][inner], tokens), at[first] + first - np.arange(len(first))
+
+    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        joined, points, begin, end, first = self._words(texts)
         hashes = SpanHash(points).of(begin, end)
         distinct, sample, number = np.unique(hashes, return_index=True, return_inverse=True)
         if len(self._known) > self._memory:

@@ -50,6 +50,27 @@ def test_encoder_gives_the_ids_of_the_library(library):
         assert ids[at[k] : at[k + 1]].tolist() == library.encode(text or "", add_special_tokens=False).ids
 
 
+def test_added_tokens_have_the_ids_of_the_plain_library(spark):
+    import pyarrow as pa
+
+    from cdclake.llm.tokens import WordEncoder
+
+    plain = Tokenizer.from_file(PATH)
+    texts = [
+        "a <|endoftext|> b", "<|endoftext|>", "<|startoftext|><|endoftext|>x<|endoftext|>", "", None, "<|ENDOFTEXT|> <|endoftext|",
+        "e<|endoftext|>\u0301'll", "<<|endoftext|>>", "no token",
+    ]
+    expected = [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert expected[0] == [320, 49407, 321]
+    for some in (texts, texts[-1:], texts[3:5], []):
+        ids, at = WordEncoder(PATH, memory=3, added=True).encode(pa.array(some, pa.string()))
+        assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)] == expected[texts.index(some[0]) :][: len(some)] if some else True
+    rows = [(k, t, None, None, None) for k, t in enumerate(texts)]
+    got = packing.pack_documents(spark.createDataFrame(rows, corpus.SCHEMA), PATH).collect()
+    crc = [zlib.crc32(np.array([*e, 0], dtype="<u4").tobytes()) for e in expected]
+    assert sorted((r.doc_id, r.length, r.ids_crc32) for r in got) == [(k, len(e) + 1, crc[k]) for k, e in enumerate(expected)]
+
+
 def test_sequences_hold_all_pieces_gapless(spark, docs, library):
     capacity = 64
     rows = [r.asDict() for r in packing.pack_documents(docs, PATH, capacity=capacity).collect()]
