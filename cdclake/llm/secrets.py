@@ -14,9 +14,19 @@ from pyspark.sql import functions as F
 from cdclake.llm.tables import column, fresh, held_out, written
 
 _EDGE = r"[\p{L}\p{N}+/_-]"
-#: Strings of at least 12 such characters with a digit, of 16 capitals, or of 24 without a digit.
+_SECRET = r"(?i:passw(?:or)?d|passphrase|pwd|secret|token|(?:api|access|private)[_-]?key)"
+_ASSIGNED = rf"{_SECRET}[\"'`\]]{{0,2}}\s{{0,4}}(?::=|=>|==?|:)\s{{0,4}}[\"'`]?"
+#: A quote that does not end the value it is in.
+_INNER = r"[\"'`](?![\s,;:.)\]}>]|$)"
+#: What is assigned to a secret's name: six or more characters up to a space or closing quote, without
+#: the punctuation behind it. What stands right before is looked at first, as it is cheap.
+_VALUE = (
+    rf"(?<=[=:>\s\"'`])(?=(?:[^\s\"'`]|{_INNER}){{6}})(?<=[=:>]\s{{0,4}}[\"'`]?)(?<={_ASSIGNED})"
+    rf"[^\s\"'`=:>][^\s\"'`]*(?:{_INNER}[^\s\"'`]*){{0,8}}(?:(?<![,;.)\]}}>])|(?=[\"'`]))"
+)
+#: Assigned values, and strings of at least 12 such characters with a digit, of 16 capitals, or of 24 without a digit.
 CANDIDATE = (
-    rf"(?<!{_EDGE})(?:(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{{12,}}|[A-Z]{{16,}}|[A-Za-z+/_-]{{24,}})(?!{_EDGE})"
+    rf"{_VALUE}|(?<!{_EDGE})(?:(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{{12,}}|[A-Z]{{16,}}|[A-Za-z+/_-]{{24,}})(?!{_EDGE})"
 )
 #: At most about this many findings of each label are learned from.
 SAMPLE = 4000
@@ -113,7 +123,7 @@ def features(found: DataFrame, words: DataFrame) -> DataFrame:
     near = F.concat_ws(" ", "before", "after")
     return found.join(strings, "candidate").withColumns({
         "named": F.regexp_extract("before", r"(\S*\s*\S*\s*)$", 1).rlike(_NAMES).cast("double"),
-        "assigned": F.col("before").rlike(r"[=:]\s*[\"']?$").cast("double"),
+        "assigned": F.col("before").rlike(r"[=:]>?\s*[\"'`]?$").cast("double"),
         "quoted": (F.col("before").rlike(r"[\"'`]$") & F.col("after").rlike(r"^[\"'`]")).cast("double"),
         "near_sample": near.rlike(_SAMPLES).cast("double"),
         "near_words": (F.length(F.regexp_replace(near, r"[^\p{L}]", "")) / (F.length(near) + 1)),
@@ -124,13 +134,14 @@ def features(found: DataFrame, words: DataFrame) -> DataFrame:
 def labelled_by_form(found: DataFrame) -> DataFrame:
     """Label findings whose form settles the matter, as no table has labels; all others get none.
 
-    1: an access key id with its provider's prefix, or a mixed string assigned to a name like
-    "password". 0: digits only (numbers of cards, accounts, phones) or letters only.
+    1: an access key id with its provider's prefix, or a mixed string (also of small letters and
+    capitals) assigned to a name like "password". 0: digits only (numbers of cards, accounts, phones) or letters only, unless assigned to
+    such a name.
     """
     key = F.col("candidate").rlike("^(?:AKIA|ASIA)[0-9A-Z]{16}$")
-    assigned = F.col("before").rlike(r"(?i)(password|passwd|pwd|secret|token|api_?key)\"?\s*[=:]\s*[\"']?$")
+    assigned = F.col("before").rlike(f"{_ASSIGNED}$")
     plain = F.col("candidate").rlike("^(?:[0-9+/_-]+|[A-Za-z+/_-]+)$")
-    return found.withColumn("label", F.when(key, 1).when(plain, 0).when(assigned, 1).cast("double")).filter("label IS NOT NULL")
+    return found.withColumn("label", F.when(key, 1).when(plain & ~assigned, 0).when(assigned & (~plain | F.col("candidate").rlike("[a-z][A-Z]")), 1).cast("double")).filter("label IS NOT NULL")
 
 
 @dataclass

@@ -68,6 +68,34 @@ def test_odd_rows(spark, docs, no_docs):
     assert secrets.scan(odd).count() == 3001
 
 
+def test_assigned_values_of_any_form_are_found(spark):
+    values = ["hunter2abc", "Tr0ub4dor&3xyz", "P@ss!word-1", "aBcDeFgHiJkLmN", "correcthorsebattery", "it's'me", "73519824", "s3cr3t"]
+    forms = ['password = "{}"', "token={}", "PASSWORD: {},", "'api_key': '{}'}}", "pwd := {}."]
+    rows, expected = made(), {}
+    for k, value in enumerate(values):
+        for f, form in enumerate(forms):
+            expected[1000 + 10 * k + f] = value
+            rows.append((1000 + 10 * k + f, f"some words {form.format(value)} and more", "aa", "src1", 1))
+    rows.append((2000, "the token: abc, and password is not given; secret = 12, my word", "aa", "src1", 1))
+    table = spark.createDataFrame(rows, corpus.SCHEMA)
+    texts = {i: t for i, t, *_ in rows}
+    got = [r for r in secrets.scan(table).filter("doc_id >= 1000").collect()]
+    assert sorted((r.doc_id, texts[r.doc_id][r.start : r.start + r.length]) for r in got) == sorted(expected.items())
+    # Whether a word or a number is a secret is for the forest to say; the others are.
+    plain = ("correcthorsebattery", "73519824")
+    assert all(r.secret for r in got if expected[r.doc_id] not in plain)
+    clean = {r.doc_id: r.text for r in secrets.redact(table).filter("doc_id >= 1000").collect()}
+    for k, value in expected.items():
+        assert value in plain or clean[k] == texts[k].replace(value, secrets.MASK)
+    assert clean[2000] == texts[2000]
+
+
+def test_assigned_plain_strings_are_not_taught_as_harmless(spark):
+    rows = [(1, "token = 12345678901234 or 12345678901234", "aa", "src1", 1)]
+    found = secrets.findings(spark.createDataFrame(rows, corpus.SCHEMA))
+    assert [(r.number, r.label) for r in secrets.labelled_by_form(found).collect()] == [(1, 0.0)]
+
+
 def test_labelled_findings_may_be_given(spark):
     table = spark.createDataFrame(made(), corpus.SCHEMA)
     labels = secrets.findings(table).withColumn("label", F.col("candidate").rlike("^[0-9]+$").cast("double"))
