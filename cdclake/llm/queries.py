@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdclake.llm import decontaminate, embeddings, jaccard, language, packing, paragraphs, secrets, substrings, toxicity, warc
+from cdclake.llm import (
+    decontaminate, embeddings, jaccard, language, packing, paragraphs, quality, secrets, spelling, substrings, toxicity, warc, whitening,
+)
 from cdclake.llm.tables import held_out
 
 
@@ -69,6 +71,20 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.ngram_join(_table(spark, sf_dir, "documents"))
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.quality(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", *[f"quality.{c}" for c in (
+        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "ratio", "outside")])
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(spelling.count_words(_table(spark, sf_dir, "documents")))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -80,6 +96,9 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_decontaminate": op10_decontaminate,
+    "op11_quality_rules": op11_quality_rules,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
 
 _WORDS = """regexp_extract_all(
@@ -156,4 +175,50 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
   CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN ids USING (doc_id)""",
+    "op12_spelling_variants": """
+WITH RECURSIVE steps(k, i, c) AS (
+  SELECT 0, i, CAST(i AS BIGINT) FROM range(256) t(i)
+  UNION ALL
+  SELECT k + 1, i, CASE WHEN c % 2 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END FROM steps WHERE k < 8),
+tbl AS (SELECT list(c ORDER BY i) AS t FROM steps WHERE k = 8),
+runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\\x{00C0}-\\x{00FF}]+')) AS run
+  FROM documents),
+pairs AS (SELECT doc_id, run, count(*) AS n FROM runs GROUP BY doc_id, run),
+bytes AS (
+  SELECT doc_id, run, n, list_transform(string_split(CAST(doc_id AS VARCHAR) || ':' || run, ''), lambda x: ord(x)) AS points FROM pairs),
+sums AS (
+  SELECT doc_id, run, n, xor(4294967295, list_reduce(
+    flatten([[CAST(4294967295 AS BIGINT)], flatten(list_transform(points,
+      lambda p: CASE WHEN p < 128 THEN [CAST(p AS BIGINT)] ELSE [CAST(195 AS BIGINT), CAST(p - 64 AS BIGINT)] END))]),
+    lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)]))) AS h
+  FROM bytes, tbl),
+spelled AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n
+  FROM sums),
+words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM spelled WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+gaps AS (
+  SELECT word, n, length(word) AS size, i, substr(word, 1, i - 1) AS ahead, substr(word, i + 1) AS behind
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words) x),
+near AS (
+  SELECT a.word, b.word AS other, b.n AS m FROM gaps a JOIN gaps b
+    ON a.size = b.size AND a.i = b.i AND a.ahead = b.ahead AND a.behind = b.behind AND a.word <> b.word
+  UNION
+  SELECT a.word, b.word, b.n FROM gaps a JOIN words b ON a.ahead || a.behind = b.word
+  UNION
+  SELECT b.word, a.word, a.n FROM gaps a JOIN words b ON a.ahead || a.behind = b.word),
+ranked AS (
+  SELECT word, other, m, count(*) OVER (PARTITION BY word) AS n_near,
+    row_number() OVER (PARTITION BY word ORDER BY m DESC, encode(other)) AS place
+  FROM near),
+best AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 2 * n THEN other END AS form, CASE WHEN m >= 2 * n THEN m END AS form_n
+  FROM words w LEFT JOIN (SELECT * FROM ranked WHERE place = 1) r ON r.word = w.word),
+chain AS (
+  SELECT word, word AS root FROM best
+  UNION ALL
+  SELECT c.word, b.form FROM chain c JOIN best b ON b.word = c.root WHERE b.form IS NOT NULL),
+last AS (SELECT c.word, c.root FROM chain c JOIN best b ON b.word = c.root WHERE b.form IS NULL)
+SELECT word, form, root, n, CAST(n_near AS BIGINT) AS n_near, form_n FROM best JOIN last USING (word)""",
 }
