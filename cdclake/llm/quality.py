@@ -66,8 +66,9 @@ def _repeated_words(text: np.ndarray, word: np.ndarray, n_texts: int) -> np.ndar
     for size in (1, 2, 4):
         number = _numbers(number[:-size] * len(word) + number[size:])
     inside = text[:n] == text[WINDOW - 1 :]
-    counts = np.bincount(number[inside], minlength=1)
-    again = np.flatnonzero(inside & (counts[number] > 1))
+    # Windows that reach into the next text have numbers too.
+    times = np.bincount(number[inside], minlength=int(number.max()) + 1)
+    again = np.flatnonzero(inside & (times[number] > 1))
     # A window begins to cover words at its first and ends after its last.
     depth = np.zeros(len(word) + 1, dtype=np.int64)
     np.add.at(depth, again, 1)

@@ -60,6 +60,12 @@ def test_counts_are_those_of_the_plain_rules():
         assert {c: int(v[k]) for c, v in found.items()} == {c: expected[c] for c in found}, text
 
 
+def test_windows_do_not_reach_into_the_next_text():
+    for batch in (["w " * 9, "x y z"], ["a b c d", "e f g h", "a b c d", "e f g h"], ["a b c d e f g h", "a b c d e f g h"]):
+        found = quality.counts(pa.array(batch))["n_repeat_words"]
+        assert found.tolist() == [plain(t)["n_repeat_words"] for t in batch]
+
+
 def test_decisions_are_those_of_one_text_at_a_time(spark):
     rows = [(k, t, "x") for k, t in enumerate(texts())]
     docs = spark.createDataFrame(rows, "doc_id long, text string, quality string").repartition(3)
