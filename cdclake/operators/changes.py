@@ -11,6 +11,7 @@ outer join:
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -75,16 +76,21 @@ def require_unique(changes: DataFrame, keys) -> DataFrame:
     return changes.unionByName(failing.select(*values))
 
 
-def _merge(current: DataFrame, changes: DataFrame, keys, *, replace: Column, delete: Column | None,
-           insert: Column | None, assign, out, small: bool = False, newer: str | None = None) -> Merged:
+def merge_rows(current: DataFrame, changes: DataFrame, keys, *, replace: Column, delete: Column | None,
+               insert: Column | None, assign=None, out=None, small: bool = False, helpers: tuple[str, ...] = (),
+               applies: Callable[[Callable[[str], Column]], Column] | None = None) -> Merged:
     """``current`` with ``changes`` applied.
 
     ``replace``, ``delete`` and ``insert`` are conditions over the change row. ``assign`` lists the
-    columns a matched change overwrites, ``out`` the columns of the result. ``small`` says that the
-    size of ``changes`` has been checked to suit a broadcast. ``newer`` names a column by which a
-    matched change must not be older than the row it meets.
+    columns a matched change overwrites, ``out`` the columns of the result, all of both unless given
+    but for ``helpers``, which only serve conditions. ``small`` says that the size of ``changes`` has been
+    checked to suit a broadcast. ``applies`` may refuse a change for the row it meets: it is given a function
+    for the change's columns and makes a condition of them and of the row's.
     """
-    incoming, existing = set(changes.columns), set(current.columns)
+    carried = [c for c in changes.columns if c not in helpers]
+    assign = set(carried) if assign is None else assign
+    out = [*current.columns, *[c for c in carried if c not in current.columns]] if out is None else out
+    incoming, existing = set(carried), set(current.columns)
     new = changes.select(
         *[quoted(c).alias(f"__n_{c}") for c in changes.columns],
         replace.alias("__replace"),
@@ -95,16 +101,14 @@ def _merge(current: DataFrame, changes: DataFrame, keys, *, replace: Column, del
         joined = current.join(F.broadcast(new), all_of([quoted(a) == quoted(b) for a, b in pairs]), "left")
     else:
         joined = spread_join(current, new, pairs, "left")
-    applies = F.lit(True)
-    if newer in existing and newer in incoming:
-        applies = F.coalesce(quoted(f"__n_{newer}"), F.lit("")) >= F.coalesce(quoted(newer), F.lit(""))
+    taken = F.lit(True) if applies is None else applies(lambda name: quoted(f"__n_{name}"))
     if delete is not None:
-        joined = joined.where(~F.coalesce(quoted("__delete") & applies, F.lit(False)))
+        joined = joined.where(~F.coalesce(quoted("__delete") & taken, F.lit(False)))
     columns = []
     for name in out:
         value = quoted(name) if name in existing else F.lit(None).cast(changes.schema[name].dataType)
         if name in incoming and name in assign:
-            value = F.when(quoted("__replace") & applies, quoted(f"__n_{name}")).otherwise(value)
+            value = F.when(quoted("__replace") & taken, quoted(f"__n_{name}")).otherwise(value)
         columns.append(value.alias(name))
     matched = joined.select(*columns)
     if insert is None:
@@ -119,18 +123,16 @@ def _merge(current: DataFrame, changes: DataFrame, keys, *, replace: Column, del
     ]))
 
 
-def _union_columns(current: DataFrame, changes: DataFrame) -> list[str]:
-    return [*current.columns, *[c for c in changes.columns if c not in current.columns]]
-
-
 def merge_changes(current: DataFrame, changes: DataFrame, keys, *, small: bool = False,
                   newer: str | None = None) -> Merged:
     """:func:`apply_changes` in two parts, for changes known to be unique."""
-    op = F.col(OP)
-    return _merge(
-        current, changes, keys, small=small, newer=newer,
+    op, text, applies = F.col(OP), F.lit(""), None
+    if newer in current.columns and newer in changes.columns:
+        def applies(new):
+            return F.coalesce(new(newer), text) >= F.coalesce(quoted(newer), text)
+    return merge_rows(
+        current, changes, keys, small=small, applies=applies,
         replace=op.isin(INSERT, UPDATE), delete=op == DELETE, insert=op != DELETE,
-        assign=set(changes.columns), out=_union_columns(current, changes),
     )
 
 
@@ -159,7 +161,7 @@ def mirror_changes(current: DataFrame, changes: DataFrame, contract: TableContra
     out = [n.lower() for n in contract.schema.names]
     changes = changes if unique else require_unique(changes, keys)
     op = F.col(OP.lower())
-    return _merge(
+    return merge_rows(
         current, changes, keys,
         replace=op == UPDATE, delete=op == DELETE, insert=op.isin(INSERT, UPDATE),
         assign=set(out) - set(keys), out=out,
@@ -168,10 +170,7 @@ def mirror_changes(current: DataFrame, changes: DataFrame, contract: TableContra
 
 def merge_updates(current: DataFrame, updates: DataFrame, keys, *, small: bool = False) -> Merged:
     """:func:`update_existing` for updates known to be unique."""
-    return _merge(
-        current, updates, keys, small=small, replace=F.lit(True), delete=None, insert=None,
-        assign=set(updates.columns), out=_union_columns(current, updates),
-    )
+    return merge_rows(current, updates, keys, small=small, replace=F.lit(True), delete=None, insert=None)
 
 
 def update_existing(current: DataFrame, updates: DataFrame, keys, *, unique: bool = False) -> DataFrame:

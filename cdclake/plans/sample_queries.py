@@ -738,16 +738,18 @@ def cdc_stream_curated(spark, sf):
     return tables.read_table(spark, inp.FEED_CONTRACT.path(_streamed(spark, sf).curated))
 
 
+_PARTS = 3
+
+
 def _in_parts(spark, sf, label: str, between, **options) -> Zones:
-    """The feed in parts by a hash of its rows, one file per micro-batch."""
-    zones = dataclasses.replace(_zones(spark, label), max_files=1, **options)
+    """The feed in parts by the number of its events, the last ones first; the stream takes in what there is after each."""
+    zones = dataclasses.replace(_zones(spark, label), **options)
     for root in (zones.structured, zones.curated):
         tables.append_new(spark, inp.FEED_CONTRACT.path(root), inp.current(spark, sf), ["pk"], buckets=4)
     feed = inp.feed(spark, sf)
-    parts = 3
-    part = F.pmod(F.xxhash64(*feed.columns), F.lit(parts))
-    for k in reversed(range(parts)):
-        _write_raw(feed.where(part == k).coalesce(1), zones.raw, _ACTIVITY)
+    part = F.col("checkpoint_col").cast("long") % _PARTS
+    for k in reversed(range(_PARTS)):
+        _write_raw(feed.where(part == k), zones.raw, _ACTIVITY)
         between(zones, k)
     _run_streams(spark, zones)
     return zones
@@ -762,7 +764,7 @@ def _run_streams(spark, zones: Zones, **options) -> None:
 
 @query("cdc_stream_parts", _MERGED_SQL)
 def cdc_stream_parts(spark, sf):
-    zones = _in_parts(spark, sf, "parts", lambda *_: None)
+    zones = _in_parts(spark, sf, "parts", lambda zones, _: _run_streams(spark, zones))
     return tables.read_table(spark, inp.FEED_CONTRACT.path(zones.curated))
 
 
@@ -782,11 +784,13 @@ def cdc_stream_reset(spark, sf):
     return tables.read_table(spark, inp.FEED_CONTRACT.path(_reset(spark, sf).curated))
 
 
-@query("cdc_stream_reset_violations", f"SELECT DISTINCT * FROM ({SQL['quarantine_rows']}) q")
+@query("cdc_stream_reset_violations", f"""
+WITH q AS ({SQL['quarantine_rows']})
+SELECT * FROM q UNION ALL SELECT * FROM q WHERE CAST(checkpoint_col AS BIGINT) % {_PARTS} = {_PARTS - 1}""")
 def cdc_stream_reset_violations(spark, sf):
     # What was read before and after the reset is set aside by both streams.
     path = quarantine_path(_reset(spark, sf).violations, "structured", *_ACTIVITY)
-    return _unpacked(read_quarantine(spark, path)).distinct()
+    return _unpacked(read_quarantine(spark, path))
 
 
 @query("cdc_stream_write_conflict", _MERGED_SQL)
@@ -804,9 +808,10 @@ def cdc_stream_write_conflict(spark, sf):
             done.wait(2)
 
     def begin(zones: Zones, k: int) -> None:
-        if k == 0:
+        if not workers:
             workers.append(threading.Thread(target=compact, args=(zones,)))
             workers[0].start()
+        _run_streams(spark, zones)
 
     workers: list[threading.Thread] = []
     try:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from cdclake.contracts import OP, SEQUENCE, TIMESTAMP, TableContract, with_metadata
-from cdclake.sources.tables import table_glob
+from cdclake.sources.tables import table_state, table_units, unit_path
 
 # Fixed value: names the catalog accepts.
 TABLE_NAME = r"[a-z_0-9]*"
@@ -40,17 +40,98 @@ def archive_properties(contract: TableContract) -> dict[str, str]:
     }
 
 
+def _listed(properties: dict[str, str]) -> str:
+    return ", ".join(f"{_text(k)} = {_text(v)}" for k, v in properties.items())
+
+
+def _drop(spark: SparkSession, name: str) -> None:
+    kind = _kind(spark, name)
+    if kind:
+        spark.sql(f"DROP {kind} {name}")
+
+
+def _kind(spark: SparkSession, name: str) -> str | None:
+    if not spark.catalog.tableExists(name):
+        return None
+    return "VIEW" if spark.catalog.getTable(name).tableType == "VIEW" else "TABLE"
+
+
 def _replace(spark: SparkSession, database: str, contract: TableContract, schema: T.StructType,
              location: str, properties: dict[str, str]) -> None:
     name = f"`{database}`.`{contract.flat_name}`"
-    listed = ", ".join(f"{_text(k)} = {_text(v)}" for k, v in properties.items())
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    _drop(spark, name)
     spark.sql(
         f"CREATE TABLE {name} ({_columns(schema, contract.keys)}) USING parquet "
-        f"LOCATION {_text(location)} TBLPROPERTIES ({listed})"
+        f"LOCATION {_text(location)} TBLPROPERTIES ({_listed(properties)})"
+    )
+
+
+# --- stored tables ----------------------------------------------------------------------------------
+#
+# A stored table is shown by a view. Below it are two partitioned tables: one has a partition for each folder or
+# file of the version shown, the other of the one before. A new version is registered in the idle table, by
+# the partitions that are new and those that are gone, then the view is pointed there: readers see one version
+# or the other. Nothing grows with the number of files but the catalog's own list of partitions.
+
+_PARTS = (("_gen", "STRING"), ("_bucket", "INT"), ("_file", "STRING"))
+_SIDES = ("a", "b")
+_SHOWN = "cdclake.side"
+#: Stands for the file in partitions that are whole folders, and partitions of one statement.
+_WHOLE, _AT_ONCE = "-", 500
+
+
+def _side(database: str, contract: TableContract, side: str) -> str:
+    return f"`{database}`.`{contract.flat_name}__{side}`"
+
+
+def _show(spark: SparkSession, database: str, contract: TableContract, side: str, properties: dict[str, str]) -> None:
+    columns = ", ".join(
+        f"`{f.name}`" + (" COMMENT 'primary_key'" if f.name in contract.keys else "") for f in contract.schema.fields
+    )
+    chosen = ", ".join(f"`{f.name}`" for f in contract.schema.fields)
+    spark.sql(
+        f"CREATE OR REPLACE VIEW `{database}`.`{contract.flat_name}` ({columns}) "
+        f"TBLPROPERTIES ({_listed({**properties, _SHOWN: side})}) AS SELECT {chosen} FROM {_side(database, contract, side)}"
     )
 
 
+def _register(spark: SparkSession, name: str, path: str) -> None:
+    """Make the partitions of a table those of the current version of the stored table at ``path``."""
+    state = table_state(spark, path)
+    wanted = {(gen, str(b), file or _WHOLE) for gen, b, file in table_units(state)} if state else set()
+    found = (dict(p.split("=", 1) for p in r[0].split("/")) for r in spark.sql(f"SHOW PARTITIONS {name}").collect())
+    there = {tuple(p[c] for c, _ in _PARTS) for p in found}
+
+    def spec(part: tuple[str, str, str]) -> str:
+        return f"PARTITION (_gen = {_text(part[0])}, _bucket = {part[1]}, _file = {_text(part[2])})"
+
+    def location(part: tuple[str, str, str]) -> str:
+        return unit_path(path, part[0], int(part[1]), "" if part[2] == _WHOLE else part[2])
+
+    for parts, statement in (
+        (sorted(wanted - there), lambda ps: f"ADD IF NOT EXISTS {' '.join(f'{spec(p)} LOCATION {_text(location(p))}' for p in ps)}"),
+        (sorted(there - wanted), lambda ps: f"DROP IF EXISTS {', '.join(spec(p) for p in ps)}"),
+    ):
+        for low in range(0, len(parts), _AT_ONCE):
+            spark.sql(f"ALTER TABLE {name} {statement(parts[low:low + _AT_ONCE])}")
+    spark.catalog.refreshTable(name)
+
+
+def _publish_stored(spark: SparkSession, database: str, contract: TableContract, path: str) -> None:
+    name = f"`{database}`.`{contract.flat_name}`"
+    _drop(spark, name)
+    columns = ", ".join([_columns(contract.schema, contract.keys), *[f"{c} {kind}" for c, kind in _PARTS]])
+    for side in _SIDES:
+        table = _side(database, contract, side)
+        _drop(spark, table)
+        spark.sql(
+            f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY ({', '.join(c for c, _ in _PARTS)}) "
+            f"LOCATION {_text(f'{path}/data')} TBLPROPERTIES ({_listed({'classification': 'parquet'})})"
+        )
+    _register(spark, _side(database, contract, _SIDES[0]), path)
+    _show(spark, database, contract, _SIDES[0], {"classification": "parquet"})
+
+
 def _attempt_all(spark: SparkSession, contracts, action) -> DataFrame:
     failures = []
     for contract in contracts:
@@ -69,24 +150,27 @@ def publish_tables(spark: SparkSession, contracts, roots: dict[str, str],
 
     ``roots`` and ``databases`` are keyed by ``archive, structured, curated`` and, for databases,
     ``public``, which shows the curated zone. The archive table has the change columns as well.
-    Returns the tables that failed; the others are published regardless. A table is shown as it is
-    now: jobs given ``Zones.published`` move published tables on after every write.
+    Returns the tables that failed; the others are published regardless. A stored table is shown as it
+    is now: jobs given ``Zones.published`` move published tables on after every write. Its files are registered as
+    partitions of tables of their own (``<name>__a`` and ``<name>__b``), whose location never changes.
     """
     def publish(contract: TableContract) -> None:
         _replace(spark, databases["archive"], contract, with_metadata(contract.schema),
                  contract.path(roots["archive"]), archive_properties(contract))
         for zone, database in (("structured", "structured"), ("curated", "curated"), ("curated", "public")):
-            _replace(spark, databases[database], contract, contract.schema,
-                     table_glob(spark, contract.path(roots[zone])), {"classification": "parquet"})
+            _publish_stored(spark, databases[database], contract, contract.path(roots[zone]))
 
     return _attempt_all(spark, contracts, publish)
 
 
 def point_table(spark: SparkSession, database: str, contract: TableContract, path: str) -> None:
-    """Show the current version of the stored table at ``path``."""
+    """Show the current version of the stored table at ``path``, in one step."""
     name = f"`{database}`.`{contract.flat_name}`"
-    spark.sql(f"ALTER TABLE {name} SET LOCATION {_text(table_glob(spark, path))}")
-    spark.catalog.refreshTable(name)
+    properties = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect() if not r.key.startswith("view.")}
+    shown = properties.pop(_SHOWN)
+    idle = next(side for side in _SIDES if side != shown)
+    _register(spark, _side(database, contract, idle), path)
+    _show(spark, database, contract, idle, properties)
 
 
 def switch_tables(spark: SparkSession, contracts, root: str, database: str) -> DataFrame:

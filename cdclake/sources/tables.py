@@ -2,8 +2,9 @@
 
 A table is split into hash buckets of its primary key. Every write adds a folder
 ``data/gen=<id>/_bucket=<n>`` and then one small version file naming the folders that make up the
-table, so readers never see half a write and a failed job leaves the old version in place. A merge
-reads and rewrites only the buckets its changes fall into, an append rewrites nothing.
+table, and of folders that are not whole any more the files, so readers never see half a write and a
+failed job leaves the old version in place. A merge looks for its keys in the buckets its changes fall
+into and rewrites only the files that hold some; an append rewrites nothing.
 
 The schema is kept in the version file: reading needs no look into parquet footers, and columns
 may be added over time. Of two writers at once one is refused at commit and may try again
@@ -19,17 +20,17 @@ import random
 import time
 import uuid
 from collections.abc import Callable
-from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cdclake.contracts import DELETE, OP, SEQUENCE, UPDATE
-from cdclake.functions.columns import quoted, row_digest
+from cdclake.contracts import DELETE, OP
+from cdclake.functions.columns import all_of, quoted, row_digest
 from cdclake.functions.joins import spread_join
 from cdclake.functions.types import SchemaConflict, conform, merged_type, nullable
 from cdclake.operators import changes as ops
+from cdclake.operators import sequence
 from cdclake.session import plan_bytes, sized_shuffles
 from cdclake.sources import paths
 
@@ -39,7 +40,10 @@ BUCKET = "_bucket"
 _GEN = "gen"
 _BUCKET_BYTES = 512 << 20
 _NO_STATISTICS = 1 << 60
-_DELETED = "_deleted"
+_MEMORY = "_memory"
+_GROUP_BYTES = 64 << 30
+#: Ranges of each key along the curve that compacted rows follow, keys that make it up, and rows its ranges are told by.
+_CURVE_BITS, _CURVE_KEYS, _CURVE_SAMPLE = 6, 4, 4096
 
 
 class TableConflict(Exception):
@@ -86,6 +90,11 @@ def _commit(spark: SparkSession, path: str, before: dict | None, after: dict) ->
     after["committed"] = int(time.time() * 1000)
     written, sizes = (before["written"], before["sizes"]) if before else ({}, {})
     after["written"] = {gen: written.get(gen, len(live)) for gen, live in after["live"].items()}
+    partial = {
+        gen: {b: names for b, names in left.items() if int(b) in after["live"].get(gen, ())}
+        for gen, left in after.get("partial", {}).items()
+    }
+    after["partial"] = {gen: left for gen, left in partial.items() if left}
     after["sizes"] = {
         gen: sizes[gen] if gen in sizes else paths.size(spark, f"{path}/data/{_GEN}={gen}") for gen in after["live"]
     }
@@ -115,38 +124,47 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return _read(spark, path, state)
 
 
-def table_folders(state: dict, path: str, buckets: set[int] | None = None) -> list[str]:
+def table_units(state: dict, buckets: set[int] | None = None) -> list[tuple[str, int, str]]:
+    """What makes up a version: (generation, bucket, file), the file empty for a folder that is whole."""
     return [
-        f"{path}/data/{_GEN}={gen}/{BUCKET}={b}"
+        (gen, b, name)
         for gen, live in sorted(state["live"].items())
         for b in live
         if buckets is None or b in buckets
+        for name in _partial(state, gen, b) or [""]
     ]
 
 
-def table_glob(spark: SparkSession, path: str) -> str:
-    """One path pattern for exactly the folders of the current version, for readers that take a location."""
-    state = table_state(spark, path)
-    live = state["live"] if state else {}
-    if not live:
-        return f"{path}/data/none"
-    parts = []
-    for gen, buckets in sorted(live.items()):
-        whole = len(buckets) == state["written"][gen]
-        chosen = "*" if whole else str(buckets[0]) if len(buckets) == 1 else "{" + ",".join(map(str, buckets)) + "}"
-        parts.append(f"{_GEN}={gen}/{BUCKET}={chosen}")
-    return f"{path}/data/" + (parts[0] if len(parts) == 1 else "{" + ",".join(parts) + "}")
-
-
-def _read(spark: SparkSession, path: str, state: dict, buckets: set[int] | None = None) -> DataFrame:
+def _partial(state: dict, gen: str, bucket: int) -> list[str] | None:
+    """Files left of a folder, None if it is whole."""
+    return state.get("partial", {}).get(gen, {}).get(str(bucket))
+
+
+def unit_path(path: str, gen: str, bucket: int, name: str) -> str:
+    folder = f"{path}/data/{_GEN}={gen}/{BUCKET}={bucket}"
+    return f"{folder}/{name}" if name else folder
+
+
+def _unit_of(file: str) -> tuple[str, int, str]:
+    """The unit that a file of a table is."""
+    gen, bucket, name = file.split("/")[-3:]
+    return gen.partition("=")[2], int(bucket.partition("=")[2]), name
+
+
+def table_folders(state: dict, path: str, buckets: set[int] | None = None) -> list[str]:
+    return [unit_path(path, *u) for u in table_units(state, buckets)]
+
+
+def _read(spark: SparkSession, path: str, state: dict, buckets: set[int] | None = None,
+          units: list[tuple[str, int, str]] | None = None) -> DataFrame:
     schema = T.StructType.fromJson(state["schema"])
-    folders = table_folders(state, path, buckets)
-    if not folders:
+    units = table_units(state, buckets) if units is None else units
+    if not units:
         return spark.createDataFrame([], schema)
     stored = schema.add(BUCKET, T.IntegerType()).add(_GEN, T.StringType())
     names = [f.name for f in schema.fields if f.name not in (BUCKET, _GEN)]
     reader = spark.read.schema(stored).option("basePath", f"{path}/data")
-    return reader.parquet(*folders).select(*[quoted(n) for n in names])
+    return reader.parquet(*[unit_path(path, *u) for u in units]).select(*[quoted(n) for n in names])
 
 
 # --- writing ----------------------------------------------------------------------------------
@@ -214,13 +232,16 @@ def _merged_schema(stored: dict, added: T.StructType) -> dict:
     return T.StructType([*fields, *[f for f in nullable(added).fields if f.name not in schema.names]]).jsonValue()
 
 
-def _aligned(df: DataFrame, state: dict) -> DataFrame:
+def _aligned(df: DataFrame, state: dict, helpers: tuple[str, ...] = ()) -> DataFrame:
     """Rows with the table's types: narrower numbers are widened, structs get each other's fields.
 
-    Anything else is refused here, before a file is written: a table stays readable.
+    Anything else is refused here, before a file is written: a table stays readable. ``helpers`` are
+    columns that are not for the table.
     """
-    want = {f.name: f.dataType for f in T.StructType.fromJson(_merged_schema(state["schema"], df.schema)).fields}
-    return df.select(*[conform(quoted(f.name), f.dataType, want[f.name]).alias(f.name) for f in df.schema.fields])
+    rows = [f for f in df.schema.fields if f.name not in helpers]
+    want = {f.name: f.dataType for f in T.StructType.fromJson(_merged_schema(state["schema"], T.StructType(rows))).fields}
+    values = [conform(quoted(f.name), f.dataType, want[f.name]).alias(f.name) for f in rows]
+    return df.select(*values, *[c for c in df.columns if c in helpers])
 
 
 def _seen(state: dict | None, batch: tuple[str, int] | None) -> bool:
@@ -256,7 +277,7 @@ def copy_table(spark: SparkSession, source: str, path: str) -> bool:
         return False
     rows = _read(spark, source, state).withColumn(BUCKET, _bucket_of(state["keys"], state["buckets"]))
     gen, live = _write(spark, rows, path, None)
-    _commit(spark, path, None, {**state, "live": {gen: live} if live else {}, "batches": {}})
+    _commit(spark, path, None, {**state, "live": {gen: live} if live else {}, "partial": {}, "batches": {}})
     return True
 
 
@@ -295,44 +316,68 @@ def merge(spark: SparkSession, path: str, changes: DataFrame, keys, *, buckets:
           batch: tuple[str, int] | None = None, unique: bool = False, in_sequence: bool = False) -> bool:
     """Apply changes (:func:`cdclake.operators.changes.apply_changes`); creates a missing table.
 
-    With ``in_sequence`` a change that is older than what the table has of its key changes nothing, so
-    the result does not depend on how a feed is cut into batches. Sequences of deleted keys are kept
-    for that, in a table below this one.
+    With ``in_sequence`` the result is that of the newest change of each key, however a feed is cut into
+    batches (:mod:`cdclake.operators.sequence`). What the feed has done to a key is remembered for that,
+    in a table below this one.
     """
     state = table_state(spark, path)
     if _seen(state, batch):
         return False
     if in_sequence:
-        if not unique:
-            changes, unique = ops.require_unique(changes, keys), True
-        changes = _after_deletes(spark, f"{path}/{_DELETED}", changes, keys, batch)
+        changes = changes if unique else ops.require_unique(changes, keys)
+        return _merge_in_sequence(spark, path, state, changes, keys, buckets, batch)
     if state is None:
         first = changes if unique else ops.require_unique(changes, keys)
         return _create(spark, path, first.where(F.col(OP) != DELETE), keys, buckets, batch)
-    newer = SEQUENCE if in_sequence else None
-    return _rewrite(spark, path, state, changes, keys, batch, unique, partial(ops.merge_changes, newer=newer))
+    return _rewrite(spark, path, state, changes, keys, batch, unique, ops.merge_changes)
 
 
-def _after_deletes(spark: SparkSession, path: str, changes: DataFrame, keys, batch) -> DataFrame:
-    """Changes that are not older than a delete of their key; deletes among them are remembered first.
+def _merge_in_sequence(spark: SparkSession, path: str, state: dict | None, changes: DataFrame, keys, buckets, batch) -> bool:
+    """Remember the changes, then merge them.
 
-    If the job dies before the table itself is written, the same changes pass again.
+    If the job dies in between, the same changes find themselves remembered, together with the rows from
+    before, and are merged then.
     """
-    deletes = changes.where(F.col(OP) == DELETE).select(*[quoted(k) for k in keys], SEQUENCE, F.lit(UPDATE).alias(OP))
-    state = table_state(spark, path)
-    if state is not None:
-        known = _read(spark, path, state).select(*[quoted(k).alias(f"__d_{k}") for k in keys], F.col(SEQUENCE).alias("__deleted"))
-        joined = spread_join(changes, known, [(k, f"__d_{k}") for k in keys], "left")
-        late = F.coalesce(F.col("__deleted"), F.lit("")) > F.coalesce(F.col(SEQUENCE), F.lit(""))
-        changes = joined.where(~late).select(*[quoted(c) for c in changes.columns])
-    if _seen(state, batch) or deletes.isEmpty():
-        return changes
-    if state is None:
-        _create(spark, path, deletes, keys, None, batch)
-    else:
-        merged = partial(ops.merge_changes, newer=SEQUENCE)
-        _rewrite(spark, path, state, deletes, keys, batch, True, merged)
-    return changes
+    memory_path = f"{path}/{_MEMORY}"
+    memory = table_state(spark, memory_path)
+    cached = changes.is_cached
+    changes = changes if cached else changes.persist()
+    told = None
+    try:
+        aligned = changes if state is None else _aligned(changes, state)
+        touched = {s["buckets"]: set() for s in (state, memory) if s}
+        for count in touched:
+            touched[count] = _buckets_of(aligned, keys, count)
+        small = bool(touched) and _is_small(spark, changes)
+        known = None if memory is None else _read(spark, memory_path, memory, touched[memory["buckets"]])
+        told = sequence.in_sequence(aligned, known, keys, small=small).persist()
+        if not _seen(memory, batch):
+            current = None if state is None else _read(spark, path, state, touched[state["buckets"]])
+            marks = sequence.remembered(told, current, keys, small=small)
+            if memory is None:
+                _create(spark, memory_path, marks, keys, buckets or (state or {}).get("buckets"), batch)
+            else:
+                _rewrite(spark, memory_path, memory, marks, keys, batch, True, ops.merge_changes, touched=touched)
+            # What others have done to the table meanwhile is no conflict yet.
+            state = table_state(spark, path)
+        if state is None:
+            return _create(spark, path, sequence.first_rows(told), keys, buckets, batch)
+        return _rewrite(spark, path, state, told, keys, batch, True, sequence.merge, sequence.HELPERS, touched)
+    finally:
+        if told is not None:
+            told.unpersist()
+        if not cached:
+            changes.unpersist()
+
+
+def _buckets_of(rows: DataFrame, keys, count: int) -> set[int]:
+    """At most one number per bucket comes to the driver."""
+    return {r[0] for r in rows.select(_bucket_of(keys, count).alias(BUCKET)).distinct().collect()}
+
+
+def _is_small(spark: SparkSession, rows: DataFrame) -> bool:
+    """Do persisted and computed rows suit a broadcast?"""
+    return plan_bytes(rows) <= _broadcast_limit(spark)
 
 
 def update(spark: SparkSession, path: str, updates: DataFrame, keys, *, batch: tuple[str, int] | None = None,
@@ -348,31 +393,36 @@ def update(spark: SparkSession, path: str, updates: DataFrame, keys, *, batch: t
 
 
 def _rewrite(spark: SparkSession, path: str, state: dict, changes: DataFrame, keys, batch, unique: bool,
-             merge_rows) -> bool:
-    """Replace the buckets that ``changes`` fall into by the result of ``merge_rows``."""
+             merge_rows, helpers: tuple[str, ...] = (), touched: dict[int, set[int]] | None = None) -> bool:
+    """Replace the files that hold keys of ``changes`` by the result of ``merge_rows``.
+
+    ``touched`` has the buckets that changes fall into, by bucket count, where they are known.
+    """
     count = _fitting_count(state)
     grown = count != state["buckets"]
     bucket, new_bucket = _bucket_of(state["keys"], state["buckets"]), _bucket_of(state["keys"], count)
     cached = changes.is_cached
     changes = changes if cached else changes.persist()
     try:
-        aligned = _aligned(changes, state)
-        # At most one number per bucket comes to the driver.
-        touched = {r[0] for r in aligned.select(bucket.alias(BUCKET)).distinct().collect()}
+        aligned = _aligned(changes, state, helpers)
+        known = touched or {}
+        touched = known[state["buckets"]] if state["buckets"] in known else _buckets_of(aligned, state["keys"], state["buckets"])
         if not touched and batch is None:
             return False
-        gen, live = None, []
+        schema = _merged_schema(state["schema"], aligned.drop(*helpers).schema)
+        after = {**state, "buckets": count if touched else state["buckets"], "schema": schema, "batches": _batches(state, batch)}
         if touched:
             if grown:
                 touched = {b for live_buckets in state["live"].values() for b in live_buckets}
             if not unique:
                 aligned = ops.require_unique(aligned, keys)
             # A small change set is broadcast: rows remaining stay in the tasks that read their
-            # bucket files and need no shuffle. Otherwise they are gathered by bucket again.
-            small = plan_bytes(changes) <= _broadcast_limit(spark)
+            # files and need no shuffle. Otherwise they are gathered by bucket again.
+            small = _is_small(spark, changes)
             in_place = small and not grown
-            schema = _merged_schema(state["schema"], aligned.schema)
-            current = _read(spark, path, {**state, "schema": schema}, touched)
+            before = {**state, "schema": schema}
+            stored, hit = _files_hit(spark, path, before, touched, aligned, keys, small, grown)
+            current = _read(spark, path, before, units=hit)
             merged = merge_rows(current, aligned, keys, small=small)
             if in_place and merged.added is not None:
                 rows = merged.remaining.withColumn(BUCKET, bucket).unionByName(
@@ -380,24 +430,57 @@ def _rewrite(spark: SparkSession, path: str, state: dict, changes: DataFrame, ke
                 )
             else:
                 rows = merged.rows.withColumn(BUCKET, new_bucket)
-            with sized_shuffles(spark, 0 if in_place else plan_bytes(current)):
-                gen, live = _write(spark, rows, path, None if in_place else count)
-        else:
-            count = state["buckets"]
-        kept = {g: [b for b in bs if b not in touched] for g, bs in state["live"].items()}
-        kept = {g: bs for g, bs in kept.items() if bs}
-        if live:
-            kept[gen] = live
-        _commit(spark, path, state, {
-            **state, "live": kept, "buckets": count, "schema": _merged_schema(state["schema"], aligned.schema),
-            "batches": _batches(state, batch),
-        })
+            gen, live = None, []
+            if hit or merged.added is not None:
+                with sized_shuffles(spark, 0 if in_place else plan_bytes(current)):
+                    gen, live = _write(spark, rows, path, None if in_place else count)
+            after |= _without(state, stored, hit)
+            if live:
+                after["live"][gen] = live
+        _commit(spark, path, state, after)
         return True
     finally:
         if not cached:
             changes.unpersist()
 
 
+def _files_hit(spark: SparkSession, path: str, state: dict, touched: set[int], changes: DataFrame, keys, small: bool,
+               everything: bool) -> tuple[list[tuple[str, int, str]], list[tuple[str, int, str]]]:
+    """All files of the buckets, and those that hold a key of the changes.
+
+    Only key columns are read for that, and only names of files come to the driver. Where a bucket is a
+    single file there is nothing to choose.
+    """
+    rows = _read(spark, path, state, touched)
+    stored = sorted(_unit_of(f) for f in rows.inputFiles())
+    if everything or len(stored) <= len(touched):
+        return stored, stored
+    names = [quoted(k) for k in keys]
+    held = rows.select(*names, F.col("_metadata.file_path").alias("__file"))
+    asked = changes.select(*[quoted(k).alias(f"__c_{k}") for k in keys])
+    pairs = [(k, f"__c_{k}") for k in keys]
+    if small:
+        held = held.join(F.broadcast(asked), all_of([quoted(a) == quoted(b) for a, b in pairs]), "left_semi")
+    else:
+        held = spread_join(held, asked, pairs, "left_semi")
+    return stored, sorted(_unit_of(r[0]) for r in held.select("__file").distinct().collect())
+
+
+def _without(state: dict, stored: list[tuple[str, int, str]], gone: list[tuple[str, int, str]]) -> dict:
+    """What is live after some files have gone. ``stored`` are all files of the folders they are in."""
+    left: dict[tuple[str, int], list[str]] = {(gen, b): [] for gen, b, _ in gone}
+    removed = set(gone)
+    for unit in stored:
+        if unit[:2] in left and unit not in removed:
+            left[unit[:2]].append(unit[2])
+    live = {gen: [b for b in bs if left.get((gen, b), [""])] for gen, bs in state["live"].items()}
+    partial = {gen: dict(names) for gen, names in state.get("partial", {}).items()}
+    for (gen, b), names in left.items():
+        if names:
+            partial.setdefault(gen, {})[str(b)] = sorted(names)
+    return {"live": {gen: bs for gen, bs in live.items() if bs}, "partial": partial}
+
+
 def overwrite_sized(df: DataFrame, path: str, gigabytes: float | None = None, cores: int = 1) -> int:
     """Overwrite plain parquet with files sized by the data; returns their number.
 
@@ -416,20 +499,25 @@ def sized_files(gigabytes: float, cores: int) -> int:
 
 # --- maintenance ------------------------------------------------------------------------------
 
-def compact(spark: SparkSession, path: str, *, full: bool = False, target_mb: int = 128,
-            buckets: int | None = None) -> bool:
-    """Rewrite small files into larger ones.
+def compact(spark: SparkSession, path: str, *, full: bool = False, target_mb: float = 128,
+            buckets: int | None = None, group_bytes: int = _GROUP_BYTES) -> bool:
+    """Rewrite small files into larger ones, some buckets at a time.
 
     Without ``full``, only buckets with more files than their size calls for. With it the whole
-    table, and the bucket count is fitted to the table's size unless given. Rows are sorted by the
-    first four key columns, so that files cover narrow key ranges. Repeated keys are spread over
-    files by the rest of the row.
+    table, and the bucket count is fitted to the table's size unless given. Rows follow a space-filling
+    curve through the first four key columns, so that files cover narrow ranges of each of them.
+    Repeated keys are spread over files by the rest of the row.
+
+    Buckets are rewritten in groups of about ``group_bytes``, each of which is committed by itself: a job
+    that dies, or meets another writer in one of its buckets (:class:`TableConflict`), keeps the groups that are
+    done, and run again goes on with the others. Writers to other buckets are no conflict. A new bucket
+    count moves rows between buckets, so it is committed at the end.
     """
     state = table_state(spark, path)
     if state is None:
         log.warning("Cannot compact %s: there is no such table", path)
         return False
-    target = target_mb << 20
+    target = int(target_mb * (1 << 20))
     sizes = _bucket_files(spark, table_folders(state, path))
     if full or buckets is not None:
         chosen = set(sizes)
@@ -440,21 +528,92 @@ def compact(spark: SparkSession, path: str, *, full: bool = False, target_mb: in
         count = state["buckets"]
     if not chosen:
         return False
-    files = math.ceil(sum(sizes[b][1] for b in chosen) / target)
+    groups = _bucket_groups({b: sizes[b][1] for b in chosen}, group_bytes)
+    if count == state["buckets"]:
+        for group in groups:
+            gen, live = _clustered(spark, path, state, group, count, math.ceil(sum(sizes[b][1] for b in group) / target))
+            _replace_buckets(spark, path, state, group, {gen: live} if live else {})
+        return True
+    written = [
+        _clustered(spark, path, state, group, count, math.ceil(sum(sizes[b][1] for b in group) / target)) for group in groups
+    ]
+    live = {gen: found for gen, found in written if found}
+    _commit(spark, path, state, {**state, "live": live, "partial": {}, "buckets": count})
+    return True
+
+
+def _bucket_groups(sizes: dict[int, int], most: int) -> list[set[int]]:
+    """Buckets in groups of about ``most`` bytes, at least one in each."""
+    groups: list[set[int]] = []
+    held = 0
+    for b in sorted(sizes):
+        if not groups or held + sizes[b] > most:
+            groups.append(set())
+            held = 0
+        groups[-1].add(b)
+        held += sizes[b]
+    return groups
+
+
+def _clustered(spark: SparkSession, path: str, state: dict, chosen: set[int], count: int, files: int) -> tuple[str, list[int]]:
+    """Write the rows of some buckets as a new generation, along the curve through their keys."""
     rows = _read(spark, path, state, chosen)
-    names = rows.columns
-    order = [quoted(BUCKET), *[quoted(k) for k in state["keys"][:4]], quoted("__rest")]
-    rows = (
-        rows.withColumns({BUCKET: _bucket_of(state["keys"], count), "__rest": row_digest(rows)})
+    keys = state["keys"][:_CURVE_KEYS]
+    order = [quoted(BUCKET), quoted("__curve"), *[quoted(k) for k in keys], quoted("__rest")]
+    placed = (
+        rows.withColumns({BUCKET: _bucket_of(state["keys"], count), "__curve": _curve(rows, keys), "__rest": row_digest(rows)})
         .repartitionByRange(max(1, files), *order)
         .sortWithinPartitions(*order)
-        .select(*[quoted(n) for n in names], BUCKET)
+        .select(*[quoted(n) for n in rows.columns], BUCKET)
     )
-    gen, live = _write(spark, rows, path, None)
-    kept = {g: [b for b in bs if b not in chosen] for g, bs in state["live"].items()}
-    kept = {g: bs for g, bs in kept.items() if bs} | ({gen: live} if live else {})
-    _commit(spark, path, state, {**state, "live": kept, "buckets": count})
-    return True
+    return _write(spark, placed, path, None)
+
+
+def _curve(rows: DataFrame, keys) -> Column:
+    """A row's place on a space-filling curve: the bits of its keys' range numbers in turn (Z-order).
+
+    Ranges hold about as many rows each. They are told by a fixed choice of rows, whose number is bounded. A
+    single key needs no curve.
+    """
+    if len(keys) < 2:
+        return F.lit(0)
+    names = [quoted(k) for k in keys]
+    sample = rows.select(*names).orderBy(F.xxhash64(*names, F.lit(23))).limit(_CURVE_SAMPLE).collect()
+    place = F.lit(0).cast("long")
+    for j, key in enumerate(keys):
+        kind = rows.schema[key].dataType
+        if not isinstance(kind, (T.NumericType, T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+            continue
+        number = _range_number(quoted(key), kind, sorted(r[j] for r in sample if r[j] is not None and r[j] == r[j]))
+        for bit in range(_CURVE_BITS):
+            place = place.bitwiseOR(F.shiftleft(F.shiftright(number, bit).bitwiseAND(F.lit(1)).cast("long"), bit * len(keys) + j))
+    return place
+
+
+def _range_number(value: Column, kind: T.DataType, sample: list) -> Column:
+    """The number of the range that holds a value, found by halving; nulls come first."""
+    def halved(low: int, high: int) -> Column:
+        if high - low == 1:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(value >= F.lit(sample[middle * len(sample) >> _CURVE_BITS]).cast(kind), halved(middle, high)).otherwise(halved(low, middle))
+
+    return halved(0, 1 << _CURVE_BITS) if sample else F.lit(0)
+
+
+def _replace_buckets(spark: SparkSession, path: str, read: dict, chosen: set[int], written: dict[str, list[int]]) -> None:
+    """Commit what takes the place of some buckets, on top of whatever others have done to other buckets since."""
+    for _ in range(20):
+        state = table_state(spark, path)
+        if state["buckets"] != read["buckets"] or table_units(state, chosen) != table_units(read, chosen):
+            raise TableConflict(f"{path} has changed in the buckets being rewritten")
+        kept = {g: [b for b in bs if b not in chosen] for g, bs in state["live"].items()}
+        try:
+            _commit(spark, path, state, {**state, "live": {g: bs for g, bs in kept.items() if bs} | written})
+            return
+        except TableConflict:
+            time.sleep(random.uniform(0.05, 0.2))
+    raise TableConflict(f"{path} changes too often")
 
 
 def _bucket_files(spark: SparkSession, folders: list[str]) -> dict[int, tuple[int, int]]:
@@ -486,8 +645,9 @@ def vacuum(spark: SparkSession, path: str, retain_hours: float = 168, *, force:
     # The version current when the period began is still needed by readers that started then.
     older = [v for v, committed in versions if committed < cutoff]
     kept = sorted({*kept, newest, *older[-1:]}) if retain_hours > 0 else [newest]
-    needed = {g for v in kept for g in _load(spark, path, v)["live"]}
-    removed = 0
+    states = [_load(spark, path, v) for v in kept]
+    needed = {g for state in states for g in state["live"]}
+    removed = _remove_replaced_files(spark, path, states, cutoff)
     for name, is_folder, modified in paths.entries(spark, f"{path}/data"):
         gen = name.partition("=")[2]
         began = int(gen[1:13], 16) if gen.startswith("t") else modified
@@ -499,6 +659,29 @@ def vacuum(spark: SparkSession, path: str, retain_hours: float = 168, *, force:
     return removed
 
 
+def _remove_replaced_files(spark: SparkSession, path: str, states: list[dict], cutoff: float) -> int:
+    """Delete buckets and files of live generations that no version needs: those that merges have replaced."""
+    needed: dict[tuple[str, int], set[str] | None] = {}
+    for state in states:
+        for gen, live in state["live"].items():
+            for b in live:
+                names = _partial(state, gen, b)
+                before = needed.get((gen, b), set())
+                needed[gen, b] = None if names is None or before is None else before | set(names)
+    removed = 0
+    for gen in {g for g, _ in needed if int(g[1:13], 16) < cutoff}:
+        for folder, _, _ in paths.entries(spark, f"{path}/data/{_GEN}={gen}"):
+            bucket = folder.partition("=")[2]
+            if bucket.isdigit() and (gen, int(bucket)) not in needed:
+                removed += paths.delete(spark, f"{path}/data/{_GEN}={gen}/{folder}")
+            elif bucket.isdigit() and needed[gen, int(bucket)] is not None:
+                kept = needed[gen, int(bucket)]
+                for name, is_folder, _ in paths.entries(spark, f"{path}/data/{_GEN}={gen}/{folder}"):
+                    if not is_folder and name.endswith(".parquet") and name not in kept:
+                        removed += paths.delete(spark, f"{path}/data/{_GEN}={gen}/{folder}/{name}")
+    return removed
+
+
 def list_tables(spark: SparkSession, root: str, depth: int = 2) -> list[str]:
     """Stored tables at most ``depth`` folders below ``root``."""
     if table_exists(spark, root):

@@ -315,14 +315,37 @@ def test_published_tables_follow_a_load(spark, zones):
     assert spark.table("follow_structured.src_followed").count() == 0
 
 
-def test_table_glob_is_short_for_whole_writes(spark, root):
-    path = f"{root}/t"
-    tables.append(spark, path, load(spark, *[(i, "x") for i in range(40)]), ["pk"], buckets=4)
-    assert tables.table_glob(spark, path).endswith("/_bucket=*")
-    tables.merge(spark, path, changes(spark, (1, "y", "U", "1")), ["pk"])
-    glob = tables.table_glob(spark, path)
-    assert glob.count("gen=") == 2 and "_bucket=*" in glob
-    assert spark.read.parquet(glob).count() == 40
+def test_published_tables_follow_many_merges(spark, root):
+    contract = TableContract("src", "merged", ("pk",), CONTRACT.schema)
+    names = {n: f"merged_{n}" for n in ("archive", "structured", "curated", "public")}
+    for name in names.values():
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
+    roots = {n: f"{root}/{n}" for n in ("archive", "structured", "curated")}
+    path = contract.path(roots["curated"])
+    # Two files a bucket, so that merges take single files out of a folder.
+    for k in range(2):
+        tables.append(spark, path, load(spark, *[(i, "x") for i in range(40 * k, 40 * k + 40)]), ["pk"], buckets=4)
+    tables.compact(spark, path, full=True, buckets=2, target_mb=0.001)
+    assert catalog.publish_tables(spark, [contract], roots, names).count() == 0
+
+    def location(side):
+        rows = spark.sql(f"DESCRIBE TABLE EXTENDED merged_public.src_merged__{side}").collect()
+        return next(r.data_type for r in rows if r.col_name == "Location")
+
+    places = [location(s) for s in "ab"]
+    before = {r[0] for r in spark.sql("SHOW PARTITIONS merged_public.src_merged__a").collect()}
+    expected = {i: "x" for i in range(80)}
+    for k in range(5):
+        tables.merge(spark, path, changes(spark, (k * 11, f"y{k}", "U", "1"), (200 + k, "n", "I", "1")), ["pk"])
+        expected |= {k * 11: f"y{k}", 200 + k: "n"}
+        catalog.point_table(spark, "merged_public", contract, path)
+        assert state(spark.table("merged_public.src_merged")) == sorted(expected.items(), key=repr)
+    assert [location(s) for s in "ab"] == places
+    units = {f"_gen={g}/_bucket={b}/_file={f or '-'}" for g, b, f in tables.table_units(tables.table_state(spark, path))}
+    assert {r[0] for r in spark.sql("SHOW PARTITIONS merged_public.src_merged__b").collect()} == units != before
+    assert any(not u.endswith("=-") for u in units)
+    # A view that was not moved on shows the version it was given, for as long as its files are there.
+    assert spark.table("merged_curated.src_merged").count() == 80
 
 
 def test_database_statements():

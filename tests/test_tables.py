@@ -233,6 +233,185 @@ def test_late_changes_and_deletes_change_nothing(spark, path):
     assert tables.list_tables(spark, path) == [path]
 
 
+def _results_of_any_cut(spark, root, feed, base, key_rows):
+    """The table after the feed, in one batch and in orders of single changes."""
+    import itertools
+
+    from cdclake.operators.changes import latest_records
+
+    results = []
+    orders = list(itertools.permutations(range(len(feed))))
+    for k, order in enumerate([None, *(orders if len(feed) < 3 else orders[1::2])]):
+        path = f"{root}/cut{k}"
+        if base:
+            tables.append_new(spark, path, changes(spark, *base), ["pk"], buckets=1)
+        parts = [feed] if order is None else [[feed[i]] for i in order]
+        for n, part in enumerate(parts):
+            rows = latest_records(changes(spark, *part), ["pk"])
+            tables.merge(spark, path, rows, ["pk"], batch=("s/1", n), in_sequence=True, unique=True, buckets=1)
+        results.append(read(spark, path, "pk", "data", "Op", "checkpoint_col"))
+    assert results[0] == key_rows
+    return results
+
+
+@pytest.mark.parametrize("feed, base, rows", [
+    # An ignored operation after an update leaves the row as it was before the feed, in either cut.
+    ([(1, "u", "U", "05"), (1, "x", "X", "09")], [(1, "a", "I", "")], [(1, "a", "I", "")]),
+    ([(1, "u", "U", "05"), (1, "x", "X", "09")], [], [(1, "x", "X", "09")]),
+    ([(1, "u", "U", "05"), (1, None, "D", "07"), (1, "x", "X", "09")], [(1, "a", "I", "")], [(1, "a", "I", "")]),
+    ([(1, "x", "X", "03"), (1, "u", "U", "05"), (1, "y", "Y", "04")], [(1, "a", "I", "")], [(1, "u", "U", "05")]),
+    ([(1, "x", "X", "06"), (1, "u", "U", "05"), (1, None, "D", "07")], [(1, "a", "I", "")], []),
+    ([(1, "x", "X", "06"), (1, None, "D", "05"), (1, "y", "Y", "07")], [], [(1, "y", "Y", "07")]),
+])
+def test_any_cut_of_a_feed_gives_one_result(spark, root, feed, base, rows):
+    results = _results_of_any_cut(spark, root, feed, base, rows)
+    assert all(r == rows for r in results)
+
+
+def test_what_another_writer_has_made_of_a_row_stays(spark, path):
+    tables.append_new(spark, path, changes(spark, (1, "a", "I", ""), (2, "b", "I", "")), ["pk"], buckets=1)
+    tables.merge(spark, path, changes(spark, (1, "u", "U", "05"), (2, "u", "U", "05")), ["pk"], in_sequence=True)
+    tables.merge(spark, path, changes(spark, (1, "reloaded", "U", "07")), ["pk"])
+    tables.merge(spark, path, changes(spark, (1, "x", "X", "09"), (2, "x", "X", "09")), ["pk"], in_sequence=True)
+    assert read(spark, path) == [(1, "reloaded"), (2, "b")]
+
+
+def test_a_batch_that_died_between_memory_and_table(spark, path, monkeypatch):
+    tables.append_new(spark, path, changes(spark, (1, "a", "I", "")), ["pk"], buckets=1)
+    tables.merge(spark, path, changes(spark, (1, "u", "U", "05")), ["pk"], batch=("s/1", 0), in_sequence=True)
+    commit = tables._commit
+
+    def dying(session, target, before, after):
+        if target == path:
+            raise OSError("gone")
+        commit(session, target, before, after)
+
+    last = changes(spark, (1, "x", "X", "09"), (2, "n", "I", "08"))
+    monkeypatch.setattr(tables, "_commit", dying)
+    with pytest.raises(OSError, match="gone"):
+        tables.merge(spark, path, last, ["pk"], batch=("s/1", 1), in_sequence=True)
+    monkeypatch.undo()
+    assert read(spark, path) == [(1, "u")]
+    tables.merge(spark, path, last, ["pk"], batch=("s/1", 1), in_sequence=True)
+    assert read(spark, path) == [(1, "a"), (2, "n")]
+
+
+def _files(spark, path):
+    return {"/".join(f.split("/")[-3:]) for f in tables.read_table(spark, path).inputFiles()}
+
+
+def _many_files(spark, path, rows=400, buckets=2, target_mb=0.0008):
+    made = spark.range(rows).select(
+        F.col("id").cast("int").alias("pk"), F.repeat(F.col("id").cast("string"), 20).alias("data"), F.lit("I").alias("Op"),
+        F.lit("t").alias("_timestamp"), F.lit("").alias("checkpoint_col"))
+    tables.append_new(spark, path, made, ["pk"], buckets=buckets)
+    tables.compact(spark, path, full=True, buckets=buckets, target_mb=target_mb)
+    return _files(spark, path)
+
+
+@pytest.mark.parametrize("limit", ["10m", "-1"])
+def test_only_files_with_matched_keys_are_rewritten(spark, path, limit):
+    before = _many_files(spark, path)
+    assert len(before) >= 6
+    default = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        # Two updates and a delete within one range of keys, and keys that are new.
+        tables.merge(spark, path, changes(spark, (3, "u", "U", "1"), (5, None, "D", "1"), (1000, "n", "I", "1"), (2000, "m", "U", "1")), ["pk"])
+        after = _files(spark, path)
+        assert len(before - after) <= 2
+        assert tables.table_state(spark, path)["partial"]
+        expected = {i: str(i) * 20 for i in range(400) if i != 5} | {3: "u", 1000: "n", 2000: "m"}
+        assert read(spark, path) == sorted(expected.items(), key=repr)
+        # Keys that the table lacks rewrite nothing.
+        tables.merge(spark, path, changes(spark, (3000, "n", "I", "1"), (4000, None, "D", "1")), ["pk"])
+        assert after <= _files(spark, path)
+        tables.update(spark, path, changes(spark, (7, "v", "U", "1"), (5000, "w", "U", "1")), ["pk"])
+        assert len(after - _files(spark, path)) == 1
+        expected |= {3000: "n", 7: "v"}
+        assert read(spark, path) == sorted(expected.items(), key=repr)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", default)
+    held = sum(n.endswith(".parquet") for _, _, names in os.walk(f"{path}/data") for n in names)
+    assert tables.vacuum(spark, path, retain_hours=0, force=True) > 0
+    left = sum(n.endswith(".parquet") for _, _, names in os.walk(f"{path}/data") for n in names)
+    assert left == len(_files(spark, path)) < held
+    assert read(spark, path) == sorted(expected.items(), key=repr)
+    assert tables.compact(spark, path, full=True) and not tables.table_state(spark, path)["partial"]
+    assert read(spark, path) == sorted(expected.items(), key=repr)
+
+
+def test_compaction_is_committed_group_by_group(spark, path, monkeypatch):
+    for k in range(3):
+        tables.append(spark, path, changes(spark, *[(i, f"r{k}", "I", "") for i in range(40)]), ["pk"], buckets=4)
+    rows, version = read(spark, path), tables.table_state(spark, path)["version"]
+    clustered, done = tables._clustered, []
+
+    def meddled(session, target, state, chosen, count, files):
+        out = clustered(session, target, state, chosen, count, files)
+        done.append(chosen)
+        if len(done) == 2:
+            # Another writer takes the first bucket of the third group, and one that is done.
+            tables.append(session, target, changes(session, *[(i, "new", "I", "") for i in range(40)]), ["pk"])
+        return out
+
+    monkeypatch.setattr(tables, "_clustered", meddled)
+    with pytest.raises(tables.TableConflict, match="buckets being rewritten"):
+        tables.compact(spark, path, group_bytes=1)
+    monkeypatch.undo()
+    assert [len(g) for g in done] == [1, 1]
+    assert read(spark, path) == sorted(rows + [(i, "new") for i in range(40)], key=repr)
+    assert tables.table_state(spark, path)["version"] == version + 2
+    # Run again it goes on with the buckets that still have too many files.
+    assert tables.compact(spark, path, group_bytes=1)
+    assert all(n <= 2 for n in _files_per_bucket(spark, path))
+
+
+def test_compaction_beside_a_writer_of_other_buckets(spark, path, monkeypatch):
+    for k in range(3):
+        tables.append(spark, path, changes(spark, *[(i, f"r{k}", "I", "") for i in range(40)]), ["pk"], buckets=4)
+    clustered = tables._clustered
+
+    def meddled(session, target, state, chosen, count, files):
+        out = clustered(session, target, state, chosen, count, files)
+        if chosen == {0}:
+            other = next(i for i in range(40) if tables._buckets_of(changes(session, (i, "", "", "")), ["pk"], 4) == {3})
+            tables.append(session, target, changes(session, (other, "beside", "I", "")), ["pk"])
+        return out
+
+    rows = read(spark, path)
+    monkeypatch.setattr(tables, "_clustered", meddled)
+    with pytest.raises(tables.TableConflict):
+        tables.compact(spark, path, group_bytes=1)
+    monkeypatch.undo()
+    # The group of the bucket that was not written to is done, and so are those before the one that was.
+    assert len(read(spark, path)) == len(rows) + 1
+    assert tables.table_state(spark, path)["version"] >= 6
+
+
+def test_files_are_narrow_in_every_key(spark, path):
+    import pyarrow.parquet as pq
+
+    rows = spark.range(4096).select(
+        (F.col("id") % 64).cast("int").alias("a"), F.format_string("k%02d", (F.col("id") / 64).cast("int")).alias("b"), F.repeat(F.lit("x"), 50).alias("c"))
+    tables.append(spark, path, rows, ["a", "b"], buckets=1)
+    tables.compact(spark, path, full=True, buckets=1, target_mb=0.0002)
+    files = tables.read_table(spark, path).inputFiles()
+    assert len(files) >= 12
+
+    def read_for(column, value):
+        hit = 0
+        for f in files:
+            group = pq.read_metadata(f.removeprefix("file://")).row_group(0)
+            stats = next(group.column(k).statistics for k in range(group.num_columns) if group.column(k).path_in_schema == column)
+            hit += stats.min <= value <= stats.max
+        return hit / len(files)
+
+    # Sorted by the first key, a filter on the second would read every file.
+    assert read_for("a", 17) <= 0.5 and read_for("b", "k40") <= 0.5
+    assert tables.read_table(spark, path).distinct().count() == 4096
+
+
 def test_a_conflict_is_tried_again(spark, path):
     tables.append(spark, path, changes(spark, (1, "a", "I", "")), ["pk"], buckets=2)
     commit, seen = tables._commit, []
