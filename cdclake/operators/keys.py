@@ -38,6 +38,44 @@ def key_counts(a: DataFrame, b: DataFrame, keys) -> DataFrame:
     )
 
 
+#: Ranges that keys are divided into at each level of a comparison by digests, as bits of their hash.
+_LEVELS = (10, 10)
+_NULL_RANGE = -1
+
+
+def in_differing_ranges(a: DataFrame, b: DataFrame, keys, levels: tuple[int, ...] = _LEVELS) -> tuple[DataFrame, DataFrame]:
+    """Keys of both sides that :func:`key_counts` has to look at: those in hash ranges that are not alike.
+
+    Each side is reduced to a count and a digest, which no order changes, of each range; ranges whose digests are
+    equal hold the same keys. Those that differ are divided again, level by level. Only keys of ranges that differ on
+    the last level are shuffled. A level has at most 2^10 rows for each range that differed before, which are
+    broadcast; equal sides move nothing but their digests. Null keys never have a partner, so they always stay.
+    """
+    columns = [quoted(k) for k in keys]
+    kinds = a.select(*columns).limit(0).unionByName(b.select(*columns).limit(0)).schema
+    sides = [df.select(*[quoted(f.name).cast(f.dataType).alias(f.name) for f in kinds.fields]) for df in (a, b)]
+    place, bits = F.xxhash64(*columns, F.lit(1)), 0
+    for more in levels:
+        bits += more
+        number = F.when(any_null(keys), F.lit(_NULL_RANGE)).otherwise(place.bitwiseAND(F.lit((1 << bits) - 1)))
+        sides = [df.withColumn("__range", number) for df in sides]
+        first, second = (_range_digests(df, columns, side) for df, side in zip(sides, "ab", strict=True))
+        same = (F.col("n_a") == F.col("n_b")) & (F.col("low_a") == F.col("low_b")) & (F.col("high_a") == F.col("high_b"))
+        differ = first.join(second, "__range", "full_outer").where(~F.coalesce(same, F.lit(False)) | (F.col("__range") == _NULL_RANGE))
+        wanted = F.broadcast(differ.select("__range"))
+        sides = [df.join(wanted, "__range", "left_semi").drop("__range") for df in sides]
+    return sides[0], sides[1]
+
+
+def _range_digests(df: DataFrame, columns, side: str) -> DataFrame:
+    # Sums of both halves of a hash of its own: no overflow below 2^31 rows a range, and repeated keys count.
+    digest, half = F.xxhash64(*columns, F.lit(2)), F.lit((1 << 32) - 1)
+    return df.groupBy("__range").agg(
+        F.count(F.lit(1)).alias(f"n_{side}"), F.sum(digest.bitwiseAND(half)).alias(f"low_{side}"),
+        F.sum(F.shiftrightunsigned(digest, 32)).alias(f"high_{side}"),
+    )
+
+
 def key_diff(a: DataFrame, b: DataFrame, keys, table: str) -> DataFrame:
     """One row: rows whose key is only in ``a`` and only in ``b``."""
     return (

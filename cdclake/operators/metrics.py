@@ -14,6 +14,25 @@ def event_millis(column: Column) -> Column:
     return F.unix_millis(F.try_to_timestamp(F.concat(column, F.lit("Z")), F.lit(EVENT_TIME + "XXX")))
 
 
+def observed_times(column: str) -> list[Column]:
+    """What :func:`observed_latency` needs to know of event times, for an observation of a write."""
+    millis = event_millis(F.col(column))
+    return [
+        F.min(millis).alias("first"), F.max(millis).alias("last"), F.sum(millis).alias("sum"),
+        F.count(millis).alias("readable"), F.count(F.col(column)).alias("total_count"),
+    ]
+
+
+def observed_latency(seen: dict, now_ms: int) -> dict[str, int]:
+    """:func:`latency_stats` from what a write has seen of event times."""
+    if not seen["readable"]:
+        return {"minimum": 0, "maximum": 0, "sum": 0, "total_count": 0}
+    return {
+        "minimum": now_ms - seen["last"], "maximum": now_ms - seen["first"],
+        "sum": seen["readable"] * now_ms - seen["sum"], "total_count": seen["total_count"],
+    }
+
+
 def latency_stats(df: DataFrame, column: str, now_ms: int, *also: Column) -> DataFrame:
     """One row ``minimum, maximum, sum, total_count`` of ``now - event time`` in milliseconds.
 

@@ -9,20 +9,21 @@ from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cdclake.contracts import OP, TableContract
 from cdclake.operators import reconcile as rec
 from cdclake.operators.backfill import BackfillError, backfill
-from cdclake.operators.changes import active_records
 from cdclake.operators.files import archive_plan, unprocessed_files
-from cdclake.operators.keys import key_diff, key_projection, key_report, key_sample
+from cdclake.operators.keys import in_differing_ranges, key_diff, key_projection, key_report, key_sample
 from cdclake.operators.mirror import mirror_shape
-from cdclake.operators.reload import diff_active, reload_stamp
+from cdclake.operators.reload import (
+    KIND, KINDS, changes_of_repeated_keys, compare_sides, reload_stamp, repeated_keys, side_changes,
+)
 from cdclake.operators.validate import only_inserts, split_valid, validate
 from cdclake.session import sized_shuffles
-from cdclake.sources import tables
+from cdclake.sources import paths, tables
 from cdclake.sources.quarantine import (
     BAD_FILES, NO_CONTRACT, quarantine, quarantine_all, quarantine_files, quarantine_path,
 )
@@ -127,20 +128,22 @@ def reload_diff_job(spark: SparkSession, table_names, contracts: Contracts, raw_
             archive = read_raw(spark, _glob(archive_root, source, table, glob))
         else:
             archive = spark.createDataFrame([], raw.schema)
-        # The archive is replayed once. Unchanged rows are gone from the differences, which are kept
-        # too: the joins run here, in as many tasks as they need, the writes below may use few.
-        active = active_records(archive, contract.keys).persist()
-        diff = diff_active(raw, active, contract, stamp)
-        kept = [diff.upserts.persist(), diff.deletes.persist(), active]
-        try:
-            sizes = [diff.upserts.count(), diff.deletes.count()]
-            active.unpersist()
-            log.info("Reload of %s.%s: %d rows to insert or update, %d to delete", source, table, *sizes)
-            for kind, rows in (("toDelete", diff.deletes), ("toInsert", diff.inserts), ("toUpdate", diff.updates)):
-                tables.overwrite_sized(rows, _glob(output, kind, source, table), gigabytes, cores)
-        finally:
-            for df in kept:
-                df.unpersist()
+        # Both sides are read once and shuffled once, and all kinds are written by the same job.
+        sides = compare_sides(raw, archive, contract)
+        seen, drafts = Observation(), _glob(output, f".drafts-{uuid.uuid4().hex[:12]}", source, table)
+        counted = sides.observe(seen, F.count(F.when(repeated_keys(), 1)).alias("repeated"))
+        changes = side_changes(counted, raw, archive, contract, stamp)
+        changes = changes.hint("rebalance", KIND) if gigabytes is None else changes.repartition(tables.sized_files(gigabytes, cores))
+        changes.write.partitionBy(KIND).parquet(drafts)
+        if seen.get.get("repeated", 0):
+            # A key that the snapshot has more than once is rare: its rows are looked up in the snapshot.
+            changes_of_repeated_keys(sides, raw, archive, contract, stamp).write.mode("append").partitionBy(KIND).parquet(drafts)
+        for kind in KINDS:
+            target = _glob(output, kind, source, table)
+            paths.delete(spark, target)
+            if not paths.move_folder(spark, f"{drafts}/{KIND}={kind}", target):
+                changes.drop(KIND).limit(0).write.parquet(target)
+        paths.delete(spark, drafts.removesuffix(f"/{source}/{table}"))
 
     with sized_shuffles(spark, max([*new.values(), *archived.values()], default=0)):
         for_each_table(write_diff, new, parallel)
@@ -221,7 +224,7 @@ def key_check(spark: SparkSession, contracts, zones: Zones,
     """Keys of curated tables against keys of the source database."""
     def both(contract: TableContract) -> tuple[DataFrame, DataFrame]:
         stored = tables.read_table(spark, contract.path(zones.curated))
-        return key_projection(stored, contract), source_keys(contract)
+        return in_differing_ranges(key_projection(stored, contract), source_keys(contract), contract.keys)
 
     report = key_report([key_diff(*both(c), c.keys, c.full_name) for c in contracts]).persist()
     # The report is a row per table; the keys themselves are looked up for tables that differ.

@@ -19,7 +19,7 @@ from cdclake.operators import reconcile as rec
 from cdclake.operators.backfill import backfill
 from cdclake.operators.fields import declared_fields, field_diff, observed_fields
 from cdclake.operators.files import next_ledger, unprocessed_files
-from cdclake.operators.keys import key_counts, key_diff, key_projection, key_report
+from cdclake.operators.keys import in_differing_ranges, key_counts, key_diff, key_projection, key_report
 from cdclake.operators.metrics import latency_stats
 from cdclake.operators.mirror import mirror_shape
 from cdclake.operators.reload import reload_diff
@@ -267,7 +267,7 @@ SELECT k, n AS only_a, CAST(0 AS BIGINT) AS only_b FROM a1 WHERE NOT EXISTS (SEL
 UNION ALL
 SELECT k, CAST(0 AS BIGINT), n FROM b1 WHERE NOT EXISTS (SELECT 1 FROM a1 WHERE b1.k = a1.k)""")
 def key_mismatches(spark, sf):
-    return key_counts(*_key_sides(spark, sf), ["k"])
+    return key_counts(*in_differing_ranges(*_key_sides(spark, sf), ["k"]), ["k"])
 
 
 @query("key_reconciliation", f"""{_KEYS_SQL}
@@ -279,7 +279,8 @@ SELECT *, only_a = 0 AND only_b = 0 AS matches FROM (
   SELECT 'shop.orders', 0, 0)""")
 def key_reconciliation(spark, sf):
     lines, orders = _key_sides(spark, sf)
-    return key_report([key_diff(lines, orders, ["k"], "shop.lines"), key_diff(orders, orders, ["k"], "shop.orders")])
+    pairs = {"shop.lines": (lines, orders), "shop.orders": (orders, orders)}
+    return key_report([key_diff(*in_differing_ranges(*p, ["k"]), ["k"], name) for name, p in pairs.items()])
 
 
 def _op_counts(alias: str) -> str:

@@ -73,6 +73,16 @@ def rename(spark: SparkSession, old: str, new: str) -> bool:
         return fs.rename(source, target)
 
 
+def move_folder(spark: SparkSession, old: str, new: str) -> bool:
+    """Move a folder, with whatever is in it, to a name not in use; False if there is no such folder."""
+    fs, source = _open(spark, old)
+    _, target = _open(spark, new)
+    if not fs.exists(source):
+        return False
+    fs.mkdirs(target.getParent())
+    return rename(spark, old, new)
+
+
 def delete(spark: SparkSession, path: str) -> bool:
     fs, target = _open(spark, path)
     return fs.delete(target, True)

@@ -47,16 +47,34 @@ def read_raw(spark: SparkSession, files) -> DataFrame:
         raise
 
 
-def infer_schema(spark: SparkSession, *roots: str) -> T.StructType:
-    """Schema of the first folder that has files: raw, then processed, then archived ones."""
-    for root in roots[:-1]:
+_GONE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "FILE_NOT_EXIST", "FileNotFoundException")
+
+
+def infer_schema(spark: SparkSession, *places: str | list[str]) -> T.StructType:
+    """Schema of the first place that has files: raw, then processed, then archived ones.
+
+    A place is a folder, or a list of files. Lists hold the same files in the same order, and each file is taken
+    from the first list in which it is there. Files that are nowhere raise :class:`NoSchemaNoData`, folders Spark's error.
+    """
+    lists = [p for p in places if not isinstance(p, str)]
+    files = []
+    for same in zip(*lists, strict=True):
+        files += [f for f in same if paths.exists(spark, f)][:1]
+    there = ([files] if files else []) + [p for p in places if isinstance(p, str)]
+    if not there:
+        raise NoSchemaNoData("None of the files is there")
+    for place in there[:-1]:
         try:
-            return spark.read.parquet(root).schema
+            return read_raw(spark, place).schema
         except Exception as error:
-            if not has_condition(error, "PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "FILE_NOT_EXIST",
-                                 "FileNotFoundException"):
+            if not is_gone(error):
                 raise
-    return spark.read.parquet(roots[-1]).schema
+    return read_raw(spark, there[-1]).schema
+
+
+def is_gone(error: Exception) -> bool:
+    """Are the files to be read not there, or not there any more?"""
+    return isinstance(error, NoSchemaNoData) or has_condition(error, *_GONE)
 
 
 def configured_tables(spark: SparkSession, path: str) -> list[tuple[str, str]]:

@@ -10,14 +10,14 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from urllib.parse import urlparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from cdclake.contracts import ERROR, TIMESTAMP, TableContract, with_metadata
 from cdclake.operators.changes import latest_records
-from cdclake.operators.metrics import latency_stats
+from cdclake.operators.metrics import observed_latency, observed_times
 from cdclake.operators.mirror import mirror_shape
 from cdclake.operators.validate import split_valid, validate
 from cdclake.sources import catalog, paths, tables
@@ -25,8 +25,8 @@ from cdclake.sources.quarantine import (
     BAD_TYPES, FAILED_WRITE, NO_CONTRACT, quarantine, quarantine_all, quarantine_files, quarantine_path,
 )
 from cdclake.sources.raw import (
-    CDC_GLOB, IncompatibleSchemas, NoSchemaNoData, committed_files, has_condition, read_raw, stream_raw,
-    stream_raw_inferred,
+    CDC_GLOB, IncompatibleSchemas, NoSchemaNoData, committed_files, has_condition, infer_schema, is_gone,
+    stream_raw, stream_raw_inferred,
 )
 
 log = logging.getLogger(__name__)
@@ -84,14 +84,13 @@ def batch_schema(spark: SparkSession, files: list[str], archive_dir: str | None,
 
     Another job, or the stream's own clean-up, may move a file between its listing and this look at it.
     """
-    there = [f for f in files if paths.exists(spark, f)]
+    places = [files]
     if archive_dir:
-        moved = [f"{archive_dir.rstrip('/')}{urlparse(f).path}" for f in files if f not in there]
-        there += [f for f in moved if paths.exists(spark, f)]
+        places.append([f"{archive_dir.rstrip('/')}{urlparse(f).path}" for f in files])
     try:
-        return read_raw(spark, there).schema if there else default
+        return infer_schema(spark, *places)
     except Exception as error:
-        if not has_condition(error, "PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "FILE_NOT_EXIST", "FileNotFoundException"):
+        if not is_gone(error):
             raise
         log.warning("Files of a batch have gone meanwhile, its schema is not checked", exc_info=True)
         return default
@@ -125,9 +124,10 @@ def write_or_quarantine(zone: str, df: DataFrame, zones: Zones, contract: TableC
 def process_cdc_batch(df: DataFrame, batch_id: int, contract: TableContract, zones: Zones) -> None:
     """Validate a micro-batch, keep the latest change per key and merge it into every zone.
 
-    The input is read once: validated rows are persisted, which also brings up any unreadable
-    column before the first write. A batch that is run again changes nothing twice, since tables
-    remember the last batch and quarantine and metrics folders are named after it.
+    The input is read once: validated rows are persisted by the write of those set aside, which also
+    brings up any unreadable column before a table is written. Counts and event times are observed on the way, so
+    metrics cost no job. A batch that is run again changes nothing twice, since tables remember the
+    last batch and quarantine and metrics folders are named after it.
     """
     spark = df.sparkSession
     started = time.time()
@@ -137,24 +137,25 @@ def process_cdc_batch(df: DataFrame, batch_id: int, contract: TableContract, zon
     run = f"cdc-{stream}-{batch_id}"
     files = batch_files(spark, checkpoint, batch_id)
     inferred = batch_schema(spark, files, zones.archive_dir, df.schema)
-    validated = validate(df, contract, inferred).persist()
+    read, taken = Observation(), Observation()
+    rows = F.count(F.lit(1)).alias("rows")
+    validated = validate(df, contract, inferred).observe(read, rows, F.count(ERROR).alias("invalid")).persist()
     latest = None
     try:
-        counts = validated.agg(
-            F.count(F.lit(1)).alias("rows"), F.count(ERROR).alias("invalid")
-        ).first()
-        if counts.rows == 0:
-            return
         valid, invalid = split_valid(validated, contract)
-        if counts.invalid:
-            quarantine(invalid, quarantine_path(zones.violations, "structured", source, table), run)
-        latest = latest_records(valid, contract.keys).persist()
+        quarantine(invalid, quarantine_path(zones.violations, "structured", source, table), run)
+        counts = read.get
+        if not counts["rows"]:
+            return
+        latest = latest_records(valid, contract.keys).observe(taken, rows, *observed_times(TIMESTAMP)).persist()
         mark = (f"{query_name(source, table)}/{stream}", batch_id)
 
+        merged = []
+
         def merge_into(root: str) -> Callable[[DataFrame], object]:
-            return lambda rows: tables.merge(spark, contract.path(root), rows, contract.keys,
-                                             batch=mark, buckets=zones.buckets, unique=True,
-                                             in_sequence=zones.in_sequence)
+            return lambda rows: merged.append(tables.merge(
+                spark, contract.path(root), rows, contract.keys, batch=mark, buckets=zones.buckets, unique=True,
+                in_sequence=zones.in_sequence))
 
         structured = write_or_quarantine("structured", latest, zones, contract, run, merge_into(zones.structured))
         curated = write_or_quarantine("curated", structured, zones, contract, run, merge_into(zones.curated))
@@ -162,9 +163,12 @@ def process_cdc_batch(df: DataFrame, batch_id: int, contract: TableContract, zon
         if zones.mirror is not None:
             zones.mirror(mirror_shape(curated, keep_op=True), contract)
         if zones.metrics is not None:
-            row = batch_metrics(structured, curated, written) | {
-                "source": source, "table": table, "batch_id": batch_id, "rows_in": counts.rows,
-                "rows_invalid": counts.invalid, "took_ms": int((time.time() - started) * 1000),
+            if not any(merged):
+                # Tables that know this batch have not looked at its rows; an observation waits until someone does.
+                latest.count()
+            row = batch_metrics(taken.get, structured is latest, curated is latest, written) | {
+                "source": source, "table": table, "batch_id": batch_id, "rows_in": counts["rows"],
+                "rows_invalid": counts["invalid"], "took_ms": int((time.time() - started) * 1000),
             }
             metrics = spark.createDataFrame([row], METRICS)
             metrics.write.mode("overwrite").parquet(f"{contract.path(zones.metrics)}/batch={stream}-{batch_id}")
@@ -181,13 +185,12 @@ METRICS = (
 )
 
 
-def batch_metrics(structured: DataFrame, curated: DataFrame, written: float) -> dict[str, int]:
-    """Rows written per zone and the latency from event to curated zone."""
-    counted = F.count(F.lit(1)).alias("rows_curated")
-    row = latency_stats(curated, TIMESTAMP, int(written * 1000), counted).first().asDict()
-    rows = row.pop("rows_curated")
-    return {f"latency_{name}": value for name, value in row.items()} | {
-        "rows_structured": rows if structured is curated else structured.count(), "rows_curated": rows,
+def batch_metrics(taken: dict, structured: bool, curated: bool, written: float) -> dict[str, int]:
+    """Rows written per zone and the latency from event to curated zone; a zone whose write failed has none."""
+    seen = taken if curated else dict.fromkeys(taken, 0)
+    latency = observed_latency(seen, int(written * 1000))
+    return {f"latency_{name}": value for name, value in latency.items()} | {
+        "rows_structured": taken["rows"] if structured else 0, "rows_curated": seen["rows"],
     }
 
 

@@ -138,3 +138,25 @@ def test_field_differences(spark):
     records = spark.createDataFrame([('{"pk": 1, "x": {"y": 1}}',), ('{"z": null}',)], "json string")
     got = field_diff(declared_fields(spark, CONTRACT), observed_fields(records, "json"))
     assert state(got, "field", "missing_in") == [("data", "record"), ("x", "contract"), ("z", "contract")]
+
+
+def test_only_ranges_of_keys_that_differ_are_compared(spark):
+    a = spark.range(50_000).select(F.col("id").cast("int").alias("k"), F.format_string("n%d", "id").alias("t"))
+    b = a.where("k % 9973 != 7").select(F.col("k").cast("long").alias("k"), "t").union(spark.sql("SELECT 70000L, 'new'"))
+    narrowed = kk.in_differing_ranges(a, b, ["k", "t"])
+    # Each of the keys that differ brings the few of its range along.
+    assert [df.count() < 60 for df in narrowed] == [True, True]
+    assert state(kk.key_counts(*narrowed, ["k", "t"]), "k", "only_a", "only_b") == state(kk.key_counts(a, b, ["k", "t"]), "k", "only_a", "only_b")
+    rows = spark.createDataFrame([(1,), (1,), (None,)], "k int")
+    assert kk.key_diff(*kk.in_differing_ranges(rows, rows, ["k"]), ["k"], "t").first()[1:] == (1, 1)
+    twice = spark.createDataFrame([(1,)], "k int")
+    assert kk.key_diff(*kk.in_differing_ranges(rows.where("k = 1"), twice, ["k"]), ["k"], "t").first()[1:] == (0, 0)
+
+
+def test_equal_sides_shuffle_no_keys(spark):
+    a = spark.range(20_000).withColumn("k", F.col("id") * 3)
+    counts = kk.key_counts(*kk.in_differing_ranges(a.select("k"), a.select("k").repartition(3), ["k"]), ["k"])
+    assert counts.collect() == []
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    final = plan[: plan.index("== Initial Plan ==")]
+    assert "hashpartitioning(k" not in final

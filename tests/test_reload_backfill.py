@@ -3,10 +3,12 @@ from datetime import datetime, timedelta, timezone
 
 import pytest
 from helpers import CONTRACT, ROW, changes, state
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cdclake.contracts import TableContract
 from cdclake.operators import changes as ch
+from cdclake.operators import reload as rl
 from cdclake.operators.backfill import BackfillError, backfill
 from cdclake.operators.reload import reload_diff, reload_stamp
 
@@ -99,3 +101,36 @@ def test_backfill_keeps_complete_rows(spark):
 def test_required_column_needs_a_text_default(spark, metadata):
     with pytest.raises(BackfillError):
         backfill(load(spark, (1, "a")), widened(T.StructField("x", T.StringType(), False, metadata)))
+
+
+def one_pass(raw, archive):
+    sides = rl.compare_sides(raw, archive, CONTRACT)
+    args = (sides, raw, archive, CONTRACT, STAMP)
+    rows = rl.side_changes(*args).unionByName(rl.changes_of_repeated_keys(*args))
+    return tuple(state(rows.where(F.col("kind") == k), "pk", "data", "Op", "checkpoint_col") for k in ("toInsert", "toUpdate", "toDelete"))
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_one_pass_gives_the_same_changes(spark, seed):
+    rng = random.Random(seed)
+    archive = changes(spark, *[
+        (rng.choice([None, *range(25)]), rng.choice(["a", "b", None]), rng.choice(["I", "U", "D", None]), rng.choice([None, "1", "2", "3"]))
+        for _ in range(80)
+    ])
+    raw = load(spark, *[(rng.choice([None, *range(35)]), rng.choice(["a", "b", None])) for _ in range(40)])
+    assert one_pass(raw, archive) == diff(raw, archive)
+
+
+def test_one_pass_with_columns_of_one_side(spark):
+    raw = load(spark, (1, "a"), (2, "x")).withColumn("fresh", F.lit(1)).drop("_timestamp")
+    archive = load(spark, (2, "b"), (3, "c")).withColumn("old", F.lit("o")).withColumn("pk", F.col("pk").cast("long"))
+    rows = rl.side_changes(rl.compare_sides(raw, archive, CONTRACT), raw, archive, CONTRACT, STAMP)
+    assert rows.columns == ["pk", "data", "Op", "checkpoint_col", "fresh", "_timestamp", "old", "kind"]
+    assert state(rows, "pk", "data", "Op", "fresh", "old") == [(1, "a", "I", 1, None), (2, "x", "U", 1, None), (3, "c", "D", None, "o")]
+
+
+def test_one_pass_has_one_shuffle(spark):
+    raw, archive = load(spark, (1, "a")), load(spark, (1, "b"))
+    rows = rl.side_changes(rl.compare_sides(raw, archive, CONTRACT), raw, archive, CONTRACT, STAMP)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan and "Window" not in plan
