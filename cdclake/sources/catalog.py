@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -68,45 +69,56 @@ def _replace(spark: SparkSession, database: str, contract: TableContract, schema
 
 # --- stored tables ----------------------------------------------------------------------------------
 #
-# A stored table is shown by a view. Below it are two partitioned tables: one has a partition for each folder or
-# file of the version shown, the other of the one before. A new version is registered in the idle table, by
-# the partitions that are new and those that are gone, then the view is pointed there: readers see one version
-# or the other. Nothing grows with the number of files but the catalog's own list of partitions.
-
-_PARTS = (("_gen", "STRING"), ("_bucket", "INT"), ("_file", "STRING"))
+# A stored table is shown by a view. Below it are two partitioned tables: one has a partition for each folder
+# of the version shown, the other of the one before. A new version is registered in the idle table, by the
+# partitions that are new and those that are gone, then the view is pointed there: readers see one version or the
+# other. Of folders that are not whole any more the files left are listed in a small table, which the view joins.
+# Nothing grows with the number of folders but the catalog's own list of partitions.
+
+_PARTS = (("_gen", "STRING"), ("_bucket", "INT"), ("_left", "STRING"))
+_KEPT = "_gen STRING, _bucket INT, file STRING"
 _SIDES = ("a", "b")
 _SHOWN = "cdclake.side"
-#: Stands for the file in partitions that are whole folders, and partitions of one statement.
-_WHOLE, _AT_ONCE = "-", 500
+#: Folders that are whole, and those of which some files are left; partitions of one statement.
+_WHOLE, _SOME, _AT_ONCE = "all", "some", 500
 
 
 def _side(database: str, contract: TableContract, side: str) -> str:
     return f"`{database}`.`{contract.flat_name}__{side}`"
 
 
+def _kept_files(side: str) -> str:
+    return side.removesuffix("`") + "_files`"
+
+
 def _show(spark: SparkSession, database: str, contract: TableContract, side: str, properties: dict[str, str]) -> None:
     columns = ", ".join(
         f"`{f.name}`" + (" COMMENT 'primary_key'" if f.name in contract.keys else "") for f in contract.schema.fields
     )
-    chosen = ", ".join(f"`{f.name}`" for f in contract.schema.fields)
+    chosen = ", ".join(f"t.`{f.name}`" for f in contract.schema.fields)
+    table = _side(database, contract, side)
+    same = "t._gen = k._gen AND t._bucket = k._bucket AND t._metadata.file_name = k.file"
     spark.sql(
         f"CREATE OR REPLACE VIEW `{database}`.`{contract.flat_name}` ({columns}) "
-        f"TBLPROPERTIES ({_listed({**properties, _SHOWN: side})}) AS SELECT {chosen} FROM {_side(database, contract, side)}"
+        f"TBLPROPERTIES ({_listed({**properties, _SHOWN: side})}) AS "
+        f"SELECT {chosen} FROM {table} t WHERE t._left = '{_WHOLE}' UNION ALL "
+        f"SELECT {chosen} FROM {table} t LEFT SEMI JOIN {_kept_files(table)} k ON {same} WHERE t._left = '{_SOME}'"
     )
 
 
 def _register(spark: SparkSession, name: str, path: str) -> None:
     """Make the partitions of a table those of the current version of the stored table at ``path``."""
     state = table_state(spark, path)
-    wanted = {(gen, str(b), file or _WHOLE) for gen, b, file in table_units(state)} if state else set()
+    units = table_units(state) if state else []
+    wanted = {(gen, str(b), _SOME if file else _WHOLE) for gen, b, file in units}
     found = (dict(p.split("=", 1) for p in r[0].split("/")) for r in spark.sql(f"SHOW PARTITIONS {name}").collect())
     there = {tuple(p[c] for c, _ in _PARTS) for p in found}
 
     def spec(part: tuple[str, str, str]) -> str:
-        return f"PARTITION (_gen = {_text(part[0])}, _bucket = {part[1]}, _file = {_text(part[2])})"
+        return f"PARTITION (_gen = {_text(part[0])}, _bucket = {part[1]}, _left = {_text(part[2])})"
 
     def location(part: tuple[str, str, str]) -> str:
-        return unit_path(path, part[0], int(part[1]), "" if part[2] == _WHOLE else part[2])
+        return unit_path(path, part[0], int(part[1]), "")
 
     for parts, statement in (
         (sorted(wanted - there), lambda ps: f"ADD IF NOT EXISTS {' '.join(f'{spec(p)} LOCATION {_text(location(p))}' for p in ps)}"),
@@ -114,7 +126,13 @@ def _register(spark: SparkSession, name: str, path: str) -> None:
     ):
         for low in range(0, len(parts), _AT_ONCE):
             spark.sql(f"ALTER TABLE {name} {statement(parts[low:low + _AT_ONCE])}")
-    spark.catalog.refreshTable(name)
+    kept, folder = [u for u in units if u[2]], f"{path}/_kept/none"
+    if kept:
+        folder = f"{path}/_kept/{uuid.uuid4().hex}"
+        spark.createDataFrame(kept, _KEPT).coalesce(1).write.parquet(folder)
+    spark.sql(f"ALTER TABLE {_kept_files(name)} SET LOCATION {_text(folder)}")
+    for table in (name, _kept_files(name)):
+        spark.catalog.refreshTable(table)
 
 
 def _publish_stored(spark: SparkSession, database: str, contract: TableContract, path: str) -> None:
@@ -128,6 +146,8 @@ def _publish_stored(spark: SparkSession, database: str, contract: TableContract,
             f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY ({', '.join(c for c, _ in _PARTS)}) "
             f"LOCATION {_text(f'{path}/data')} TBLPROPERTIES ({_listed({'classification': 'parquet'})})"
         )
+        _drop(spark, _kept_files(table))
+        spark.sql(f"CREATE TABLE {_kept_files(table)} ({_KEPT}) USING parquet LOCATION {_text(f'{path}/_kept/none')}")
     _register(spark, _side(database, contract, _SIDES[0]), path)
     _show(spark, database, contract, _SIDES[0], {"classification": "parquet"})
 
@@ -151,8 +171,9 @@ def publish_tables(spark: SparkSession, contracts, roots: dict[str, str],
     ``roots`` and ``databases`` are keyed by ``archive, structured, curated`` and, for databases,
     ``public``, which shows the curated zone. The archive table has the change columns as well.
     Returns the tables that failed; the others are published regardless. A stored table is shown as it
-    is now: jobs given ``Zones.published`` move published tables on after every write. Its files are registered as
-    partitions of tables of their own (``<name>__a`` and ``<name>__b``), whose location never changes.
+    is now: jobs given ``Zones.published`` move published tables on after every write. Its folders are registered as
+    partitions of tables of their own (``<name>__a`` and ``<name>__b``), whose location never changes. Statements on
+    partitions are as many as folders are new or gone.
     """
     def publish(contract: TableContract) -> None:
         _replace(spark, databases["archive"], contract, with_metadata(contract.schema),
