@@ -232,6 +232,7 @@ def parse_record(record: bytes) -> tuple[dict[str, str], bytes]:
     return fields, block
 
 
+_MOST_TASKS = 100_000
 _RECORD = """path string, offset long, record_id string, record_type string, uri string, refers_to string,
     declared_digest string, payload_bytes long, payload_digest string, payload binary"""
 
@@ -268,7 +269,9 @@ def read_records(files: DataFrame, split_bytes: int = SPLIT_BYTES, payloads: boo
                             rows, size = [], 0
                 yield _batch(rows)
 
-    return splits.repartition("path", "start").mapInArrow(read, _RECORD)
+    # A number of its own keeps adaptive execution from merging these few small rows into one task.
+    tasks = min(max(1, splits.count()), _MOST_TASKS)
+    return splits.repartition(tasks, "path", "start").mapInArrow(read, _RECORD)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:

@@ -106,3 +106,10 @@ def test_links_of_uneven_vectors_are_all_found(spark):
 
 def test_no_vectors(spark):
     assert embeddings.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_components_of_any_size(spark):
+    rows = [(k, [1.0 + k / 10_000, *[1.0] * 7], 1) for k in range(60)]
+    rows += [(100, [1e-200] * 8, 1), (101, [1e200] * 8, 1), (102, [5e-324] * 8, 1), (103, [1e300, *[-1e300] * 7], 1)]
+    got = embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in got} == {i: (0, 103) if i == 103 else (62, 0) for i, *_ in rows}

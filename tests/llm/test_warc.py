@@ -72,3 +72,12 @@ def test_magic_inside_records_and_damage(spark):
     broken[at : at + 8] = b"\x00" * 8
     assert [n for _, n in _names(bytes(broken), len(data))] == ["<a>", "<outer>", "<c>"]
     assert _names(b"no archive at all", 5) == []
+
+
+def test_splits_are_read_by_tasks_of_their_own(spark, root):
+    table = spark.createDataFrame(pages() * 5, "page_id long, url string, html string")
+    files = warc.write_pages(table, f"file://{root}/t")
+    found = warc.read_records(files, split_bytes=4000, payloads=False)
+    tasks = found.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    # Splits meet in a task by chance only.
+    assert sum(n > 0 for n in tasks) >= 5 and sum(tasks) == len(pages()) * 5
