@@ -3,20 +3,24 @@
 from __future__ import annotations
 
 import dataclasses
+import json
 import logging
 import threading
 from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cdclake.contracts import DEFAULT, TableContract
+from cdclake.contracts import (
+    DEFAULT, VALIDATION_TYPE, TableContract, contracts_by_table, load_contracts, schemas_match, with_metadata,
+)
 from cdclake.functions.columns import equal_within
 from cdclake.operators import changes as ch
 from cdclake.operators import reconcile as rec
-from cdclake.operators.backfill import backfill
+from cdclake.operators.backfill import BackfillError, backfill
 from cdclake.operators.fields import declared_fields, field_diff, observed_fields
 from cdclake.operators.files import next_ledger, unprocessed_files
 from cdclake.operators.keys import in_differing_ranges, key_counts, key_diff, key_projection, key_report
@@ -756,8 +760,8 @@ def _in_parts(spark, sf, label: str, between, **options) -> Zones:
     return zones
 
 
-def _run_streams(spark, zones: Zones, **options) -> None:
-    for stream in cdc_stream(spark, [_ACTIVITY], _CONTRACTS, zones, seconds=None, **options):
+def _run_streams(spark, zones: Zones, contracts=_CONTRACTS, **options) -> None:
+    for stream in cdc_stream(spark, [_ACTIVITY], contracts, zones, seconds=None, **options):
         stream.awaitTermination()
         if stream.exception():
             raise stream.exception()
@@ -890,6 +894,163 @@ def published_table(spark, sf):
     return spark.table("cdclake_public.shop_activity")
 
 
+def _public(spark, zones: Zones, prefix: str) -> str:
+    names = {n: f"{prefix}_{n}" for n in ("archive", "structured", "curated", "public")}
+    for name in names.values():
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
+    roots = {"archive": zones.raw, "structured": zones.structured, "curated": zones.curated}
+    for failure in catalog.publish_tables(spark, [inp.FEED_CONTRACT], roots, names).collect():
+        raise RuntimeError(failure.reason)
+    return names["public"]
+
+
+@query("published_after_merges", f"""
+WITH {inp.LATEST_SQL}, {inp.CURRENT_SQL}, merged AS ({_MERGED_ROWS})
+SELECT pk, data, val, tod FROM merged""")
+def published_after_merges(spark, sf):
+    """The view follows merges of the feed's parts, each of which takes files out of folders."""
+    zones = _zones(spark, "followed")
+    path = inp.FEED_CONTRACT.path(zones.curated)
+    tables.append_new(spark, path, inp.current(spark, sf), ["pk"], buckets=2)
+    tables.compact(spark, path, full=True, buckets=2, target_mb=0.02)
+    _write_raw(inp.feed(spark, sf), zones.raw, _ACTIVITY)
+    database = _public(spark, zones, "cdclake_followed")
+    rows = latest(spark, sf)
+    for k in range(_PARTS):
+        tables.merge(spark, path, rows.where(F.abs("pk") % _PARTS == k), ["pk"], unique=True)
+        catalog.point_table(spark, database, inp.FEED_CONTRACT, path)
+    return spark.table(f"{database}.shop_activity")
+
+
+@query("switched_table", f"WITH {inp.CURRENT_SQL} SELECT pk, data, val, tod FROM cur")
+def switched_table(spark, sf):
+    """A public table is pointed to the tables below another root: here those from before the stream."""
+    zones = _streamed(spark, sf)
+    database = _public(spark, zones, "cdclake_switched")
+    other = scratch_dir(spark, "other")
+    tables.append_new(spark, inp.FEED_CONTRACT.path(other), inp.current(spark, sf), ["pk"], buckets=4)
+    for failure in catalog.switch_tables(spark, [inp.FEED_CONTRACT], other, database).collect():
+        raise RuntimeError(failure.reason)
+    return spark.table(f"{database}.shop_activity")
+
+
+@query("cdc_stream_no_contract", SQL["no_contract_violations"])
+def cdc_stream_no_contract(spark, sf):
+    """A table without contract: its schema is inferred, and the stream sets all of it aside."""
+    zones = _zones(spark, "stream_uncontracted")
+    _write_raw(inp.feed(spark, sf), zones.raw, _ACTIVITY)
+    _run_streams(spark, zones, {})
+    return _unpacked(read_quarantine(spark, quarantine_path(zones.violations, "structured", *_ACTIVITY)))
+
+
+@query("cdc_stream_type_clash", f"""
+SELECT 'Violation - some of the input data had incompatible types for column [val]. Tried to use double but found BINARY' AS error,
+       lpad(CAST(event_id AS VARCHAR), 20, '0') AS checkpoint_col
+FROM events WHERE event_id % {_PARTS} = 1""")
+def cdc_stream_type_clash(spark, sf):
+    """Files with another type of a column are set aside, and the stream goes on with those before and after."""
+    zones = _zones(spark, "clash")
+    feed = inp.feed(spark, sf)
+    part = F.col("checkpoint_col").cast("long") % _PARTS
+    for k in range(_PARTS):
+        rows = feed.where(part == k)
+        _write_raw(rows.withColumn("val", F.coalesce(F.col("val").cast("string"), F.lit("none"))) if k == 1 else rows, zones.raw, _ACTIVITY)
+        _run_streams(spark, zones)
+    stored = tables.read_table(spark, inp.FEED_CONTRACT.path(zones.curated))
+    if stored.where(part == 1).limit(1).count() or not stored.where(part == 2).limit(1).count():
+        raise AssertionError("the stream did not go on with the files that fit")
+    kept = read_quarantine(spark, quarantine_path(zones.violations, "structured", *_ACTIVITY))
+    kept = kept.where(F.col("error").startswith("Violation"))
+    return kept.select("error", F.get_json_object("raw", "$.checkpoint_col").alias("checkpoint_col"))
+
+
+@query("cdc_stream_archived", _MERGED_SQL)
+def cdc_stream_archived(spark, sf):
+    """Files that the stream has taken in are moved out of the raw zone meanwhile."""
+    archive = scratch_dir(spark, "processed")
+    zones = _in_parts(spark, sf, "archived", lambda zones, _: _run_streams(spark, zones), archive_dir=archive)
+    return tables.read_table(spark, inp.FEED_CONTRACT.path(zones.curated))
+
+
+_CONTRACT_FILE = {
+    "service": "shop", "namespace": "lake", "name": "Activity_16", "version": "3", "type": "record", "fields": [
+        {"name": "pk", "type": "long", "key": "primary"}, {"name": "data", "type": "string"}, {"name": "val", "type": ["double"]},
+        {"name": "tod", "type": ["null", "string"], "nullable": True, "metadata": {VALIDATION_TYPE: "time"}},
+    ],
+}
+
+
+@query("contracts_from_files", SQL["full_load"])
+def contracts_from_files(spark, sf):
+    """A full load under a contract read from its file."""
+    zones = _zones(spark, "contracted")
+    folder = scratch_dir(spark, "contracts")
+    spark.createDataFrame([(json.dumps(_CONTRACT_FILE, indent=1),)], "value string").coalesce(1).write.text(folder)
+    contracts = contracts_by_table(load_contracts(spark, f"{folder}/*.txt"), [_ACTIVITY])
+    _write_raw(inp.feed(spark, sf), zones.raw, _ACTIVITY)
+    jobs.full_load(spark, [_ACTIVITY], contracts, zones, glob="*.parquet")
+    return tables.read_table(spark, inp.FEED_CONTRACT.path(zones.curated))
+
+
+@query("schema_verdicts", """
+SELECT variant, fits, (SELECT count(*) FROM orders) AS n FROM (VALUES
+  ('as declared', TRUE), ('in another order', TRUE), ('no nullable column', TRUE), ('no required column', FALSE),
+  ('a column more', FALSE), ('a column renamed', FALSE), ('text for a number', FALSE), ('short for int', TRUE), ('int for short', FALSE)
+) v(variant, fits)""")
+def schema_verdicts(spark, sf):
+    """Do files fit a contract? Told by their schemas, for files of all orders."""
+    root = scratch_dir(spark, "variants")
+    rows = inp.snapshot(spark, sf)
+    number = F.lit(1)
+    declared = T.StructType([*with_metadata(inp.ORDERS_CONTRACT.schema).fields, T.StructField("n", T.IntegerType(), False)])
+    small = T.StructType([*with_metadata(inp.ORDERS_CONTRACT.schema).fields, T.StructField("n", T.ShortType(), False)])
+    rows = rows.withColumn("n", number)
+    variants = {
+        "as declared": rows, "in another order": rows.select(*reversed(rows.columns)), "no nullable column": rows.drop("priority"),
+        "no required column": rows.drop("amount"), "a column more": rows.withColumn("more", number),
+        "a column renamed": rows.withColumnRenamed("status", "Status"), "text for a number": rows.withColumn("amount", F.lit("1")),
+        "short for int": rows.withColumn("n", F.col("n").cast("short")), "int for short": rows,
+    }
+    found = []
+    for k, (name, variant) in enumerate(variants.items()):
+        variant.write.parquet(f"{root}/{k}")
+        files = spark.read.parquet(f"{root}/{k}")
+        fits = schemas_match(files.schema, small if name == "int for short" else declared)
+        found.append(files.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("variant"), F.lit(fits).alias("fits"), "n"))
+    return reduce(DataFrame.unionByName, found)
+
+
+@query("backfill_refused", f"""
+WITH {inp.ARCHIVE_SQL}
+SELECT 'nullable' AS column_kind, (SELECT count(*) FROM archive) AS n UNION ALL
+SELECT 'required', NULL UNION ALL SELECT 'required with default', (SELECT count(*) FROM archive)""")
+def backfill_refused(spark, sf):
+    """Archived rows that can be brought to a contract with one column more; none if it is required and has no default."""
+    kinds = {"nullable": (True, None), "required": (False, None), "required with default": (False, {DEFAULT: "none"})}
+    found = []
+    for kind, (nullable, metadata) in kinds.items():
+        schema = T.StructType([*inp.ORDERS_CONTRACT.schema.fields, T.StructField("channel", T.StringType(), nullable, metadata)])
+        try:
+            rows = backfill(inp.archive(spark, sf), TableContract("shop", "orders", ("id",), schema))
+            n = rows.agg(F.count(F.lit(1)).alias("n"))
+        except BackfillError:
+            n = spark.range(1).select(F.lit(None).cast("long").alias("n"))
+        found.append(n.select(F.lit(kind).alias("column_kind"), "n"))
+    return reduce(DataFrame.unionByName, found)
+
+
+@query("state_counts_unreachable", f"""
+WITH loaded AS ({SQL["full_load"]})
+SELECT 'shop.activity' AS "table", CAST(0 AS BIGINT) AS source, (SELECT count(*) FROM loaded) AS structured,
+       (SELECT count(*) FROM loaded) AS curated, CAST(NULL AS BIGINT) AS mirror""")
+def state_counts_unreachable(spark, sf):
+    """Counts of a source that is down are 0; the others are counted."""
+    def down(contract: TableContract) -> DataFrame:
+        raise ConnectionError(f"no source for {contract.full_name}")
+
+    return jobs.state_counts(spark, [inp.FEED_CONTRACT], _loaded(spark, sf), down)
+
+
 # --- file listings ----------------------------------------------------------------------------
 
 def _rows_of(spark, zones: Zones, files: DataFrame) -> DataFrame:
