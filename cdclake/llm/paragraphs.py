@@ -160,7 +160,8 @@ def repeated_paragraphs(
     # The numbers of rows are written with them, so they stay as they are if a task is run again later.
     units = written(found.select("row", "doc_id", "p.number", "p.place", "p.digest", "p.start", "p.end", "p.n", F.array(*names).alias("bands")), "paragraphs")
     classes = units.groupBy("digest").agg(F.count("*").alias("copies"), F.first("bands").alias("bands"))
-    classes = classes.withColumn("rep", F.col("digest"))
+    # Several steps look at the classes; written once, their bands are shuffled once.
+    classes = written(classes.withColumn("rep", F.col("digest")), "classes")
     members = classes.select("digest", F.explode("bands").alias("bucket"))
     linked = linked_classes(classes, members, lambda bits: _sets(ids, bits, ngram, least_words), similarity)
 
