@@ -398,3 +398,32 @@ def test_mirror_callbacks(spark, monkeypatch):
     monkeypatch.setattr(jdbc, "read_jdbc", lambda *a, **k: 1 / 0)
     with pytest.raises(jdbc.MirrorTableMissing):
         jdbc.overwrite_mirror(db, {"src.items"})(rows, contract)
+
+
+def test_files_are_grouped_by_their_footers(spark, root):
+    from cdclake.sources.quarantine import readable_groups
+
+    rows = load(spark, (1, "a"))
+    kinds = [rows, rows.withColumn("pk", F.lit("one")), rows.withColumn("extra", F.lit(1.5))]
+    for k in range(12):
+        put(kinds[k % 3], f"{root}/many", f"f{k:02d}.parquet")
+    files = [r.path for r in spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(f"{root}/many").select("path").collect()]
+    groups = readable_groups(spark, files)
+    # As many groups as schemas, however the files alternate.
+    assert sorted(len(g) for g in groups) == [4, 4, 4] and sorted(f for g in groups for f in g) == sorted(files)
+    assert all(len({spark.read.parquet(f).schema.simpleString() for f in g}) == 1 for g in groups)
+    assert readable_groups(spark, []) == []
+    assert readable_groups(spark, [f.removeprefix("file:") for f in files[:1]]) == [[files[0].removeprefix("file:")]]
+
+
+def test_schema_of_files_wherever_they_are(spark, root):
+    from cdclake.sources.raw import NoSchemaNoData, infer_schema
+
+    put(load(spark, (1, "a")), f"{root}/raw", "a.parquet")
+    put(load(spark, (2, "b")).withColumn("extra", F.lit(1)), f"{root}/old", "b.parquet")
+    here = [r.path for f in ("raw", "old") for r in spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(f"{root}/{f}").select("path").collect()]
+    # One file is where it was found, the other one where it has been moved to.
+    schema = infer_schema(spark, [here[0], f"{root}/raw/gone.parquet"], [f"{root}/old/gone.parquet", here[1]])
+    assert "extra" in schema.names
+    with pytest.raises(NoSchemaNoData):
+        infer_schema(spark, [f"{root}/none.parquet"], [f"{root}/no.parquet"])
