@@ -96,8 +96,9 @@ class Index:
 def _units(x: np.ndarray) -> np.ndarray:
     # Squares of very large or small components would leave the range of doubles.
     x = x.astype(np.float64)
-    x = x / np.abs(x).max(axis=1, keepdims=True)
-    return x / np.linalg.norm(x, axis=1, keepdims=True)
+    x /= np.maximum(x.max(axis=1, keepdims=True), -x.min(axis=1, keepdims=True))
+    x /= np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
+    return x
 
 
 def _vectors(values: pa.Array) -> np.ndarray:
