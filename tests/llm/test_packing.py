@@ -45,11 +45,24 @@ def test_encoder_gives_the_ids_of_the_library(library):
     from cdclake.llm.tokens import WordEncoder
 
     texts = ["It's  can't''ll", "ÀÉ ß Σς İ", "á ́x", "12½ ٣", "<|endoftext|>", "", None, "日本 x\x1cy\n\t", "'sing 're.'"]
-    ids, at = WordEncoder(PATH, memory=3).encode(pa.array(texts))
+    ids, at = WordEncoder(PATH, slots=3).encode(pa.array(texts))
     for k, text in enumerate(texts):
         assert ids[at[k] : at[k + 1]].tolist() == library.encode(text or "", add_special_tokens=False).ids
 
 
+def test_characters_newer_than_python_knows_are_split_as_the_library_does():
+    import pyarrow as pa
+
+    from cdclake.llm.tokens import WordEncoder
+
+    plain = Tokenizer.from_file(PATH)
+    points = [*range(1, 0xD800, 7), 0x1C89, 0xA7CB, 0x105C0, *range(0xE000, 0x110000, 101), *range(0x10D40, 0x10D70)]
+    texts = [f"a{chr(p)}b {chr(p)}{chr(p)}1 !{chr(p)}\u0301" for p in points]
+    ids, at = WordEncoder(PATH, added=True).encode(pa.array(texts))
+    for k, text in enumerate(texts):
+        assert ids[at[k] : at[k + 1]].tolist() == plain.encode(text, add_special_tokens=False).ids, hex(points[k])
+
+
 def test_added_tokens_have_the_ids_of_the_plain_library(spark):
     import pyarrow as pa
 
@@ -63,7 +76,7 @@ def test_added_tokens_have_the_ids_of_the_plain_library(spark):
     expected = [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
     assert expected[0] == [320, 49407, 321]
     for some in (texts, texts[-1:], texts[3:5], []):
-        ids, at = WordEncoder(PATH, memory=3, added=True).encode(pa.array(some, pa.string()))
+        ids, at = WordEncoder(PATH, slots=3, added=True).encode(pa.array(some, pa.string()))
         assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)] == expected[texts.index(some[0]) :][: len(some)] if some else True
     rows = [(k, t, None, None, None) for k, t in enumerate(texts)]
     got = packing.pack_documents(spark.createDataFrame(rows, corpus.SCHEMA), PATH).collect()
