@@ -14,7 +14,8 @@ from cdclake.llm.tables import column, fresh, with_struct
 from cdclake.llm.words import Words, slices
 
 WINDOW = 13
-BLOCK_BYTES = 16 << 20
+#: Bytes of items that are looked up at a time; what goes to the tasks is about five times that.
+BLOCK_BYTES = 8 << 20
 _FILTER_BITS = 16
 
 RESULT = "n_words long, n_hit long, item_ids array<string>, items_sha256 string, contaminated boolean"
@@ -25,12 +26,13 @@ _SPANS = "first array<long>, last array<long>, item array<string>"
 class Windows:
     """The windows of a block of items, ordered by their prefix: the rarest word of each.
 
-    ``words`` has a row per window, padded with zeros to the longest one, ``size`` its words, ``offset``
-    the place of the prefix word in it. ``filter`` has the low bits of all prefixes.
+    ``hashes`` has all words of the items in a row; ``start`` is a window's first one there, ``size`` its
+    words, ``offset`` the place of the prefix word in it. ``filter`` has the low bits of all prefixes.
     """
 
     prefix: np.ndarray
-    words: np.ndarray
+    hashes: np.ndarray
+    start: np.ndarray
     size: np.ndarray
     offset: np.ndarray
     item: np.ndarray
@@ -53,39 +55,49 @@ class Windows:
         text = words.text[found]
         fits = (start >= words.first[text]) & (end <= words.first[text + 1])
         start, end, window = start[fits], end[fits], window[fits]
-        for word in range(self.words.shape[1]):
+        for word in range(int(self.size.max(initial=0))):
             # Each word of a window is compared; a window drops out at the first that differs.
-            there = np.minimum(start + word, len(words) - 1)
-            same = (word >= self.size[window]) | (words.hash[there] == self.words[window, word])
+            inside = word < self.size[window]
+            there = np.where(inside, start + word, start)
+            wanted = self.hashes[self.start[window] + np.where(inside, word, 0)]
+            same = ~inside | (words.hash[there] == wanted)
             start, end, window = start[same], end[same], window[same]
         return start, end, self.item[window]
 
 
-def _windows(names: list, texts: pa.Array, size: int, frequency: dict[int, int]) -> Windows:
-    words = Words(texts)
-    count = np.diff(words.first)
+def _item_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all items in a row, and where each item's begin."""
+    hashes, counts = [np.zeros(0, dtype=np.uint64)], [np.zeros(1, dtype=np.int64)]
+    for first, last in slices(texts):
+        words = Words(texts.slice(first, last - first))
+        hashes.append(words.hash)
+        counts.append(np.diff(words.first))
+    return np.concatenate(hashes), np.cumsum(np.concatenate(counts))
+
+
+def _windows(names: list, hashes: np.ndarray, first: np.ndarray, size: int, vocabulary: np.ndarray, often: np.ndarray) -> Windows:
+    count = np.diff(first)
     each = np.where(count >= size, count - size + 1, np.minimum(count, 1))
-    item = np.repeat(np.arange(len(count)), each)
-    start = words.first[:-1][item] + np.arange(len(item)) - np.repeat(np.cumsum(each) - each, each)
-    sizes = np.minimum(count[item], size)
-    place = np.arange(size)
-    inside = place[None, :] < sizes[:, None]
-    table = np.where(inside, words.hash[np.where(inside, start[:, None] + place, 0)] if len(words) else 0, 0)
-    table = table.astype(np.uint64)
+    item = np.repeat(np.arange(len(count), dtype=np.int32), each)
+    start = (first[:-1][item] + np.arange(len(item)) - np.repeat(np.cumsum(each) - each, each)).astype(np.int32)
+    sizes = np.minimum(count[item], size).astype(np.int16)
     # Rarest first; equally rare words by hash, so that every window of the same words has one prefix.
-    often = np.array([frequency.get(int(h), 0) for h in words.hash], dtype=np.int64)
-    rank = np.empty(len(words), dtype=np.int64)
-    rank[np.lexsort((words.hash, often))] = np.arange(len(words))
-    ranks = np.where(inside, rank[np.where(inside, start[:, None] + place, 0)] if len(words) else 0, np.iinfo(np.int64).max)
-    offset = ranks.argmin(axis=1) if len(item) else np.zeros(0, dtype=np.int64)
-    prefix = table[np.arange(len(item)), offset]
+    rank = np.empty(len(vocabulary), dtype=np.int32)
+    rank[np.lexsort((vocabulary, often))] = np.arange(len(vocabulary), dtype=np.int32)
+    ranks = rank[np.searchsorted(vocabulary, hashes)]
+    offset = np.zeros(len(item), dtype=np.int16)
+    least = ranks[start] if len(item) else np.zeros(0, dtype=np.int32)
+    for word in range(1, int(sizes.max(initial=0))):
+        inside = np.flatnonzero(word < sizes)
+        better = inside[ranks[start[inside] + word] < least[inside]]
+        offset[better], least[better] = word, ranks[start[better] + word]
+    prefix = hashes[start + offset]
     order = np.argsort(prefix, kind="stable")
-    return Windows(prefix[order], table[order], sizes[order], offset[order], item[order], names)
+    return Windows(prefix[order], hashes, start[order], sizes[order], offset[order], item[order], names)
 
 
-def word_frequencies(docs: DataFrame, text: str, vocabulary: np.ndarray) -> dict[int, int]:
-    """How often each word of a bounded vocabulary, given by its hash, occurs in all documents."""
-    vocabulary = np.unique(vocabulary)
+def word_frequencies(docs: DataFrame, text: str, vocabulary: np.ndarray) -> np.ndarray:
+    """How often each word of a bounded vocabulary, given by its hash in order, occurs in all documents."""
 
     def count(batches):
         total = np.zeros(len(vocabulary), dtype=np.int64)
@@ -96,10 +108,13 @@ def word_frequencies(docs: DataFrame, text: str, vocabulary: np.ndarray) -> dict
                 total += np.bincount(at[vocabulary[at] == found], minlength=len(vocabulary))
         yield pa.RecordBatch.from_arrays([pa.array(vocabulary.view(np.int64)), pa.array(total)], names=["word", "n"])
 
-    if not len(vocabulary):
-        return {}
-    counts = docs.select(column(text)).mapInArrow(count, "word long, n long").filter("n > 0")
-    return {r.word % (1 << 64): r.n for r in counts.groupBy("word").agg(F.sum("n").alias("n")).collect()}
+    out = np.zeros(len(vocabulary), dtype=np.int64)
+    if len(vocabulary):
+        counts = docs.select(column(text)).mapInArrow(count, "word long, n long").filter("n > 0")
+        table = counts.groupBy("word").agg(F.sum("n").alias("n")).toArrow()
+        words = table.column("word").to_numpy().view(np.uint64)
+        out[np.searchsorted(vocabulary, words)] = table.column("n").to_numpy()
+    return out
 
 
 def _verdict(words: Words, spans: list[tuple[list, list, list]]) -> list[pa.Array]:
@@ -160,6 +175,7 @@ def contamination(
     is not listed; repeated ids count once. No items: nothing is hit.
     """
     items = items.select(column(item_id).cast("string").alias("name"), column(item_text).cast("string").alias("text"))
+    items = items.distinct()
     size_of = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size_of // block_bytes))
     vocabulary_of = items.withColumn("block", F.pmod(F.xxhash64("name", "text"), F.lit(blocks)))
@@ -167,8 +183,10 @@ def contamination(
     for block in range(blocks):
         table = vocabulary_of.filter(F.col("block") == block).select("name", "text").toArrow()
         texts = table.column("text").combine_chunks() if table.num_rows else pa.array([], pa.string())
-        frequency = word_frequencies(docs, text, Words(texts).hash)
-        index = _windows(table.column("name").to_pylist(), texts, size, frequency)
+        hashes, first = _item_words(texts)
+        vocabulary = np.unique(hashes)
+        often = word_frequencies(docs, text, vocabulary)
+        index = _windows(table.column("name").to_pylist(), hashes, first, size, vocabulary, often)
         last = block == blocks - 1
         added = name if last else fresh(docs, f"spans_{block}")
         fields = RESULT if last else _SPANS
