@@ -24,8 +24,8 @@ SPLIT_BYTES = 32 << 20
 _MAGIC = b"\x1f\x8b\x08"
 _VERSION = b"WARC/"
 _REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-#: A scan trusts a chain of this many members.
-_CHAIN = 64
+#: What one stored block of a compressed record can hold as it stands: a format's fixed value.
+_STORED = 65_535
 _BLOCK = 1 << 18
 
 
@@ -182,20 +182,17 @@ def _member(data: _Bytes, position: int) -> tuple[bytes, int] | None:
     return (record, position) if record.startswith(_VERSION) else None
 
 
-def _trusted(data: _Bytes, position: int) -> bool:
-    """Whether the member here belongs to the file itself.
+def _own(data: _Bytes, position: int) -> bool | None:
+    """Whether the member here belongs to the file itself; None if what follows does not tell.
 
-    A record may hold an archive; the chain of its members ends where other bytes follow. A chain that
-    goes on for long, to the end of the file, or to a broken member, is the file's own.
+    A record may hold an archive as it stands, but no more than a stored block of it in a row: a chain of
+    members over more bytes, or to the end of the file, is the file's own.
     """
-    for k in range(_CHAIN):
-        if position >= data.size:
-            return True
-        if data.at(position, 3) != _MAGIC:
-            return False
-        member = _member(data, position)
+    first = position
+    while position < data.size and position - first <= _STORED:
+        member = _member(data, position) if data.at(position, 3) == _MAGIC else None
         if member is None:
-            return k > 0
+            return None if position > first else False
         position = member[1]
     return True
 
@@ -203,15 +200,20 @@ def _trusted(data: _Bytes, position: int) -> bool:
 def members(data: _Bytes, start: int, end: int) -> Iterator[tuple[int, bytes]]:
     """Offset and bytes of the records that begin in a range of a file, wherever they end.
 
-    A range that does not begin the file looks for the first member; after a broken one the scan goes on
-    behind its first byte.
+    A range that does not begin the file looks for the first member. Where it may be one of an archive
+    that a record holds, the file is read from its beginning, so every split gives the same records. After
+    a broken member the scan goes on behind its first byte.
     """
     position, linked = start, start == 0
     while position < end:
         found = position if linked and data.at(position, 3) == _MAGIC else _find(data, position, end)
         if found is None:
             return
-        member = _member(data, found) if linked or _trusted(data, found) else None
+        own = True if linked else _own(data, found)
+        if own is None and start > 0:
+            yield from ((at, record) for at, record in members(data, 0, end) if at >= found)
+            return
+        member = None if own is False else _member(data, found)
         if member is None:
             position, linked = found + 1, False
             continue

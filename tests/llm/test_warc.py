@@ -74,6 +74,19 @@ def test_magic_inside_records_and_damage(spark):
     assert _names(b"no archive at all", 5) == []
 
 
+def test_stored_archives_of_any_length_are_not_taken_for_the_file():
+    outer = lambda name, inner: gzip.compress(
+        b"WARC/1.1\r\nWARC-Record-ID: <" + name + b">\r\nContent-Length: 9\r\n\r\n" + inner + b"\r\n\r\n", 0)
+    for count in (40, 100, 1000):
+        inner = b"".join(_record(f"inner{k}", b"y" * 30) for k in range(count))
+        records = [_record("a", b"x" * 500), outer(b"o1", inner), _record("b", b""), outer(b"o2", inner), *(_record(f"c{k}", b"z") for k in range(3))]
+        data = b"".join(records)
+        whole = _names(data, len(data))
+        assert [n for _, n in whole] == ["<a>", "<o1>", "<b>", "<o2>", "<c0>", "<c1>", "<c2>"]
+        for step in (len(data) // 2, len(data) // 7):
+            assert _names(data, step) == whole
+
+
 def test_splits_are_read_by_tasks_of_their_own(spark, root):
     table = spark.createDataFrame(pages() * 5, "page_id long, url string, html string")
     files = warc.write_pages(table, f"file://{root}/t")
