@@ -110,8 +110,8 @@ def learn(
     """Learn from a bounded sample of labelled documents outside the held-out fold.
 
     For each label all documents, or where there are more a fixed choice of about ``sample`` by a hash of
-    the id. Their word features (at most ``SAMPLE_WORDS`` words a document) come to the driver, no texts.
-    Labels other than 0 and 1 are not used; a document with both labels is not used.
+    the id. Their word features come to the driver, no texts; documents of more than ``SAMPLE_WORDS`` words
+    are not learned from. Of rows that share an id that with the smallest text is. Labels other than 0 and 1 are not used; a document with both labels is not used.
     """
     rows = docs.select(column(doc_id).alias("doc_id"), column(text).cast("string").alias("text"))
     marks = labels.select(column(doc_id).alias("doc_id"), column(label).cast("int").alias("label"))
@@ -139,7 +139,7 @@ def learn(
         return features
 
     # The ids of the sample are few by its bound, so the documents stay where they are.
-    picked = rows.join(F.broadcast(chosen), "doc_id")
+    picked = rows.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
     made = with_struct(picked, "f", "feature array<int>, sizes array<int>", start, "text")
     table = made.filter(F.size("f.feature") <= SAMPLE_WORDS * (1 + len(BEGINNINGS))).select("label", "f.*").toArrow()
     if not table.num_rows:
