@@ -202,8 +202,10 @@ def _fit(classes: DataFrame, similarity: float) -> dict[int, Index]:
     indexes = {}
     for row in classes.groupBy("dim").agg(F.count("*").alias("n")).collect():
         dim, n = row["dim"], row["n"]
-        share = F.pmod(F.xxhash64("rep", F.lit(9)), F.lit(1 << 30)) / (1 << 30)
-        sample = classes.filter((F.col("dim") == dim) & (share < SAMPLE / n)).orderBy("rep").select("embedding").toArrow()
+        # By the vector too, as one id may be on any number of them.
+        mark = F.xxhash64("rep", "embedding", F.lit(9))
+        share = F.pmod(mark, F.lit(1 << 30)) / (1 << 30)
+        sample = classes.filter((F.col("dim") == dim) & (share < SAMPLE / n)).orderBy("rep", mark).select("embedding").toArrow()
         if not sample.num_rows:
             sample = classes.filter(F.col("dim") == dim).orderBy("rep").limit(1).select("embedding").toArrow()
         x = _vectors(sample.column("embedding").combine_chunks())
