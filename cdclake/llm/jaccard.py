@@ -22,7 +22,7 @@ MOST_HASHES = 128
 #: Members and words of a bucket that about make up a block; tasks hold two blocks at once.
 BLOCK = 256
 BLOCK_WORDS = 1 << 20
-_CELLS = 16 << 20
+_CELLS = 4 << 20
 _GROUP = ["bucket", "block_a", "block_b"]
 
 

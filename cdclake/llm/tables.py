@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -48,6 +49,14 @@ def numpy_column(batch: pa.RecordBatch | pa.Table, name: str) -> np.ndarray:
     return values.to_numpy(zero_copy_only=False)
 
 
+def give_back() -> None:
+    """Hand what a task has freed back to the system: its worker serves tasks of other steps later."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def runs(*columns: np.ndarray) -> np.ndarray:
     """Start of each run of rows that are equal in all columns, and the end."""
     n = len(columns[0])
@@ -97,6 +106,9 @@ def whole_groups(
             out = work(table, bounds)
             if out is not None and out.num_rows:
                 yield out
+            del table, bounds, out
+    held.clear()
+    give_back()
 
 
 def group_pairs(bounds: np.ndarray, limit: int = 400_000) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -154,6 +166,7 @@ def with_struct(
                 part = rows.slice(first, last - first)
                 values = pa.StructArray.from_arrays(work(texts.slice(first, last - first), part), names=names)
                 yield pa.RecordBatch.from_arrays([part, values], names=["row", "added"])
+        give_back()
 
     rows = df.select(F.struct(*[column(c) for c in df.columns]).alias("row"))
     schema = T.StructType([T.StructField("row", df.schema), T.StructField("added", added)])
