@@ -15,14 +15,20 @@ from cdclake.llm.tables import column, fresh, held_out, written
 
 _EDGE = r"[\p{L}\p{N}+/_-]"
 _SECRET = r"(?i:passw(?:or)?d|passphrase|pwd|secret|token|(?:api|access|private)[_-]?key)"
-_ASSIGNED = rf"{_SECRET}[\"'`\]]{{0,2}}\s{{0,4}}(?::=|=>|==?|:)\s{{0,4}}[\"'`]?"
-#: A quote that does not end the value it is in.
-_INNER = r"[\"'`](?![\s,;:.)\]}>]|$)"
+# What a secret's name may go on with, up to four times (lookbehinds take no repeated choices).
+_PART = (
+    r"(?:[_-](?:for|of|on|in|prod(?:uction)?|dev(?:elopment)?|stag(?:e|ing)|test(?:ing)?|live|local|main|admin|root|user"
+    r"|db|database|app|api|web|key|value|hash|string|base64|old|new|[0-9]{1,4}))?"
+)
+_MORE = f"(?i:{_PART * 4})"
+_ASSIGNED = rf"{_SECRET}{_MORE}[\"'`\]]{{0,2}}\s{{0,4}}(?::=|=>|==?|:)\s{{0,4}}[\"'`]?"
+#: A character of a value: any but spaces and a quote that ends it.
+_ONE = r"(?:(?![\"'`](?:[\s,;:.)\]}>]|$))\S)"
 #: What is assigned to a secret's name: six or more characters up to a space or closing quote, without
 #: the punctuation behind it. What stands right before is looked at first, as it is cheap.
 _VALUE = (
-    rf"(?<=[=:>\s\"'`])(?=(?:[^\s\"'`]|{_INNER}){{6}})(?<=[=:>]\s{{0,4}}[\"'`]?)(?<={_ASSIGNED})"
-    rf"[^\s\"'`=:>][^\s\"'`]*(?:{_INNER}[^\s\"'`]*){{0,8}}(?:(?<![,;.)\]}}>])|(?=[\"'`]))"
+    rf"(?<=[=:>\s\"'`])(?={_ONE}{{6}})(?<=[=:>]\s{{0,4}}[\"'`]?)(?<={_ASSIGNED})"
+    rf"(?![\"'`=:>]){_ONE}+(?:(?<![,;.)\]}}>])|(?=[\"'`]))"
 )
 #: Assigned values, and strings of at least 12 such characters with a digit, of 16 capitals, or of 24 without a digit.
 CANDIDATE = (
@@ -31,9 +37,9 @@ CANDIDATE = (
 #: At most about this many findings of each label are learned from.
 SAMPLE = 4000
 TREES, DEPTH = 20, 6
-#: The dictionary: words of these many letters that occur at least so often.
-WORD = r"(?<![\p{L}])[a-z]{3,8}(?![\p{L}])"
-LEAST_OCCURRENCES = 20
+#: The dictionary: words that occur at least so often, and are at least this share of all words.
+WORD = r"(?<![\p{L}\p{N}])[a-z]{3,}(?![\p{L}\p{N}])"
+LEAST_OCCURRENCES, LEAST_SHARE = 20, 1e-6
 MASK = "<secret>"
 
 _NAMES = r"(?i)(passw|passwd|pwd|secret|token|api|key|auth|bearer|credential|private)"
@@ -49,7 +55,7 @@ def findings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path:
 
     Columns: ``row`` (of the document), ``number`` (of the candidate in it), ``doc_id``, ``digest`` (of
     the text), ``path``, ``candidate``, ``start`` and ``length`` in characters, ``before`` (64
-    characters), ``after`` (32). Null and empty texts have none.
+    characters, as far back as the candidate before the last one), ``after`` (32). Null and empty texts have none.
     """
     rows = docs.select(
         column(doc_id).alias("doc_id"), column(text).cast("string").alias("text"), column(path).cast("string").alias("path")
@@ -58,27 +64,41 @@ def findings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path:
     pieces = F.split("text", CANDIDATE, -1)
     around = F.transform(pieces, lambda p: F.struct(
         F.length(p).alias("n"), F.right(p, F.lit(64)).alias("tail"), F.left(p, F.lit(32)).alias("head")))
+    # A candidate may stand right before another one, as a name before its value.
+    near = F.transform("found", lambda c: F.right(c, F.lit(64)))
     rows = rows.select(
         F.monotonically_increasing_id().alias("row"), "doc_id", "path", F.sha2("text", 256).alias("digest"),
         found.alias("found"), around.alias("around"),
     )
     n = F.size("found")
-    each = F.arrays_zip(F.col("found").alias("candidate"), F.slice("around", 1, n).alias("left"), F.slice("around", 2, n).alias("right"))
+    none = F.array(F.lit(""))
+    each = F.arrays_zip(
+        F.col("found").alias("candidate"), F.slice("around", 1, n).alias("left"), F.slice("around", 2, n).alias("right"),
+        F.slice(F.concat(none, near), 1, n).alias("last"), F.slice(F.concat(none, F.col("around.tail")), 1, n).alias("far"),
+    )
     rows = rows.select("row", "doc_id", "path", "digest", F.posexplode(each).alias("number", "f"))
     size = F.length("f.candidate")
     rows = written(rows.select(
         "row", "number", "doc_id", "digest", "path", "f.candidate", size.alias("length"), F.col("f.left.n").alias("gap"),
-        F.col("f.left.tail").alias("before"), F.col("f.right.head").alias("after"),
+        F.right(F.concat("f.far", "f.last", "f.left.tail"), F.lit(64)).alias("before"), F.col("f.right.head").alias("after"),
     ), "findings")
     upto = Window.partitionBy("row").orderBy("number")
     start = F.sum(F.col("gap") + F.col("length")).over(upto) - F.col("length")
     return rows.withColumn("start", start.cast("long")).drop("gap")
 
 
-def dictionary(docs: DataFrame, text: str = "text", least: int = LEAST_OCCURRENCES) -> DataFrame:
-    """Rows (word, n): the short words of all documents that occur often enough, counted before the shuffle."""
+def dictionary(
+    docs: DataFrame, text: str = "text", least: int = LEAST_OCCURRENCES, share: float = LEAST_SHARE,
+) -> DataFrame:
+    """Rows (word, n): the words of all documents that occur often enough, counted before the shuffle.
+
+    Words are three letters or more that no letter or digit stands beside. What is often enough grows
+    with the corpus, so that pieces of random strings do not become words as it does.
+    """
     words = docs.select(F.explode(F.regexp_extract_all(F.lower(column(text).cast("string")), F.lit(WORD), F.lit(0))).alias("word"))
-    return written(words.groupBy("word").agg(F.count("*").alias("n")).filter(F.col("n") >= least), "dictionary")
+    counts = written(words.groupBy("word").agg(F.count("*").alias("n")), "dictionary")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    return counts.filter(F.col("n") >= max(least, share * total))
 
 
 def _transitions(words: DataFrame) -> Column:

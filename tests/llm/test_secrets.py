@@ -101,3 +101,23 @@ def test_labelled_findings_may_be_given(spark):
     labels = secrets.findings(table).withColumn("label", F.col("candidate").rlike("^[0-9]+$").cast("double"))
     got = secrets.scan(table, labelled=labels)
     assert got.filter("secret").count() == 30
+
+
+def test_long_names_quotes_and_names_that_are_candidates(spark):
+    texts = {
+        1000: ("x DATABASE_PASSWORD_FOR_PRODUCTION: Tr0ub4dor&3xyz y", "Tr0ub4dor&3xyz"),
+        1001: ("x GITHUB_PERSONAL_ACCESS_TOKEN=hunter2abcdef y", "hunter2abcdef"),
+        1002: ("x password=\"a'b'c'd'e'f'g'h'i'j'k'lmnop1\" y", "a'b'c'd'e'f'g'h'i'j'k'lmnop1"),
+        1003: ("x password=" + "a'1" * 20000 + " y", "a'1" * 20000),
+    }
+    rng = random.Random(4)
+    parts = ["MAXIMUM", "CONNECTION", "RETRY", "TIMEOUT", "DATABASE", "PRODUCTION", "PERSONAL", "BUFFER", "SETTINGS"]
+    names = [(500 + k, f"x {'_'.join(rng.sample(parts, 4))} y", "aa", "src1", 1) for k in range(40)]
+    rows = made() + names + [(k, t, "aa", "src1", 1) for k, (t, _) in texts.items()]
+    table = spark.createDataFrame(rows, corpus.SCHEMA)
+    got = [r for r in secrets.scan(table).collect() if r.doc_id >= 1000 and r.secret]
+    assert {r.doc_id: texts[r.doc_id][0][r.start : r.start + r.length] for r in got} == {k: v for k, (_, v) in texts.items()}
+    before = {r.doc_id: r.before for r in secrets.findings(table).filter("doc_id = 1001 AND number = 1").collect()}
+    assert before == {1001: "x GITHUB_PERSONAL_ACCESS_TOKEN="}
+    clean = {r.doc_id: r.text for r in secrets.redact(table).filter("doc_id >= 1000").collect()}
+    assert clean == {k: t.replace(v, secrets.MASK) for k, (t, v) in texts.items()}
