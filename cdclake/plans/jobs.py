@@ -288,10 +288,14 @@ def maintain(spark: SparkSession, root: str, action: Callable[[SparkSession, str
     """
     found = tables.list_tables(spark, root, depth)
 
+    def act(path: str) -> None:
+        tables.let_writers_pass(spark, path)
+        action(spark, path)
+
     def attempt(path: str) -> bool:
         try:
             # Maintenance gives way to writers: it tries again on what they have left.
-            tables.with_retries(lambda: action(spark, path))
+            tables.with_retries(lambda: act(path))
             return True
         except Exception:
             log.exception("Maintenance of %s failed", path)

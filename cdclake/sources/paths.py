@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
@@ -51,7 +53,7 @@ def rename(spark: SparkSession, old: str, new: str) -> bool:
     """Move a file to a name not in use; False if the name is taken.
 
     The file system itself refuses a taken name, so of two writers one succeeds. Stores without such a
-    rename are asked first.
+    rename are asked first. Hadoop asks a local disk first too, so a file there gets its new name as a link.
     """
     jvm = spark._jvm
     fs, source = _open(spark, old)
@@ -59,6 +61,12 @@ def rename(spark: SparkSession, old: str, new: str) -> bool:
     source, target = fs.makeQualified(source), fs.makeQualified(target)
     if fs.exists(target):
         return False
+    if target.toUri().getScheme() == "file" and fs.getFileStatus(source).isFile():
+        linked = _link(source.toUri().getPath(), target.toUri().getPath())
+        if linked is not None:
+            if linked:
+                fs.delete(source, False)
+            return linked
     try:
         context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
         options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
@@ -73,6 +81,21 @@ def rename(spark: SparkSession, old: str, new: str) -> bool:
         return fs.rename(source, target)
 
 
+def _link(old: str, new: str) -> bool | None:
+    """Give a local file a second name unless that is taken; None where there are no links."""
+    try:
+        os.link(old, new)
+    except FileExistsError:
+        return False
+    except OSError:
+        return None
+    # The name is ours, so is that of its checksums; without these the file is read unchecked.
+    sums = [f"{os.path.dirname(name)}/.{os.path.basename(name)}.crc" for name in (old, new)]
+    if os.path.exists(sums[0]):
+        os.replace(*sums)
+    return True
+
+
 def move_folder(spark: SparkSession, old: str, new: str) -> bool:
     """Move a folder, with whatever is in it, to a name not in use; False if there is no such folder."""
     fs, source = _open(spark, old)

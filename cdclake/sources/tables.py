@@ -8,7 +8,7 @@ into and rewrites only the files that hold some; an append rewrites nothing.
 
 The schema is kept in the version file: reading needs no look into parquet footers, and columns
 may be added over time. Of two writers at once one is refused at commit and may try again
-(:func:`with_retries`).
+(:func:`with_retries`); maintenance gives way to it then.
 """
 
 from __future__ import annotations
@@ -41,6 +41,7 @@ _GEN = "gen"
 _BUCKET_BYTES = 512 << 20
 _NO_STATISTICS = 1 << 60
 _MEMORY = "_memory"
+_WAITING = "_waiting"
 _GROUP_BYTES = 64 << 30
 #: Ranges of each key along the curve that compacted rows follow, keys that make it up, and rows its ranges are told by.
 _CURVE_BITS, _CURVE_KEYS, _CURVE_SAMPLE = 6, 4, 4096
@@ -50,21 +51,60 @@ class TableConflict(Exception):
     """Another writer has changed the table since this write began."""
 
 
-def with_retries(write: Callable[[], object], attempts: int = 5, seconds: float = 0.1) -> object:
+def with_retries(write: Callable[[], object], attempts: int = 5, seconds: float = 0.1,
+                 table: tuple[SparkSession, str] | None = None) -> object:
     """Repeat a write that loads the newest version first, as long as other writers get in its way.
 
-    Waits grow up to some seconds; after ``attempts`` the conflict is passed on.
+    Waits grow up to some seconds; after ``attempts`` the conflict is passed on. A write refused once says
+    so in ``table`` (session and path) until it is done, and maintenance gives way to it: a write that takes
+    longer than the time between two compactions would be refused every time.
     """
-    for attempt in range(attempts):
-        try:
-            return write()
-        except TableConflict:
-            if attempt + 1 == attempts:
-                raise
-            time.sleep(min(5.0, seconds * 2**attempt) * random.uniform(0.5, 1.5))
+    announced = None
+    try:
+        for attempt in range(attempts):
+            began = time.time()
+            try:
+                return write()
+            except TableConflict:
+                if attempt + 1 == attempts:
+                    raise
+                if table is not None:
+                    announced = _announce(*table, announced, time.time() - began)
+                time.sleep(min(5.0, seconds * 2**attempt) * random.uniform(0.5, 1.5))
+    finally:
+        if announced is not None:
+            paths.delete(table[0], announced)
     raise ValueError("attempts must be at least 1")
 
 
+def _announce(spark: SparkSession, path: str, earlier: str | None, took: float) -> str:
+    """Say that a write which took so long is tried again. The name tells until when that holds, should its job die."""
+    until = int((time.time() + max(60.0, 4 * took)) * 1000)
+    name = f"{path}/{_WAITING}/{until:013d}-{uuid.uuid4().hex}"
+    paths.write_text(spark, name, "")
+    if earlier is not None:
+        paths.delete(spark, earlier)
+    return name
+
+
+def _awaited(spark: SparkSession, path: str) -> bool:
+    """Is a write that was refused tried again?"""
+    now = time.time() * 1000
+    return any(int(name.partition("-")[0]) > now for name, _, _ in paths.entries(spark, f"{path}/{_WAITING}"))
+
+
+def _give_way(spark: SparkSession, path: str) -> None:
+    """Refuse maintenance while a write that was refused is tried again."""
+    if _awaited(spark, path):
+        raise TableConflict(f"{path} is waited for by a writer that was refused")
+
+
+def let_writers_pass(spark: SparkSession, path: str, seconds: float = 1.0) -> None:
+    """Wait, before maintenance, until no write that was refused is tried again."""
+    while _awaited(spark, path):
+        time.sleep(seconds)
+
+
 # --- version files ----------------------------------------------------------------------------
 
 def _versions(spark: SparkSession, path: str) -> list[tuple[int, int]]:
@@ -511,7 +551,8 @@ def compact(spark: SparkSession, path: str, *, full: bool = False, target_mb: fl
     Buckets are rewritten in groups of about ``group_bytes``, each of which is committed by itself: a job
     that dies, or meets another writer in one of its buckets (:class:`TableConflict`), keeps the groups that are
     done, and run again goes on with the others. Writers to other buckets are no conflict. A new bucket
-    count moves rows between buckets, so it is committed at the end.
+    count moves rows between buckets, so it is committed at the end. While a writer that was refused tries
+    again (:func:`with_retries`), nothing is begun or committed here; that is a :class:`TableConflict` too.
     """
     state = table_state(spark, path)
     if state is None:
@@ -531,13 +572,16 @@ def compact(spark: SparkSession, path: str, *, full: bool = False, target_mb: fl
     groups = _bucket_groups({b: sizes[b][1] for b in chosen}, group_bytes)
     if count == state["buckets"]:
         for group in groups:
+            _give_way(spark, path)
             gen, live = _clustered(spark, path, state, group, count, math.ceil(sum(sizes[b][1] for b in group) / target))
             _replace_buckets(spark, path, state, group, {gen: live} if live else {})
         return True
+    _give_way(spark, path)
     written = [
         _clustered(spark, path, state, group, count, math.ceil(sum(sizes[b][1] for b in group) / target)) for group in groups
     ]
     live = {gen: found for gen, found in written if found}
+    _give_way(spark, path)
     _commit(spark, path, state, {**state, "live": live, "partial": {}, "buckets": count})
     return True
 
@@ -608,6 +652,7 @@ def _replace_buckets(spark: SparkSession, path: str, read: dict, chosen: set[int
         if state["buckets"] != read["buckets"] or table_units(state, chosen) != table_units(read, chosen):
             raise TableConflict(f"{path} has changed in the buckets being rewritten")
         kept = {g: [b for b in bs if b not in chosen] for g, bs in state["live"].items()}
+        _give_way(spark, path)
         try:
             _commit(spark, path, state, {**state, "live": {g: bs for g, bs in kept.items() if bs} | written})
             return
@@ -656,6 +701,9 @@ def vacuum(spark: SparkSession, path: str, retain_hours: float = 168, *, force:
     for version, _ in versions:
         if version not in kept:
             paths.delete(spark, f"{path}/_versions/{version:012d}.json")
+    for name, _, _ in paths.entries(spark, f"{path}/{_WAITING}"):
+        if int(name.partition("-")[0]) < time.time() * 1000:
+            paths.delete(spark, f"{path}/{_WAITING}/{name}")
     return removed
 
 

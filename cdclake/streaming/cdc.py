@@ -103,11 +103,12 @@ def write_or_quarantine(zone: str, df: DataFrame, zones: Zones, contract: TableC
     """Write to a zone, move its published tables on, and pass the rows on.
 
     If another writer got in the way, the newest version is loaded and the write repeated, a bounded
-    number of times. After that, or if a column cannot hold the new values, the rows go to quarantine
+    number of times; compactions of the table wait for it. After that, or if a column cannot hold the new values, the rows go to quarantine
     and an empty frame is passed on.
     """
     try:
-        tables.with_retries(lambda: write(df), zones.attempts)
+        target = df.sparkSession, zones.table_path(zone, contract)
+        tables.with_retries(lambda: write(df), zones.attempts, table=target)
         for database in (zones.published or {}).get(zone, ()):
             catalog.point_table(df.sparkSession, database, contract, zones.table_path(zone, contract))
         return df

@@ -184,6 +184,28 @@ def test_failed_write_goes_to_quarantine(spark, zones, monkeypatch):
     assert spark.read.parquet(CONTRACT.path(zones.metrics)).first().rows_curated == 0
 
 
+def test_compactions_without_end_do_not_keep_a_stream_from_writing(spark, zones, monkeypatch):
+    put(changes(spark, (1, "a", "I", "01")), zones)
+    run(spark, zones)
+    put(changes(spark, (1, "b", "U", "02"), (2, "c", "I", "03")), zones, order=1)
+    commit, within = tables._commit, []
+
+    def busy(session, target, before, after):
+        # A compaction is done just before each write is.
+        if target == CONTRACT.path(zones.curated) and not within:
+            within.append(1)
+            try:
+                tables.compact(session, target, full=True, buckets=before["buckets"])
+            except tables.TableConflict:
+                pass
+            within.clear()
+        return commit(session, target, before, after)
+
+    monkeypatch.setattr(tables, "_commit", busy)
+    run(spark, cdc.Zones(**{**zones.__dict__, "attempts": 4}))
+    assert curated(spark, zones) == [(1, "b"), (2, "c")]
+
+
 def test_new_nullable_contract_column(spark, zones):
     put(changes(spark, (1, "a", "I", "01")), zones)
     schema = T.StructType([*CONTRACT.schema.fields, T.StructField("extra", T.StringType(), True)])

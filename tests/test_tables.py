@@ -1,4 +1,5 @@
 import os
+import threading
 
 import pytest
 from helpers import CONTRACT, changes, state
@@ -442,3 +443,52 @@ def test_a_taken_version_is_refused(spark, root):
     paths.write_text(spark, f"{root}/b", "2")
     assert not paths.rename(spark, f"{root}/a", f"{root}/b")
     assert paths.rename(spark, f"{root}/a", f"{root}/c") and paths.read_text(spark, f"{root}/c") == "1"
+
+
+def test_of_two_writers_at_once_one_takes_a_name(spark, root):
+    from cdclake.sources import paths
+
+    for k in range(40):
+        won, start = [], threading.Barrier(2)
+
+        def take(who, won=won, start=start, k=k):
+            paths.write_text(spark, f"{root}/.{k}-{who}", who)
+            start.wait()
+            if paths.rename(spark, f"{root}/.{k}-{who}", f"{root}/{k}.json"):
+                won.append(who)
+
+        writers = [threading.Thread(target=take, args=(who,)) for who in "ab"]
+        for writer in writers:
+            writer.start()
+        for writer in writers:
+            writer.join()
+        assert [paths.read_text(spark, f"{root}/{k}.json")] == won
+
+
+def test_a_compaction_gives_way_to_a_refused_writer(spark, path):
+    tables.append(spark, path, changes(spark, (1, "a", "I", "")), ["pk"], buckets=2)
+    refused = []
+
+    def write():
+        for buckets in (2, 1):
+            if refused:
+                with pytest.raises(tables.TableConflict, match="waited for"):
+                    tables.compact(spark, path, full=True, buckets=buckets)
+        if not refused:
+            refused.append(1)
+            raise tables.TableConflict(path)
+
+    tables.with_retries(write, seconds=0.001, table=(spark, path))
+    assert tables.compact(spark, path, full=True, buckets=2)
+    # That of a job that died holds for a time only.
+    tables._announce(spark, path, None, 0.0)
+    with pytest.raises(tables.TableConflict, match="waited for"):
+        tables.compact(spark, path, full=True, buckets=2)
+    now = tables.time.time()
+    with pytest.MonkeyPatch.context() as later:
+        later.setattr(tables.time, "time", lambda: now + 61)
+        tables.let_writers_pass(spark, path)
+        assert tables.compact(spark, path, full=True, buckets=2)
+        tables.vacuum(spark, path)
+    assert tables.compact(spark, path, full=True, buckets=2)
+    assert read(spark, path) == [(1, "a")]
