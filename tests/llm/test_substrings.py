@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from cdclake.llm import substrings
 
@@ -59,6 +60,48 @@ def test_documents_at_the_contracts_length(spark):
     check(spark, [(i, t) for i, t, *_ in corpus.documents()])
 
 
+def test_occurrences_of_one_string_are_not_put_into_one_task(spark):
+    text = "a" * 2000
+    digest = hashlib.sha256(text.encode()).digest()
+    prepared = spark.createDataFrame([(1, digest, text)], "doc_id long, digest binary, text string")
+    suffixes = spark.createDataFrame([(digest, 1, 7, p, 2000) for p in range(0, 1900, 30)], "digest binary, rep long, gram long, place long, members long")
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        spans = substrings.repeated_spans(prepared, suffixes, 50, 16, 100)
+        rows = spans.groupBy(F.spark_partition_id().alias("task")).count().collect()
+        places = sorted(r["start"] for r in spans.select("start").collect())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert places == list(range(1891))
+    assert max(r["count"] for r in rows) < 1000
+
+
+def test_rows_of_a_frequent_key_stay_where_they_are(spark):
+    rows = spark.range(0, 1200, 1, 4).selectExpr("if(id % 6 = 0, id, -1) AS gram", "id AS place")
+    often = rows.groupBy("gram").count()
+    found = substrings._looked_up(rows, often, ["gram"], "count", 100)
+    frequent = found.filter("gram = -1").groupBy(F.spark_partition_id()).count().collect()
+    assert sorted(r["count"] for r in frequent) == [250] * 4
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, rows.join(often, "gram").collect()))
+
+
+def test_spans_are_the_removed_runs(spark):
+    passage, other = "".join(map(str, range(40))), "".join(chr(97 + k * k % 26) for k in range(60))
+    texts = ["x" + passage + "yé", "é" + passage + "-" + other, other + "z", "alone", None, passage[:49]]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r for r in substrings.without_repeats(table, length=50, gram=16).collect()}
+    spans = {k: [tuple(s) for s in r["spans"]] for k, r in found.items()}
+    assert spans == {0: [(1, 71)], 1: [(2, 72), (73, 133)], 2: [(0, 60)], 3: [], 4: [], 5: []}
+    for k, text in enumerate(texts):
+        data = (text or "").encode()
+        kept = b"".join(data[a:b] for a, b in zip([0, *[e for _, e in spans[k]]], [*[s for s, _ in spans[k]], len(data)], strict=True))
+        assert found[k]["kept_sha256"] == hashlib.sha256(kept).hexdigest()
+
+
 def test_no_documents(no_docs):
     assert substrings.remove_repeats(no_docs).count() == 0
 
